@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema
-from contrail.plans import gold, silver
+from contrail.plans import gold, quality, silver
 from contrail.sources.fixtures import Airline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +219,116 @@ def q_ml_training(spark, d):
 @query("ml_training_per_flight")
 def q_ml_training_pf(spark, d):
     return _training(Airline(spark, d), "per_flight")
+
+
+# ---------------------------------------------------------------- data quality
+def silver_tables(a: Airline) -> dict[str, DataFrame]:
+    """The thirteen silver tables built from the fixtures (no audit column)."""
+    return {
+        "silver_routes": a.routes, "silver_flights": a.flights,
+        "silver_waypoint_sampling_weather_points": a.waypoints,
+        "silver_ticket_prices": a.ticket_prices, "silver_customers": a.customers,
+        "silver_flights_events": a.flights_events,
+        "silver_boarding_summary": silver.build_boarding_summary(a.boarding_events, audit=False),
+        "silver_agg_frequent_delay_reasons": silver.build_delay_reasons(a.flights_events, a.flights, audit=False),
+        "silver_flight_weather": silver.build_flight_weather(a.weather_raw, a.waypoints, a.flights, audit=False),
+        "silver_weather_summary": silver.build_weather_summary(a.flight_weather, audit=False),
+        "silver_agg_cancelation_rate": silver.build_cancelation_rate(a.booked_tickets, a.ticket_events, audit=False),
+        "silver_ticket_events": a.ticket_events, "silver_booked_tickets": a.booked_tickets,
+    }
+
+
+def gold_tables(a: Airline) -> dict[str, DataFrame]:
+    """The ten gold tables built from the fixtures (reference key modes)."""
+    delays, info, revenue, popular = _dims(a)
+    routes_dim = gold.build_ml_routes(a.routes, a.flights, audit=False)
+    ws = silver.build_weather_summary(a.flight_weather, audit=False)
+    weather_dim = gold.build_ml_weather(ws, a.flights, a.waypoints, audit=False)
+    boarding_dim = gold.build_ml_boarding_data(a.flights, audit=False)
+    return {
+        "gold_dim_monthly_delays": delays, "gold_dim_monthly_flight_info": info,
+        "gold_dim_monthly_revenue": revenue, "gold_dim_monthly_most_popular": popular,
+        "gold_fact_monthly_performance_report": gold.build_performance_report(delays, info, revenue, popular,
+                                                                              audit=False),
+        "gold_monthly_aggregates": gold.build_monthly_aggregates(delays, info, revenue, popular, audit=False),
+        "gold_dim_ml_routes": routes_dim, "gold_dim_ml_weather": weather_dim, "gold_dim_ml_boarding_data": boarding_dim,
+        "gold_fact_ml_training": gold.build_ml_training(a.flights, a.flights_events, routes_dim, weather_dim,
+                                                        boarding_dim, audit=False),
+    }
+
+
+def recomputed_tables(a: Airline) -> dict[str, DataFrame]:
+    """Detail-level monthly totals recomputed from silver, for consistency checks."""
+    scanned = (a.boarding_events.where(F.col("event_type") == schema.BOARDING_SCAN)
+               .select("flight_id").distinct())
+    counts = (a.flights.join(scanned, "flight_id")
+              .groupBy(F.year("flight_date").cast("int").alias("year"), F.month("flight_date").cast("int").alias("month"))
+              .agg(F.count(F.lit(1)).alias("total_flights")))
+    p, b = a.ticket_prices, a.booked_tickets.select(F.col("booked_ticket_id").alias("silver_flight_id"))
+    revenue = (p.join(b, "silver_flight_id")
+               .groupBy(F.year("start_date").cast("int").alias("year"), F.month("start_date").cast("int").alias("month"))
+               .agg(F.sum(F.col("ticket_price") + F.col("luggage_fee")).cast("double").alias("total_revenue")))
+    return {"recomputed_flight_counts": counts, "recomputed_revenue": revenue}
+
+
+def consistency_rules() -> list:
+    return [quality.consistent("gold_dim_monthly_flight_info", ("year", "month"), "total_flights",
+                               "recomputed_flight_counts", "total_flights"),
+            quality.consistent("gold_dim_monthly_revenue", ("year", "month"), "total_revenue",
+                               "recomputed_revenue", "total_revenue", tol=1e-6)]
+
+
+def date_logic_rules() -> list:
+    return [quality.cross_order("silver_booked_tickets", "flight_id", "silver_flights", "flight_id",
+                                "booking_date", "flight_date"),
+            quality.ordered("silver_ticket_prices", "start_date", "end_date"),
+            quality.ordered("silver_flights", "scheduled_departure", "scheduled_arrival", strict=True)]
+
+
+# name -> (layer, rule factory); layer decides which tables are built.
+DQ_SETS = {
+    "dq_not_null": ("silver", lambda: quality.select_rules(quality.silver_rules(), "not_null")),
+    "dq_range": ("silver", lambda: quality.select_rules(quality.silver_rules(), "range")),
+    "dq_bounds": ("silver", lambda: quality.select_rules(quality.silver_rules(), "min", "max")),
+    "dq_pk_unique": ("silver", lambda: quality.select_rules(quality.silver_rules(), "unique")),
+    "dq_fk": ("silver", lambda: quality.select_rules(quality.silver_rules(), "fk")),
+    "dq_enum": ("silver", lambda: quality.select_rules(quality.silver_rules(), "enum")),
+    "dq_order": ("silver", lambda: quality.select_rules(quality.silver_rules(), "order")),
+    "dq_derived": ("silver", lambda: quality.select_rules(quality.silver_rules(), "derived")),
+    "dq_rate": ("all", lambda: [r for r in quality.silver_rules() + quality.gold_rules()
+                                if r.kind == "range" and r.columns[0].endswith("rate")]),
+    "dq_kpi_not_null": ("gold", lambda: quality.select_rules(quality.gold_rules(), "not_null")),
+    "dq_dim_completeness": ("gold", quality.completeness_rules),
+    "dq_dim_keys": ("gold", lambda: quality.select_rules(quality.gold_rules(), "unique")),
+    "dq_aggregate_consistency": ("all", consistency_rules),
+    "dq_date_logic": ("silver", date_logic_rules),
+    "dq_silver_report": ("silver", lambda: [r for r in quality.silver_rules() if r.kind not in ("required", "types")]),
+    "dq_gold_report": ("gold", lambda: [r for r in quality.gold_rules() if r.kind not in ("required", "types")]),
+}
+
+
+def _dq_tables(a: Airline, layer: str) -> dict[str, DataFrame]:
+    if layer == "silver":
+        return silver_tables(a)
+    if layer == "gold":
+        return gold_tables(a)
+    return {**silver_tables(a), **gold_tables(a), **recomputed_tables(a)}
+
+
+def _register_dq(name: str, layer: str, factory) -> None:
+    @query(name)
+    def _q(spark, d):
+        return quality.run_checks(spark, _dq_tables(Airline(spark, d), layer), factory())
+
+
+for _name, (_layer, _factory) in DQ_SETS.items():
+    _register_dq(_name, _layer, _factory)
+
+
+@query("dq_schema")
+def q_dq_schema(spark, d):
+    """Q1 + Q12: required columns and declared types (metadata only)."""
+    a = Airline(spark, d)
+    rules = [r for r in quality.silver_rules() + quality.gold_rules() if r.kind == "required"]
+    rules += [quality.types(t, cols) for t, cols in quality.SILVER_TYPES.items()]
+    return quality.run_checks(spark, {**silver_tables(a), **gold_tables(a)}, rules)

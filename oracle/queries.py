@@ -164,6 +164,23 @@ JOIN dim_delays dl ON fi.year = dl.year AND fi.month = dl.month
 JOIN dim_popular pp ON fi.year = pp.year AND fi.month = pp.month"""
 
 
+REPORT = f"""
+SELECT {_id('report', 'fi.year', 'fi.month')} AS report_id, rv.revenue_id, fi.flights_info_id, pp.metrics_id, dl.delays_id, fi.year, fi.month
+{_DIM_JOIN}"""
+AGGREGATES = f"""
+SELECT {_id('aggregate', 'fi.year', 'fi.month')} AS aggregate_id, fi.year, fi.month, fi.total_flights, rv.total_revenue, dl.average_delay,
+ pp.most_popular_destination, pp.most_popular_order_method
+{_DIM_JOIN}"""
+FLIGHT_WEATHER_LINK = """
+SELECT r.weather_sample_id, f.flight_id AS silver_flight_id, w.way_point_number AS waypoint_sampling_number,
+ r.current_weather_condition AS weather_condition, r.temperature, r.humidity, r.wind_speed, r.wind_direction,
+ CAST(r.sample_for_date AS DATE) AS sample_for_date
+FROM weather_raw r JOIN waypoints w ON r.latitude = w.point_latitude AND r.longitude = w.point_longitude AND r.height = w.point_height
+JOIN flights f ON f.routes_id = w.route_id AND f.flight_date = CAST(r.sample_for_date AS DATE)"""
+ML_CTES = [("weather_summary", WEATHER_SUMMARY), ("ml_weather", ML_WEATHER), ("ml_routes", ML_ROUTES),
+           ("ml_boarding", ML_BOARDING)]
+
+
 def _silver_gold() -> dict[str, str]:
     q: dict[str, str] = {}
     for name, view in [("silver_routes", "routes"), ("silver_flights", "flights"), ("silver_waypoints", "waypoints"),
@@ -172,12 +189,7 @@ def _silver_gold() -> dict[str, str]:
                        ("silver_ticket_events", "ticket_events")]:
         q[name] = W(f"SELECT * FROM {view}", view)
     q["silver_boarding_summary"] = W(BOARDING_SUMMARY, "boarding_events")
-    q["silver_flight_weather"] = W("""
-SELECT r.weather_sample_id, f.flight_id AS silver_flight_id, w.way_point_number AS waypoint_sampling_number,
- r.current_weather_condition AS weather_condition, r.temperature, r.humidity, r.wind_speed, r.wind_direction,
- CAST(r.sample_for_date AS DATE) AS sample_for_date
-FROM weather_raw r JOIN waypoints w ON r.latitude = w.point_latitude AND r.longitude = w.point_longitude AND r.height = w.point_height
-JOIN flights f ON f.routes_id = w.route_id AND f.flight_date = CAST(r.sample_for_date AS DATE)""", "weather_raw", "waypoints", "flights")
+    q["silver_flight_weather"] = W(FLIGHT_WEATHER_LINK, "weather_raw", "waypoints", "flights")
     q["silver_weather_summary"] = W(WEATHER_SUMMARY, "flight_weather")
     q["silver_delay_reasons"] = W(DELAY_REASONS, "flights_events", "flights")
     q["silver_cancelation_rate"] = W(CANCELATION_RATE, "booked_tickets", "ticket_events")
@@ -199,19 +211,13 @@ SELECT flight_id, origin, destination, flight_date, departure_time FROM
                               ("monthly_most_popular", "flight", "column")]:
         body, src = dim_popular(key, method)
         q[name] = W(body, "booked_tickets", "flights", "routes", ctes=[("booked_route", src)])
-    q["monthly_performance_report"] = W(f"""
-SELECT {_id('report', 'fi.year', 'fi.month')} AS report_id, rv.revenue_id, fi.flights_info_id, pp.metrics_id, dl.delays_id, fi.year, fi.month
-{_DIM_JOIN}""", *_DIM_VIEWS, ctes=_dims_ctes())
-    q["monthly_aggregates"] = W(f"""
-SELECT {_id('aggregate', 'fi.year', 'fi.month')} AS aggregate_id, fi.year, fi.month, fi.total_flights, rv.total_revenue, dl.average_delay,
- pp.most_popular_destination, pp.most_popular_order_method
-{_DIM_JOIN}""", *_DIM_VIEWS, ctes=_dims_ctes())
+    q["monthly_performance_report"] = W(REPORT, *_DIM_VIEWS, ctes=_dims_ctes())
+    q["monthly_aggregates"] = W(AGGREGATES, *_DIM_VIEWS, ctes=_dims_ctes())
     q["ml_routes"] = W(ML_ROUTES, "routes", "flights")
     q["ml_weather"] = W(ML_WEATHER, "flight_weather", "flights", "waypoints",
                         ctes=[("weather_summary", WEATHER_SUMMARY)])
     q["ml_boarding_data"] = W(ML_BOARDING, "flights")
-    ml_ctes = [("weather_summary", WEATHER_SUMMARY), ("ml_weather", ML_WEATHER), ("ml_routes", ML_ROUTES),
-               ("ml_boarding", ML_BOARDING)]
+    ml_ctes = ML_CTES
     q["ml_training"] = W(ml_training("first"), "flights", "flights_events", "routes", "flight_weather", "waypoints",
                          ctes=ml_ctes)
     q["ml_training_per_flight"] = W(ml_training("per_flight"), "flights", "flights_events", "routes",
@@ -221,3 +227,12 @@ SELECT {_id('aggregate', 'fi.year', 'fi.month')} AS aggregate_id, fi.year, fi.mo
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(_silver_gold())
+
+
+def _dq() -> dict[str, str]:
+    from contrail.registry import DQ_SETS  # the rule *specs* are shared data; the SQL is compiled independently
+    from oracle.quality import dq_sql
+    return {name: dq_sql(factory(), layer) for name, (layer, factory) in DQ_SETS.items()}
+
+
+ORACLES.update(_dq())
