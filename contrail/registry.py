@@ -332,3 +332,54 @@ def q_dq_schema(spark, d):
     rules = [r for r in quality.silver_rules() + quality.gold_rules() if r.kind == "required"]
     rules += [quality.types(t, cols) for t, cols in quality.SILVER_TYPES.items()]
     return quality.run_checks(spark, {**silver_tables(a), **gold_tables(a)}, rules)
+
+
+# ---------------------------------------------------------------- streaming
+def _run_stream(spark: SparkSession, payload: DataFrame, schema_, ts_cols, ts_type="timestamp",
+                quarantine=False, dedup_keys=None, name="stream") -> tuple[DataFrame, DataFrame | None]:
+    """Land ``payload`` as message files, stream them through the ingest with
+    an ``available_now`` trigger, and read the sinks back."""
+    from contrail.session import scratch_path
+    from contrail.streaming import ingest
+
+    base = scratch_path(spark, name)
+    payload.write.text(f"{base}/in")
+    src = ingest.stream_source(spark, "text", path=f"{base}/in")
+    qs = ingest.ingest_json_topic(spark, src, schema_, ts_cols, f"{base}/out", f"{base}/chk",
+                                  trigger="available_now", ts_type=ts_type,
+                                  quarantine=f"{base}/bad" if quarantine else None, dedup_keys=dedup_keys)
+    ingest.run_to_completion(qs)
+    out = spark.read.parquet(f"{base}/out")
+    bad = spark.read.parquet(f"{base}/bad") if quarantine else None
+    return out, bad
+
+
+@query("stream_user_events")
+def q_stream_users(spark, d):
+    from contrail.streaming.ingest import USER_EVENT_SCHEMA
+    out, _ = _run_stream(spark, Airline(spark, d).users_json, USER_EVENT_SCHEMA, ["event_ts"], name="users")
+    return out
+
+
+@query("stream_flights")
+def q_stream_flights(spark, d):
+    from contrail.streaming.ingest import FLIGHT_EVENT_SCHEMA
+    out, _ = _run_stream(spark, Airline(spark, d).flights_json, FLIGHT_EVENT_SCHEMA,
+                         ["scheduled_departure", "scheduled_arrival"], ts_type="timestamp_ntz", name="flights")
+    return out
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, d):
+    from contrail.streaming.ingest import USER_EVENT_SCHEMA
+    _, bad = _run_stream(spark, Airline(spark, d).users_json_dirty, USER_EVENT_SCHEMA, ["event_ts"],
+                         quarantine=True, name="quarantine")
+    return bad
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, d):
+    from contrail.streaming.ingest import USER_EVENT_SCHEMA
+    out, _ = _run_stream(spark, Airline(spark, d).users_json_repeated, USER_EVENT_SCHEMA, ["event_ts"],
+                         dedup_keys=["user_id", "event_ts"], name="dedup")
+    return out

@@ -254,10 +254,9 @@ def flight_weather(t: Tables) -> DataFrame:
     )
 
 
-def users_json(t: Tables) -> DataFrame:
-    """The user-topic message payload: one JSON document per event."""
+def _user_payload(t: Tables) -> DataFrame:
     ts = F.col("ts").cast("string")
-    return t.events.select(F.concat(
+    return t.events.select("event_type", F.concat(
         F.lit('{"event_ts":"'), F.substring(ts, 1, 10), F.lit("T"), F.substring(ts, 12, 8),
         F.lit('Z","user_id":"u'), F.col("user_id").cast("string"),
         F.lit('","name":"'), F.col("event_type"),
@@ -265,6 +264,29 @@ def users_json(t: Tables) -> DataFrame:
     ).alias("value"))
 
 
+def users_json(t: Tables) -> DataFrame:
+    """The user-topic message payload: one JSON document per event."""
+    return _user_payload(t).select("value")
+
+
+def users_json_dirty(t: Tables) -> DataFrame:
+    """The same payload with damage derived from the event type: ``error``
+    events arrive truncated (malformed JSON), ``signup`` events carry an
+    unparseable timestamp; every other message is intact."""
+    p = _user_payload(t)
+    v, et = F.col("value"), F.col("event_type")
+    return p.select(
+        F.when(et == "error", F.expr("substring(value, 1, length(value) - 3)"))
+         .when(et == "signup", F.replace(v, F.lit('"event_ts":"'), F.lit('"event_ts":"x')))
+         .otherwise(v).alias("value"))
+
+
+def users_json_repeated(t: Tables) -> DataFrame:
+    """The payload with every ``purchase`` message delivered twice."""
+    p = _user_payload(t)
+    return p.select("value").unionByName(p.where(F.col("event_type") == "purchase").select("value"))
+
+
 def flights_json(t: Tables) -> DataFrame:
     """The flight-topic message payload, one JSON document per flight."""
     f = flights(t)
@@ -283,6 +305,7 @@ VIEWS = {
     "boarding_events": boarding_events, "ticket_prices": ticket_prices, "booked_tickets": booked_tickets,
     "customers": customers, "ticket_events": ticket_events, "weather_raw": weather_raw,
     "flight_weather": flight_weather, "users_json": users_json, "flights_json": flights_json,
+    "users_json_dirty": users_json_dirty, "users_json_repeated": users_json_repeated,
 }
 
 

@@ -236,3 +236,17 @@ def _dq() -> dict[str, str]:
 
 
 ORACLES.update(_dq())
+
+USER_PAYLOAD = """SELECT event_type, concat('{"event_ts":"', substr(CAST(ts AS VARCHAR),1,10), 'T', substr(CAST(ts AS VARCHAR),12,8), 'Z","user_id":"u',
+ CAST(user_id AS VARCHAR), '","name":"', event_type, '","country":"', CASE user_id%3 WHEN 0 THEN 'FR' WHEN 1 THEN 'DE' ELSE 'IL' END, '"}') AS value FROM events"""
+USERS_PARSED = """SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS event_ts, 'u' || CAST(user_id AS VARCHAR) AS user_id, event_type AS name,
+ CASE user_id%3 WHEN 0 THEN 'FR' WHEN 1 THEN 'DE' ELSE 'IL' END AS country FROM events"""
+
+ORACLES["stream_user_events"] = USERS_PARSED
+ORACLES["stream_dedup"] = USERS_PARSED
+ORACLES["stream_flights"] = W("""SELECT flight_id, routes_id AS route_id, scheduled_departure, scheduled_arrival,
+ possible_passenger_amount AS max_passenger_capacity FROM flights""", "flights")
+ORACLES["stream_quarantine"] = W("""
+SELECT CASE WHEN event_type = 'error' THEN substr(value, 1, length(value) - 3) ELSE replace(value, '"event_ts":"', '"event_ts":"x') END AS value,
+ CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'bad_timestamp' END AS reason
+FROM payload WHERE event_type IN ('error', 'signup')""", ctes=[("payload", USER_PAYLOAD)])
