@@ -383,3 +383,54 @@ def q_stream_dedup(spark, d):
     out, _ = _run_stream(spark, Airline(spark, d).users_json_repeated, USER_EVENT_SCHEMA, ["event_ts"],
                          dedup_keys=["user_id", "event_ts"], name="dedup")
     return out
+
+
+# ---------------------------------------------------------------- generic operators
+@query("top_n_per_group")
+def q_top_n(spark, d):
+    """The three longest scheduled flights of every route."""
+    from contrail.functions.columns import minutes_between
+    from contrail.operators.ranking import top_n_per_group
+    f = Airline(spark, d).flights.select(
+        "routes_id", "flight_id", minutes_between("scheduled_departure", "scheduled_arrival").alias("minutes"))
+    return top_n_per_group(f, ["routes_id"], [F.col("minutes").desc(), F.col("flight_id").asc()], 3,
+                           rank_col="rank")
+
+
+@query("most_frequent")
+def q_most_frequent(spark, d):
+    """Most common nationality in each membership tier, with its count."""
+    from contrail.operators.ranking import most_frequent
+    c = Airline(spark, d).customers
+    return most_frequent(c, ["customer_membership_tier"], "customer_nationality", "top_nationality",
+                         count_col="customers")
+
+
+@query("align_periods")
+def q_align_periods(spark, d):
+    """Bookings/cancelations and boarded flights side by side for every month
+    present in either table (full outer alignment)."""
+    from contrail.operators.joins import align_periods
+    a = Airline(spark, d)
+    rate = silver.build_cancelation_rate(a.booked_tickets, a.ticket_events, audit=False)
+    info = _flight_info(a)
+    return align_periods([rate.select("year", "month", "total_booking", "total_cancelation"),
+                          info.select("year", "month", "total_flights")], how="full")
+
+
+@query("latest_per_key")
+def q_latest(spark, d):
+    """One boarding event per (non-unique) event id: the latest scan."""
+    from contrail.operators.ranking import latest_per_key
+    e = Airline(spark, d).boarding_events
+    order = [F.col("event_time").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in
+                                                       ["flight_id", "event_type", "passenger_id", "baggage_weight"]]
+    return latest_per_key(e, ["event_id"], order)
+
+
+@query("synth_routes")
+def q_synth_routes(spark, d):
+    """A6/T1: one synthetic bronze route per order, generated on the executors."""
+    from contrail.sources.synth import BRONZE_SCHEMAS, synth_columns
+    keys = Airline(spark, d).tables.orders.select(F.col("o_orderkey").alias("id"))
+    return synth_columns(keys, BRONZE_SCHEMAS["routes_raw"], seed=42, anchor="2025-01-01")

@@ -322,3 +322,25 @@ class Airline:
         if name not in self._cache:
             self._cache[name] = VIEWS[name](self.tables)
         return self._cache[name]
+
+
+def bronze_tables(a: Airline) -> dict[str, DataFrame]:
+    """The ten bronze tables, physical (typo'd) column names and a load time,
+    derived from the fixture views — the inputs of a full layer run."""
+    from contrail import schema
+
+    def phys(df: DataFrame, table: str) -> DataFrame:
+        return df.withColumnsRenamed(schema.BRONZE_NAMES[table]).withColumn("ingestion_time", F.current_timestamp())
+
+    return {
+        "routes_raw": phys(a.routes, "silver_routes"),
+        "flights": phys(a.flights.drop("flight_date"), "silver_flights"),
+        "route_weather_points": phys(a.waypoints, "silver_waypoint_sampling_weather_points"),
+        "ticket_prices": phys(a.ticket_prices, "silver_ticket_prices"),
+        "registered_customers": phys(a.customers, "silver_customers"),
+        "flight_events_raw": phys(a.flights_events, "silver_flights_events"),
+        "booked_tickets_raw": phys(a.booked_tickets, "silver_booked_tickets"),
+        "ticket_events_raw": phys(a.ticket_events, "silver_ticket_events"),
+        "flight_weather_raw_api": a.weather_raw.withColumn("ingestion_time", F.current_timestamp()),
+        "boarding_events_raw": a.boarding_events.withColumn("ingestion_time", F.current_timestamp()),
+    }

@@ -250,3 +250,22 @@ ORACLES["stream_quarantine"] = W("""
 SELECT CASE WHEN event_type = 'error' THEN substr(value, 1, length(value) - 3) ELSE replace(value, '"event_ts":"', '"event_ts":"x') END AS value,
  CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'bad_timestamp' END AS reason
 FROM payload WHERE event_type IN ('error', 'signup')""", ctes=[("payload", USER_PAYLOAD)])
+
+ORACLES["top_n_per_group"] = W(f"""
+SELECT routes_id, flight_id, minutes, rank FROM (SELECT routes_id, flight_id, {_mins('scheduled_departure', 'scheduled_arrival')} AS minutes,
+ CAST(row_number() OVER (PARTITION BY routes_id ORDER BY date_diff('second', scheduled_departure, scheduled_arrival) DESC, flight_id) AS INT) AS rank
+ FROM flights) WHERE rank <= 3""", "flights")
+ORACLES["most_frequent"] = W("""
+SELECT customer_membership_tier, top_nationality, customers FROM (SELECT customer_membership_tier, customer_nationality AS top_nationality,
+ count(*) AS customers, row_number() OVER (PARTITION BY customer_membership_tier ORDER BY count(*) DESC, customer_nationality) AS rn
+ FROM customers WHERE customer_nationality IS NOT NULL GROUP BY customer_membership_tier, customer_nationality) WHERE rn = 1""", "customers")
+ORACLES["align_periods"] = W("""
+SELECT coalesce(c.year, i.year) AS year, coalesce(c.month, i.month) AS month, c.total_booking, c.total_cancelation, i.total_flights
+FROM cancelation_rate c FULL OUTER JOIN dim_flight_info i ON c.year = i.year AND c.month = i.month""",
+                             "booked_tickets", "ticket_events", "flights", "boarding_events",
+                             ctes=[("cancelation_rate", CANCELATION_RATE), ("boarding_summary", BOARDING_SUMMARY),
+                                   ("dim_flight_info", DIM_FLIGHT_INFO)])
+ORACLES["latest_per_key"] = W("""
+SELECT event_id, flight_id, event_type, passenger_id, baggage_weight, event_time FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+ ORDER BY event_time DESC NULLS LAST, flight_id NULLS LAST, event_type NULLS LAST, passenger_id NULLS LAST, baggage_weight NULLS LAST) AS rn
+ FROM boarding_events) WHERE rn = 1""", "boarding_events")
