@@ -136,63 +136,99 @@ def violation(rule: Rule) -> Column:
     raise ValueError(f"not a row-level rule: {k}")
 
 
-def _row(spark: SparkSession, rule: Rule, violations) -> DataFrame:
-    return spark.createDataFrame([(rule.table, rule.kind, rule.label, violations,
-                                   None if violations is None else violations == 0, rule.severity)], RESULT_SCHEMA)
+def _meta(rule: Rule, violations) -> tuple:
+    return (rule.table, rule.kind, rule.label, violations, None if violations is None else violations == 0,
+            rule.severity)
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _from_count(count_df: DataFrame, rule: Rule) -> DataFrame:
-    v = F.col("violations").cast("bigint")
-    return count_df.select(F.lit(rule.table).alias("table_name"), F.lit(rule.kind).alias("rule"),
-                           F.lit(rule.label).alias("column_name"), v.alias("violations"),
-                           (v == 0).alias("passed"), F.lit(rule.severity).alias("severity"))
+    # one selectExpr = one JVM round trip for the whole result projection
+    return count_df.selectExpr(
+        f"{_sql_str(rule.table)} AS table_name", f"{_sql_str(rule.kind)} AS rule",
+        f"{_sql_str(rule.label)} AS column_name", "CAST(violations AS BIGINT) AS violations",
+        "CAST(violations AS BIGINT) = 0 AS passed", f"{_sql_str(rule.severity)} AS severity")
 
 
 def _row_level(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    aggs = [F.count_if(violation(r)).alias(f"_r{i}") for i, r in enumerate(rules)]
-    counts = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.label).alias("column_name"),
-                              F.col(f"_r{i}").cast("bigint").alias("violations"),
-                              F.lit(r.severity).alias("severity")) for i, r in enumerate(rules)])
-    out = counts.select(F.inline(rows))
-    return out.select(F.lit(table).alias("table_name"), "rule", "column_name", "violations",
-                      (F.col("violations") == 0).alias("passed"), "severity")
+    """All row-level rules of one table as ONE aggregation, unpivoted to one
+    row per rule with ``stack`` (a single projection, no extra scan)."""
+    counts = df.agg(*[F.count_if(violation(r)).alias(f"_r{i}") for i, r in enumerate(rules)])
+    args = ", ".join(f"{_sql_str(r.kind)}, {_sql_str(r.label)}, CAST(_r{i} AS BIGINT), {_sql_str(r.severity)}"
+                     for i, r in enumerate(rules))
+    out = counts.selectExpr(f"stack({len(rules)}, {args}) AS (rule, column_name, violations, severity)")
+    return out.selectExpr(f"{_sql_str(table)} AS table_name", "rule", "column_name", "violations",
+                          "violations = 0 AS passed", "severity")
 
 
 def _type_name(dt: T.DataType) -> str:
     return dt.simpleString()
 
 
-def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+def _scans(rule: Rule) -> list[str]:
+    """Tables a rule reads with a Spark job (metadata rules read none)."""
+    if rule.kind in ("required", "types"):
+        return []
+    if rule.kind in ("fk", "consistent", "cross_order"):
+        other = rule.params[0] if rule.kind == "fk" else rule.params[1]
+        return [rule.table, other]
+    return [rule.table]
+
+
+def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule],
+               stage=None) -> DataFrame:
     """Evaluate ``rules`` against ``tables``; one result row per rule.
 
     A rule on a table that is absent, or on columns the table lacks, yields
     ``violations = NULL, passed = NULL`` (the ``required`` rule reports why).
+    ``stage(name, df) -> df`` is applied to every table that more than one
+    Spark job will read (e.g. ``session.materialize``), so an expensive
+    table plan is computed once rather than once per rule group.
     """
+    row_tables = {r.table for r in rules if r.kind in ROW_KINDS}
+    uses: dict[str, int] = {t: 1 for t in row_tables}
+    for r in rules:
+        if r.kind not in ROW_KINDS:
+            for t in _scans(r):
+                uses[t] = uses.get(t, 0) + 1
+    staged: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame | None:
+        if name not in staged:
+            df = tables.get(name)
+            if df is not None and stage is not None and uses.get(name, 0) > 1:
+                df = stage(name, df)
+            staged[name] = df
+        return staged[name]
+
     parts: list[DataFrame] = []
+    meta: list[tuple] = []
     row_rules: dict[str, list[Rule]] = {}
     for r in rules:
-        df = tables.get(r.table)
+        df = tables.get(r.table) if r.kind in ("required", "types") else table(r.table)
         cols = set(df.columns) if df is not None else set()
         if r.kind == "required":
             missing = [c for c in r.columns if c not in cols] if df is not None else list(r.columns)
-            parts.append(_row(spark, r, len(missing)))
+            meta.append(_meta(r, len(missing)))
             continue
         if r.kind == "types":
             if df is None:
-                parts.append(_row(spark, r, None))
+                meta.append(_meta(r, None))
                 continue
             actual = {f.name: _type_name(f.dataType) for f in df.schema.fields}
-            bad = sum(1 for c, t in zip(r.columns, r.params) if actual.get(c) != t)
-            parts.append(_row(spark, r, bad))
+            meta.append(_meta(r, sum(1 for c, t in zip(r.columns, r.params) if actual.get(c) != t)))
             continue
-        needed = set(r.columns) if r.kind not in ("consistent", "cross_order") else set(r.columns[:1])
         if r.kind == "consistent":
-            needed |= set(r.params[0])
-        if r.kind == "cross_order":
+            needed = set(r.columns) | set(r.params[0])
+        elif r.kind == "cross_order":
             needed = {r.columns[0], r.params[0]}
+        else:
+            needed = set(r.columns)
         if df is None or not needed <= cols:
-            parts.append(_row(spark, r, None))
+            meta.append(_meta(r, None))
             continue
         if r.kind in ROW_KINDS:
             row_rules.setdefault(r.table, []).append(r)
@@ -200,17 +236,17 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             dup = df.groupBy(*r.columns).count().where(F.col("count") > 1)
             parts.append(_from_count(dup.agg(F.count(F.lit(1)).alias("violations")), r))
         elif r.kind == "fk":
-            parent = tables.get(r.params[0])
+            parent = table(r.params[0])
             if parent is None:
-                parts.append(_row(spark, r, None))
+                meta.append(_meta(r, None))
                 continue
             miss = orphans(df.select(r.columns[0]), parent, r.columns[0], r.params[1])
             parts.append(_from_count(miss.agg(F.count(F.lit(1)).alias("violations")), r))
         elif r.kind == "consistent":
             keys, other, other_col, tol = r.params
-            o = tables.get(other)
+            o = table(other)
             if o is None:
-                parts.append(_row(spark, r, None))
+                meta.append(_meta(r, None))
                 continue
             a = df.select(*keys, F.col(r.columns[0]).cast("double").alias("_a"))
             b = o.select(*keys, F.col(other_col).cast("double").alias("_b"))
@@ -219,9 +255,9 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             parts.append(_from_count(bad.agg(F.count(F.lit(1)).alias("violations")), r))
         elif r.kind == "cross_order":
             key, other, other_key = r.params
-            o = tables.get(other)
+            o = table(other)
             if o is None:
-                parts.append(_row(spark, r, None))
+                meta.append(_meta(r, None))
                 continue
             first, second = r.columns
             a = df.select(F.col(key).alias("_k"), F.col(first).alias("_a"))
@@ -230,11 +266,12 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             parts.append(_from_count(bad.agg(F.count(F.lit(1)).alias("violations")), r))
         else:
             raise ValueError(f"unknown rule kind {r.kind!r}")
-    for table, rs in row_rules.items():
-        parts.append(_row_level(tables[table], table, rs))
-    if not parts:
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    for name, rs in row_rules.items():
+        parts.append(_row_level(table(name), name, rs))
+    if meta or not parts:
+        parts.append(spark.createDataFrame(meta, RESULT_SCHEMA))
+    # every part has the result columns in the same order: positional union
+    return reduce(lambda x, y: x.union(y), parts)
 
 
 class DataQualityError(Exception):

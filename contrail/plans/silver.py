@@ -94,10 +94,13 @@ def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights:
                          audit: bool = True) -> DataFrame:
     """Tie raw weather samples to flights.
 
-    A sample belongs to every waypoint at its exact (lat, lon, height) and to
-    every flight on that waypoint's route on the sample date, so the key is
-    (sample, flight). The waypoint table is bounded by the route count and
-    the join uses equality only; AQE picks broadcast vs shuffle from sizes.
+    A sample belongs to every flight whose route has a waypoint at the
+    sample's exact (lat, lon, height) on the sample date, so the key is
+    (sample, flight). Join order matters: an airport's coordinates are shared
+    by every route touching it, so sample ⋈ waypoint first would fan out ~40×
+    before the selective date match. Instead flights ⋈ waypoints (3 rows per
+    flight) is built first and the samples join it on all four keys
+    (lat, lon, height, date) in one equi-join.
     """
     wp = waypoints.select(
         F.col("route_id").alias("_route"), F.col("way_point_number").alias("waypoint_sampling_number"),
@@ -105,14 +108,16 @@ def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights:
         F.col("point_height").alias("_h"))
     fl = flights.select(F.col("flight_id").alias("silver_flight_id"), F.col("routes_id").alias("_route"),
                         F.col("flight_date").alias("_sdate"))
-    w = weather_raw.withColumn("_sdate", F.to_date("sample_for_date"))
-    j = (w.join(wp, (w.latitude == wp._lat) & (w.longitude == wp._lon) & (w.height == wp._h))
-          .join(fl, ["_route", "_sdate"]))
-    out = j.select(
-        "weather_sample_id", "silver_flight_id", "waypoint_sampling_number",
+    flight_points = fl.join(wp, "_route")
+    w = weather_raw.select(
+        "weather_sample_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
+        F.col("height").alias("_h"), F.to_date("sample_for_date").alias("_sdate"),
         F.col("current_weather_condition").alias("weather_condition"),
-        "temperature", "humidity", "wind_speed", "wind_direction",
-        F.col("_sdate").alias("sample_for_date"),
+        "temperature", "humidity", "wind_speed", "wind_direction")
+    j = w.join(flight_points, ["_lat", "_lon", "_h", "_sdate"])
+    out = j.select(
+        "weather_sample_id", "silver_flight_id", "waypoint_sampling_number", "weather_condition",
+        "temperature", "humidity", "wind_speed", "wind_direction", F.col("_sdate").alias("sample_for_date"),
     )
     return with_audit(out) if audit else out
 

@@ -8,7 +8,7 @@ comparable with the SQL oracle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,53 +222,91 @@ def q_ml_training_pf(spark, d):
 
 
 # ---------------------------------------------------------------- data quality
-def silver_tables(a: Airline) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Name → DataFrame, built on first use (a rule set that touches three
+    tables never plans the other twenty)."""
+
+    def __init__(self, factories: dict):
+        self._f, self._built = factories, {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = self._f[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._f)
+
+    def __len__(self):
+        return len(self._f)
+
+
+def silver_tables(a: Airline) -> LazyTables:
     """The thirteen silver tables built from the fixtures (no audit column)."""
-    return {
-        "silver_routes": a.routes, "silver_flights": a.flights,
-        "silver_waypoint_sampling_weather_points": a.waypoints,
-        "silver_ticket_prices": a.ticket_prices, "silver_customers": a.customers,
-        "silver_flights_events": a.flights_events,
-        "silver_boarding_summary": silver.build_boarding_summary(a.boarding_events, audit=False),
-        "silver_agg_frequent_delay_reasons": silver.build_delay_reasons(a.flights_events, a.flights, audit=False),
-        "silver_flight_weather": silver.build_flight_weather(a.weather_raw, a.waypoints, a.flights, audit=False),
-        "silver_weather_summary": silver.build_weather_summary(a.flight_weather, audit=False),
-        "silver_agg_cancelation_rate": silver.build_cancelation_rate(a.booked_tickets, a.ticket_events, audit=False),
-        "silver_ticket_events": a.ticket_events, "silver_booked_tickets": a.booked_tickets,
-    }
-
-
-def gold_tables(a: Airline) -> dict[str, DataFrame]:
+    return LazyTables({
+        "silver_routes": lambda: a.routes, "silver_flights": lambda: a.flights,
+        "silver_waypoint_sampling_weather_points": lambda: a.waypoints,
+        "silver_ticket_prices": lambda: a.ticket_prices, "silver_customers": lambda: a.customers,
+        "silver_flights_events": lambda: a.flights_events,
+        "silver_boarding_summary": lambda: silver.build_boarding_summary(a.boarding_events, audit=False),
+        "silver_agg_frequent_delay_reasons": lambda: silver.build_delay_reasons(a.flights_events, a.flights,
+                                                                                audit=False),
+        "silver_flight_weather": lambda: silver.build_flight_weather(a.weather_raw, a.waypoints, a.flights,
+                                                                     audit=False),
+        "silver_weather_summary": lambda: silver.build_weather_summary(a.flight_weather, audit=False),
+        "silver_agg_cancelation_rate": lambda: silver.build_cancelation_rate(a.booked_tickets, a.ticket_events,
+                                                                             audit=False),
+        "silver_ticket_events": lambda: a.ticket_events, "silver_booked_tickets": lambda: a.booked_tickets,
+    })
+
+
+def gold_tables(a: Airline) -> LazyTables:
     """The ten gold tables built from the fixtures (reference key modes)."""
-    delays, info, revenue, popular = _dims(a)
-    routes_dim = gold.build_ml_routes(a.routes, a.flights, audit=False)
-    ws = silver.build_weather_summary(a.flight_weather, audit=False)
-    weather_dim = gold.build_ml_weather(ws, a.flights, a.waypoints, audit=False)
-    boarding_dim = gold.build_ml_boarding_data(a.flights, audit=False)
-    return {
-        "gold_dim_monthly_delays": delays, "gold_dim_monthly_flight_info": info,
-        "gold_dim_monthly_revenue": revenue, "gold_dim_monthly_most_popular": popular,
-        "gold_fact_monthly_performance_report": gold.build_performance_report(delays, info, revenue, popular,
-                                                                              audit=False),
-        "gold_monthly_aggregates": gold.build_monthly_aggregates(delays, info, revenue, popular, audit=False),
-        "gold_dim_ml_routes": routes_dim, "gold_dim_ml_weather": weather_dim, "gold_dim_ml_boarding_data": boarding_dim,
-        "gold_fact_ml_training": gold.build_ml_training(a.flights, a.flights_events, routes_dim, weather_dim,
-                                                        boarding_dim, audit=False),
-    }
-
-
-def recomputed_tables(a: Airline) -> dict[str, DataFrame]:
+    t: LazyTables
+
+    def ws():
+        return silver.build_weather_summary(a.flight_weather, audit=False)
+
+    t = LazyTables({
+        "gold_dim_monthly_delays": lambda: _delays(a),
+        "gold_dim_monthly_flight_info": lambda: _flight_info(a),
+        "gold_dim_monthly_revenue": lambda: _revenue(a, "literal"),
+        "gold_dim_monthly_most_popular": lambda: _popular(a, "literal", "literal"),
+        "gold_fact_monthly_performance_report": lambda: gold.build_performance_report(*_dims_of(t), audit=False),
+        "gold_monthly_aggregates": lambda: gold.build_monthly_aggregates(*_dims_of(t), audit=False),
+        "gold_dim_ml_routes": lambda: gold.build_ml_routes(a.routes, a.flights, audit=False),
+        "gold_dim_ml_weather": lambda: gold.build_ml_weather(ws(), a.flights, a.waypoints, audit=False),
+        "gold_dim_ml_boarding_data": lambda: gold.build_ml_boarding_data(a.flights, audit=False),
+        "gold_fact_ml_training": lambda: gold.build_ml_training(
+            a.flights, a.flights_events, t["gold_dim_ml_routes"], t["gold_dim_ml_weather"],
+            t["gold_dim_ml_boarding_data"], audit=False),
+    })
+    return t
+
+
+def _dims_of(t: LazyTables):
+    return (t["gold_dim_monthly_delays"], t["gold_dim_monthly_flight_info"], t["gold_dim_monthly_revenue"],
+            t["gold_dim_monthly_most_popular"])
+
+
+def recomputed_tables(a: Airline) -> LazyTables:
     """Detail-level monthly totals recomputed from silver, for consistency checks."""
-    scanned = (a.boarding_events.where(F.col("event_type") == schema.BOARDING_SCAN)
-               .select("flight_id").distinct())
-    counts = (a.flights.join(scanned, "flight_id")
-              .groupBy(F.year("flight_date").cast("int").alias("year"), F.month("flight_date").cast("int").alias("month"))
-              .agg(F.count(F.lit(1)).alias("total_flights")))
-    p, b = a.ticket_prices, a.booked_tickets.select(F.col("booked_ticket_id").alias("silver_flight_id"))
-    revenue = (p.join(b, "silver_flight_id")
-               .groupBy(F.year("start_date").cast("int").alias("year"), F.month("start_date").cast("int").alias("month"))
-               .agg(F.sum(F.col("ticket_price") + F.col("luggage_fee")).cast("double").alias("total_revenue")))
-    return {"recomputed_flight_counts": counts, "recomputed_revenue": revenue}
+    def counts():
+        scanned = (a.boarding_events.where(F.col("event_type") == schema.BOARDING_SCAN)
+                   .select("flight_id").distinct())
+        return (a.flights.join(scanned, "flight_id")
+                .groupBy(F.year("flight_date").cast("int").alias("year"),
+                         F.month("flight_date").cast("int").alias("month"))
+                .agg(F.count(F.lit(1)).alias("total_flights")))
+
+    def revenue():
+        p, b = a.ticket_prices, a.booked_tickets.select(F.col("booked_ticket_id").alias("silver_flight_id"))
+        return (p.join(b, "silver_flight_id")
+                .groupBy(F.year("start_date").cast("int").alias("year"),
+                         F.month("start_date").cast("int").alias("month"))
+                .agg(F.sum(F.col("ticket_price") + F.col("luggage_fee")).cast("double").alias("total_revenue")))
+
+    return LazyTables({"recomputed_flight_counts": counts, "recomputed_revenue": revenue})
 
 
 def consistency_rules() -> list:
@@ -307,15 +345,18 @@ DQ_SETS = {
 }
 
 
-def _dq_tables(a: Airline, layer: str) -> dict[str, DataFrame]:
+def _dq_tables(a: Airline, layer: str) -> LazyTables:
     if layer == "silver":
         return silver_tables(a)
     if layer == "gold":
         return gold_tables(a)
-    return {**silver_tables(a), **gold_tables(a), **recomputed_tables(a)}
+    s, g, r = silver_tables(a), gold_tables(a), recomputed_tables(a)
+    return LazyTables({**s._f, **g._f, **r._f})
 
 
 def _register_dq(name: str, layer: str, factory) -> None:
+    # No staging here: at these sizes re-running a table's plan per rule group
+    # is cheaper than writing it out (measured); layer runs check written tables.
     @query(name)
     def _q(spark, d):
         return quality.run_checks(spark, _dq_tables(Airline(spark, d), layer), factory())
@@ -331,7 +372,7 @@ def q_dq_schema(spark, d):
     a = Airline(spark, d)
     rules = [r for r in quality.silver_rules() + quality.gold_rules() if r.kind == "required"]
     rules += [quality.types(t, cols) for t, cols in quality.SILVER_TYPES.items()]
-    return quality.run_checks(spark, {**silver_tables(a), **gold_tables(a)}, rules)
+    return quality.run_checks(spark, LazyTables({**silver_tables(a)._f, **gold_tables(a)._f}), rules)
 
 
 # ---------------------------------------------------------------- streaming

@@ -60,3 +60,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
     return os.path.join(shared_dir(spark), "contrail", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the written files instead of
+    replaying the upstream joins) and lets later scans prune columns, which
+    an RDD checkpoint cannot. Never uses a machine-local folder on a cluster.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -34,11 +34,21 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
+
+    def view(self, name: str) -> DataFrame:
+        """A derived airline view, built once per ``Tables`` (views reuse views)."""
+        if name not in self._views:
+            self._views[name] = VIEWS[name](self)
+        return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:  # one footer read per table, not per use
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
 
 def _case(key: Column, mapping: dict, default=None) -> Column:
@@ -83,7 +93,7 @@ def routes(t: Tables) -> DataFrame:
 
 def waypoints(t: Tables) -> DataFrame:
     """Three sampling points per route: origin, midpoint (high) and destination."""
-    r = routes(t).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(WAYPOINTS_PER_ROUTE - 1))))
+    r = t.view("routes").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(WAYPOINTS_PER_ROUTE - 1))))
     k = F.col("k")
     return r.select(
         F.col("routes_id").alias("route_id"),
@@ -225,11 +235,20 @@ def _weather_measures() -> list[Column]:
 
 
 def weather_raw(t: Tables) -> DataFrame:
-    """Bronze weather samples located at the coordinates of a route waypoint."""
+    """Bronze weather samples located at the coordinates of a route waypoint.
+
+    Line items join their order on the numeric key (the flight id is only
+    its string form), then the route's waypoint on (route, point number).
+    """
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_partkey", "l_suppkey")
-    f = flights(t).select(F.col("flight_id").alias("_fid"), "routes_id", "flight_date")
-    w = waypoints(t)
-    j = (li.join(f, F.col("l_orderkey").cast("string") == F.col("_fid"))
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    k, n = F.col("l_orderkey"), F.col("c_nationkey")
+    f = o.join(c, "o_custkey").select(
+        "l_orderkey", (n * NATIONS + (n + 1 + k % 24) % NATIONS).cast("string").alias("routes_id"),
+        F.col("o_orderdate").cast("date").alias("flight_date"))
+    w = t.view("waypoints")
+    j = (li.join(f, "l_orderkey")
          .join(w, (F.col("route_id") == F.col("routes_id")) & (F.col("way_point_number") == F.col("l_linenumber") % 3)))
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("weather_sample_id"),
@@ -289,7 +308,7 @@ def users_json_repeated(t: Tables) -> DataFrame:
 
 def flights_json(t: Tables) -> DataFrame:
     """The flight-topic message payload, one JSON document per flight."""
-    f = flights(t)
+    f = t.view("flights")
     return f.select(F.to_json(F.struct(
         F.col("flight_id"),
         F.col("routes_id").alias("route_id"),
@@ -314,14 +333,11 @@ class Airline:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.tables = Tables(spark, sf_dir)
-        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in VIEWS:
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = VIEWS[name](self.tables)
-        return self._cache[name]
+        return self.tables.view(name)
 
 
 def bronze_tables(a: Airline) -> dict[str, DataFrame]:
