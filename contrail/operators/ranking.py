@@ -8,6 +8,7 @@ trims each group map-side before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,3 +63,27 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence | None =
         order = ([F.col("ingestion_time").desc_nulls_last()] if "ingestion_time" in rest else []) + \
                 [F.col(c).asc_nulls_last() for c in rest if c != "ingestion_time"]
     return top_n_per_group(df, keys, order, 1)
+
+
+def most_frequent_many(df: DataFrame, keys: Sequence[str], labels: dict[str, str],
+                       weight: str | None = None) -> DataFrame:
+    """``most_frequent`` for several label columns at once, in one pass.
+
+    One ``GROUPING SETS ((keys, l1), (keys, l2), …)`` aggregate counts every
+    label (so ``df`` is read once, however many labels are ranked), a window
+    over (keys, label kind) picks each winner — most rows, ties to the
+    alphabetically smallest, NULL labels ignored — and a final group-by puts
+    the winners side by side. A group appears only when every label has a
+    winner (the inner-join semantics of ranking each label separately).
+    """
+    cols = list(labels)
+    measure = F.sum(weight) if weight else F.count(F.lit(1))
+    g = df.groupingSets([[*keys, c] for c in cols], *keys, *cols).agg(
+        measure.alias("__n"), *[F.grouping(c).alias(f"__g{i}") for i, c in enumerate(cols)])
+    kind = F.coalesce(*[F.when(F.col(f"__g{i}") == 0, F.lit(i)) for i in range(len(cols))])
+    value = F.coalesce(*[F.when(F.col(f"__g{i}") == 0, F.col(c).cast("string")) for i, c in enumerate(cols)])
+    g = g.withColumns({"__kind": kind, "__v": value}).where(F.col("__v").isNotNull())
+    top = top_n_per_group(g, [*keys, "__kind"], [F.col("__n").desc(), F.col("__v").asc()], 1)
+    out = top.groupBy(*keys).agg(*[F.max(F.when(F.col("__kind") == i, F.col(c))).alias(labels[c])
+                                   for i, c in enumerate(cols)])
+    return out.where(reduce(lambda a, b: a & b, [F.col(o).isNotNull() for o in labels.values()]))

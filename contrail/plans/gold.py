@@ -12,13 +12,13 @@ Scale notes that apply throughout:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import schema
 from contrail.functions.columns import minutes_between, month_of, safe_ratio, surrogate_key, year_of
 from contrail.operators.joins import align_periods, attach_scalar
-from contrail.operators.ranking import most_frequent, top_n_per_group
+from contrail.operators.ranking import most_frequent_many, top_n_per_group
 from contrail.operators.shaping import with_audit
 
 PERIOD = ["year", "month"]
@@ -122,8 +122,9 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
     ``per_passenger``: ``"literal"`` = total / 1 (reference), ``"distinct"``
     = total / distinct passengers; default literal for ``key="literal"``.
 
-    One aggregation at (year, month, class, passenger) grain feeds every
-    measure; the class ranking and the month roll-up run on that small frame.
+    One aggregation at (month, class) grain — (month, class, passenger) for
+    the distinct ratio — feeds every measure; totals and the top class come
+    from one window pass over it.
     """
     per_passenger = per_passenger or ("literal" if key == "literal" else "distinct")
     if key == "literal":
@@ -133,32 +134,43 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
     else:
         raise ValueError(f"unknown key mode {key!r}")
     n = F.col("_n")
-    # Passenger grain is only needed for the distinct-passenger ratio.
-    grain = ["ticket_class"] + (["customer_passport_id"] if per_passenger == "distinct" else [])
-    fine = j.groupBy(year_of("start_date").alias("year"), month_of("start_date").alias("month"), *grain).agg(
-        F.sum((F.col("ticket_price") + F.col("luggage_fee")) * n).alias("rev"),
-        F.sum(F.col("ticket_price") * n).alias("price_sum"),
-        F.sum(F.when(F.col("ticket_price").isNotNull(), n)).alias("price_n"),
-    )
-    by_class = fine.groupBy(*PERIOD, "ticket_class").agg(
-        F.sum("rev").alias("class_revenue"), F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n"))
-    top = top_n_per_group(by_class, PERIOD,
-                          [F.col("class_revenue").desc_nulls_last(), F.col("ticket_class").asc_nulls_last()], 1)
-    top = top.select(*PERIOD, F.col("ticket_class").alias("max_revenue_class"))
+    j = j.withColumns({"year": year_of("start_date"), "month": month_of("start_date")})
+    measures = [F.sum((F.col("ticket_price") + F.col("luggage_fee")) * n).alias("class_revenue"),
+                F.sum(F.col("ticket_price") * n).alias("price_sum"),
+                F.sum(F.when(F.col("ticket_price").isNotNull(), n)).alias("price_n")]
     if per_passenger == "distinct":
-        pax = fine.where(F.col("customer_passport_id").isNotNull()).groupBy(*PERIOD).agg(
-            F.count_distinct("customer_passport_id").alias("passengers"))
-    month = by_class.groupBy(*PERIOD).agg(
-        F.sum("class_revenue").cast("double").alias("total_revenue"),
-        F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_n")).alias("average_ticket_price"))
+        # (month, class, passenger) grain; a passenger's first row in a month
+        # is marked so distinct passengers sum up in the class aggregate below.
+        fine = j.groupBy(*PERIOD, "ticket_class", "customer_passport_id").agg(*measures)
+        first = F.row_number().over(Window.partitionBy(*PERIOD, "customer_passport_id")
+                                    .orderBy(F.col("ticket_class").asc_nulls_last()))
+        fine = fine.withColumn("_first", F.when(F.col("customer_passport_id").isNotNull() & (first == 1), 1)
+                               .otherwise(0))
+        by_class = fine.groupBy(*PERIOD, "ticket_class").agg(
+            F.sum("class_revenue").alias("class_revenue"), F.sum("price_sum").alias("price_sum"),
+            F.sum("price_n").alias("price_n"), F.sum("_first").alias("passengers"))
+    else:
+        by_class = j.groupBy(*PERIOD, "ticket_class").agg(*measures, F.lit(None).cast("bigint").alias("passengers"))
+    # One window pass over the (month, class) frame yields the month totals and
+    # the top class together, so the priced join feeds a single consumer.
+    w = Window.partitionBy(*PERIOD)
+    ranked = by_class.select(
+        *PERIOD, "ticket_class",
+        F.sum("class_revenue").over(w).alias("_total"), F.sum("price_sum").over(w).alias("_psum"),
+        F.sum("price_n").over(w).alias("_pn"), F.sum("passengers").over(w).alias("_pax"),
+        F.row_number().over(w.orderBy(F.col("class_revenue").desc_nulls_last(),
+                                      F.col("ticket_class").asc_nulls_last())).alias("_rn"))
+    month = ranked.where(F.col("_rn") == 1).select(
+        *PERIOD, F.col("ticket_class").alias("max_revenue_class"),
+        F.col("_total").cast("double").alias("total_revenue"),
+        F.try_divide(F.col("_psum").cast("double"), F.col("_pn")).alias("average_ticket_price"),
+        "_pax")
     if per_passenger == "distinct":
-        month = month.join(pax, PERIOD, "left").withColumn(
-            "revenue_per_passenger", safe_ratio("total_revenue", "passengers"))
+        month = month.withColumn("revenue_per_passenger", safe_ratio("total_revenue", "_pax"))
     else:
         month = month.withColumn("revenue_per_passenger", F.col("total_revenue") / F.lit(1))
     rate = cancelation_rate.select(*PERIOD, "cancelation_rate")
-    out = (month.join(F.broadcast(top), PERIOD, "left")
-           .join(F.broadcast(rate), PERIOD, "left")  # month grain: bounded
+    out = (month.join(F.broadcast(rate), PERIOD, "left")  # month grain: bounded
            .withColumn("revenue_id", surrogate_key("revenue", "year", "month")))
     return _finish(out, ["revenue_id", "max_revenue_class", "total_revenue", "revenue_per_passenger",
                          "average_ticket_price", "cancelation_rate", "year", "month"], audit)
@@ -172,7 +184,8 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     uses the booking's own ``flight_id``. ``method="literal"`` reports the
     constant ``"online"`` (reference), ``"column"`` the real order method.
     The booking ⋈ flight ⋈ route join is counted once at (month, origin,
-    destination, method) grain; the three rankings read that small frame.
+    destination, method) grain and all three rankings come from one
+    grouping-sets pass over that small frame, so the join runs once.
     """
     bkey = "booked_ticket_id" if key == "literal" else "flight_id"
     b = booked_tickets.select(F.col(bkey).alias("_fid"), "booking_date", "order_method")
@@ -183,10 +196,9 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     counts = j.groupBy(year_of("booking_date").alias("year"), month_of("booking_date").alias("month"),
                        "airport_origin", "airport_destination", m.alias("method")).agg(
         F.count(F.lit(1)).alias("_w"))
-    origin = most_frequent(counts, PERIOD, "airport_origin", "most_popular_origin", weight="_w")
-    dest = most_frequent(counts, PERIOD, "airport_destination", "most_popular_destination", weight="_w")
-    meth = most_frequent(counts, PERIOD, "method", "most_popular_order_method", weight="_w")
-    out = align_periods([origin, dest, meth], PERIOD)
+    out = most_frequent_many(counts, PERIOD, {"airport_origin": "most_popular_origin",
+                                              "airport_destination": "most_popular_destination",
+                                              "method": "most_popular_order_method"}, weight="_w")
     out = out.withColumn("metrics_id", surrogate_key("most_popular", "year", "month"))
     return _finish(out, ["metrics_id", "most_popular_origin", "most_popular_destination",
                          "most_popular_order_method", "year", "month"], audit)
