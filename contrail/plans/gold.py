@@ -24,6 +24,14 @@ from contrail.operators.shaping import with_audit
 PERIOD = ["year", "month"]
 
 
+def _key(id_mode: str, namespace: str, *cols):
+    """Row id: stable hash of the natural key, or ``uuid()`` (the reference's
+    per-run random ids, still built-in so no Python worker is involved)."""
+    if id_mode == "uuid":
+        return F.expr("uuid()")
+    return surrogate_key(namespace, *cols)
+
+
 def _finish(df: DataFrame, cols: list[str], audit: bool) -> DataFrame:
     out = df.select(*cols)
     return with_audit(out) if audit else out
@@ -36,7 +44,7 @@ def _departures(flights: DataFrame, flights_events: DataFrame) -> DataFrame:
 
 
 def build_monthly_delays(flights: DataFrame, flights_events: DataFrame, delay_reasons: DataFrame,
-                         reason_path: str = "columns", audit: bool = True) -> DataFrame:
+                         reason_path: str = "columns", id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Monthly departure-delay statistics plus the most frequent delay reason.
 
     Delay = signed minutes from scheduled to actual departure (interval form,
@@ -66,12 +74,13 @@ def build_monthly_delays(flights: DataFrame, flights_events: DataFrame, delay_re
     top = top_n_per_group(r, PERIOD, [F.col("total_occurences").desc(), F.col("delay_reason").asc()], 1)
     top = top.select(*PERIOD, F.col("delay_reason").alias("most_frequent_delay"))
     out = stats.join(F.broadcast(top), PERIOD, "left")  # month grain: bounded
-    out = out.withColumn("delays_id", surrogate_key("delays", "year", "month"))
+    out = out.withColumn("delays_id", _key(id_mode, "delays", "year", "month"))
     return _finish(out, ["delays_id", "most_frequent_delay", "average_delay", "minimal_delay", "maximal_delay",
                          "year", "month"], audit)
 
 
-def build_monthly_flight_info(flights: DataFrame, boarding_summary: DataFrame, audit: bool = True) -> DataFrame:
+def build_monthly_flight_info(flights: DataFrame, boarding_summary: DataFrame, id_mode: str = "hash",
+                              audit: bool = True) -> DataFrame:
     """Flights with a boarding summary, per month of the flight date."""
     j = flights.select("flight_id", "flight_date").join(
         boarding_summary.select("flight_id", "passenger_count"), "flight_id")
@@ -80,7 +89,7 @@ def build_monthly_flight_info(flights: DataFrame, boarding_summary: DataFrame, a
         F.sum("passenger_count").cast("bigint").alias("total_passengers_number"),
         F.avg("passenger_count").alias("average_passengers_number_on_flight"),
     )
-    out = agg.withColumn("flights_info_id", surrogate_key("flight_info", "year", "month"))
+    out = agg.withColumn("flights_info_id", _key(id_mode, "flight_info", "year", "month"))
     return _finish(out, ["flights_info_id", "total_flights", "total_passengers_number",
                          "average_passengers_number_on_flight", "year", "month"], audit)
 
@@ -113,7 +122,8 @@ def _priced_bookings_by_flight(prices: DataFrame, bookings: DataFrame) -> DataFr
 
 
 def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, cancelation_rate: DataFrame,
-                          key: str = "literal", per_passenger: str | None = None, audit: bool = True) -> DataFrame:
+                          key: str = "literal", per_passenger: str | None = None, id_mode: str = "hash",
+                          audit: bool = True) -> DataFrame:
     """Monthly revenue by month of the price start date.
 
     total = Σ(price + fee) per booking (a NULL fee drops that term, as the
@@ -171,13 +181,14 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
         month = month.withColumn("revenue_per_passenger", F.col("total_revenue") / F.lit(1))
     rate = cancelation_rate.select(*PERIOD, "cancelation_rate")
     out = (month.join(F.broadcast(rate), PERIOD, "left")  # month grain: bounded
-           .withColumn("revenue_id", surrogate_key("revenue", "year", "month")))
+           .withColumn("revenue_id", _key(id_mode, "revenue", "year", "month")))
     return _finish(out, ["revenue_id", "max_revenue_class", "total_revenue", "revenue_per_passenger",
                          "average_ticket_price", "cancelation_rate", "year", "month"], audit)
 
 
 def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, routes: DataFrame,
-                               key: str = "literal", method: str = "literal", audit: bool = True) -> DataFrame:
+                               key: str = "literal", method: str = "literal", id_mode: str = "hash",
+                               audit: bool = True) -> DataFrame:
     """Most popular origin, destination and order method per booking month.
 
     ``key="literal"`` joins booking id to flight id (reference); ``"flight"``
@@ -199,7 +210,7 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     out = most_frequent_many(counts, PERIOD, {"airport_origin": "most_popular_origin",
                                               "airport_destination": "most_popular_destination",
                                               "method": "most_popular_order_method"}, weight="_w")
-    out = out.withColumn("metrics_id", surrogate_key("most_popular", "year", "month"))
+    out = out.withColumn("metrics_id", _key(id_mode, "most_popular", "year", "month"))
     return _finish(out, ["metrics_id", "most_popular_origin", "most_popular_destination",
                          "most_popular_order_method", "year", "month"], audit)
 
@@ -209,27 +220,27 @@ def _four_dims(delays: DataFrame, flight_info: DataFrame, revenue: DataFrame, po
 
 
 def build_performance_report(delays: DataFrame, flight_info: DataFrame, revenue: DataFrame, popular: DataFrame,
-                             audit: bool = True) -> DataFrame:
+                             id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Star-schema fact: the four monthly dimension ids for months present in all four."""
     j = _four_dims(delays.select(*PERIOD, "delays_id"), flight_info.select(*PERIOD, "flights_info_id"),
                    revenue.select(*PERIOD, "revenue_id"), popular.select(*PERIOD, "metrics_id"))
-    out = j.withColumn("report_id", surrogate_key("report", "year", "month"))
+    out = j.withColumn("report_id", _key(id_mode, "report", "year", "month"))
     return _finish(out, ["report_id", "revenue_id", "flights_info_id", "metrics_id", "delays_id", "year", "month"],
                    audit)
 
 
 def build_monthly_aggregates(delays: DataFrame, flight_info: DataFrame, revenue: DataFrame, popular: DataFrame,
-                             audit: bool = True) -> DataFrame:
+                             id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Flat monthly KPI table from the four dimensions."""
     j = _four_dims(delays.select(*PERIOD, "average_delay"), flight_info.select(*PERIOD, "total_flights"),
                    revenue.select(*PERIOD, "total_revenue"),
                    popular.select(*PERIOD, "most_popular_destination", "most_popular_order_method"))
-    out = j.withColumn("aggregate_id", surrogate_key("aggregate", "year", "month"))
+    out = j.withColumn("aggregate_id", _key(id_mode, "aggregate", "year", "month"))
     return _finish(out, ["aggregate_id", "year", "month", "total_flights", "total_revenue", "average_delay",
                          "most_popular_destination", "most_popular_order_method"], audit)
 
 
-def build_ml_routes(routes: DataFrame, flights: DataFrame, audit: bool = True) -> DataFrame:
+def build_ml_routes(routes: DataFrame, flights: DataFrame, id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Average scheduled flight time per route.
 
     Flights are aggregated per ``routes_id`` first (partial aggregation), then
@@ -239,13 +250,13 @@ def build_ml_routes(routes: DataFrame, flights: DataFrame, audit: bool = True) -
     per_route = flights.groupBy("routes_id").agg(F.avg(minutes_between("scheduled_departure", "scheduled_arrival"))
                                                  .alias("time_of_flight"))
     r = routes.select("routes_id", "airport_origin", "airport_destination", "distance_km")
-    out = r.join(per_route, "routes_id").withColumn("route_id", surrogate_key("route", "routes_id"))
+    out = r.join(per_route, "routes_id").withColumn("route_id", _key(id_mode, "route", "routes_id"))
     return _finish(out, ["route_id", "routes_id", "airport_origin", "airport_destination", "time_of_flight",
                          "distance_km"], audit)
 
 
 def build_ml_weather(weather_summary: DataFrame, flights: DataFrame | None = None,
-                     waypoints: DataFrame | None = None, audit: bool = True) -> DataFrame:
+                     waypoints: DataFrame | None = None, id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Per majority weather condition: flight count and average conditions.
 
     ``average_height`` is NULL unless flights and waypoints are given; then it
@@ -265,23 +276,24 @@ def build_ml_weather(weather_summary: DataFrame, flights: DataFrame | None = Non
         *[F.avg(c).alias(c) for c in ["average_temperature", "average_humidity", "average_wind_speed",
                                       "average_wind_direction"]],
     )
-    out = agg.withColumn("weather_id", surrogate_key("weather", "majority_weather_condition"))
+    out = agg.withColumn("weather_id", _key(id_mode, "weather", "majority_weather_condition"))
     return _finish(out, ["weather_id", "majority_weather_condition", "number_of_most_common_condition",
                          "average_height", "average_temperature", "average_humidity", "average_wind_speed",
                          "average_wind_direction"], audit)
 
 
-def build_ml_boarding_data(flights: DataFrame, audit: bool = True) -> DataFrame:
+def build_ml_boarding_data(flights: DataFrame, id_mode: str = "hash", audit: bool = True) -> DataFrame:
     """Fleet-wide capacity maxima: a global aggregate, exactly one row."""
     agg = flights.agg(F.max("possible_passenger_amount").alias("max_passenger_capacity"),
                       F.max("possible_luggage_weight").alias("max_luggage_weight_capacity"))
-    out = agg.withColumn("boarding_data_id", surrogate_key("boarding"))
+    out = agg.withColumn("boarding_data_id", _key(id_mode, "boarding"))
     return _finish(out, ["boarding_data_id", "max_passenger_capacity", "max_luggage_weight_capacity"], audit)
 
 
 def build_ml_training(flights: DataFrame, flights_events: DataFrame, routes_dim: DataFrame,
                       weather_dim: DataFrame, boarding_dim: DataFrame, weather: str = "first",
-                      weather_summary: DataFrame | None = None, audit: bool = True) -> DataFrame:
+                      weather_summary: DataFrame | None = None, id_mode: str = "hash",
+                      audit: bool = True) -> DataFrame:
     """One training row per actual departure.
 
     delay = (epoch(actual) − epoch(scheduled)) / 60; route id by left join on
@@ -304,5 +316,5 @@ def build_ml_training(flights: DataFrame, flights_events: DataFrame, routes_dim:
     else:
         j = attach_scalar(j, weather_dim, ["weather_id"])
     j = attach_scalar(j, boarding_dim, ["boarding_data_id"])
-    out = j.withColumn("training_set_id", surrogate_key("training", "flight_event_id"))
+    out = j.withColumn("training_set_id", _key(id_mode, "training", "flight_event_id"))
     return _finish(out, ["training_set_id", "weather_id", "route_id", "boarding_data_id", "delay_in_minutes"], audit)

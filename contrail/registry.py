@@ -475,3 +475,10 @@ def q_synth_routes(spark, d):
     from contrail.sources.synth import BRONZE_SCHEMAS, synth_columns
     keys = Airline(spark, d).tables.orders.select(F.col("o_orderkey").alias("id"))
     return synth_columns(keys, BRONZE_SCHEMAS["routes_raw"], seed=42, anchor="2025-01-01")
+
+
+@query("dq_types")
+def q_dq_types(spark, d):
+    """Q12: declared column types of the silver tables (schema metadata only)."""
+    rules = [quality.types(t, cols) for t, cols in quality.SILVER_TYPES.items()]
+    return quality.run_checks(spark, silver_tables(Airline(spark, d)), rules)

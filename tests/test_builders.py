@@ -128,3 +128,12 @@ def test_weather_summary_majority_tie_and_averages(spark):
     fw = fw.withColumns({"humidity": F.lit(50.0), "wind_speed": F.lit(1.0), "wind_direction": F.lit(90.0)})
     r = silver.build_weather_summary(fw, audit=False).first()
     assert r.majority_weather_condition == "fog" and r.average_temperature == 15.0
+
+
+def test_uuid_id_mode_gives_distinct_random_ids(spark):
+    from pyspark.sql import functions as F
+    fl = _flights(spark).withColumns({"possible_passenger_amount": F.lit(180), "possible_luggage_weight": F.lit(9000)})
+    out = gold.build_ml_boarding_data(fl, id_mode="uuid", audit=False).first()
+    assert len(out.boarding_data_id) == 36
+    hashed = gold.build_ml_boarding_data(fl, audit=False).first()
+    assert len(hashed.boarding_data_id) == 64
