@@ -298,6 +298,20 @@ def _nn_all(table):
     return not_null(table, *schema.REQUIRED[table])
 
 
+def bronze_rules(schemas: Mapping[str, T.StructType], legacy: bool = False) -> list[Rule]:
+    """Q12: bronze tables have their columns, their declared types and a
+    non-NULL first (id) column; ``legacy`` adds the three tables the old
+    bronze validator expected (airports, aircrafts, flights)."""
+    R: list[Rule] = []
+    for t, sch in schemas.items():
+        R.append(required(t, [f.name for f in sch.fields]))
+        R.append(types(t, {f.name: _type_name(f.dataType) for f in sch.fields}))
+        R += not_null(t, sch.fields[0].name)
+    if legacy:
+        R += [required(t, cols) for t, cols in schema.LEGACY_BRONZE.items()]
+    return R
+
+
 def silver_rules() -> list[Rule]:
     """The silver validator's rule set, canonical names, plus the checks it
     documents but never wrote (destination coordinates, waypoint keys, …)."""

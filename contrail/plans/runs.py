@@ -37,8 +37,9 @@ def _persisted(spark: SparkSession, layout: Layout, layer: str, name: str, df: D
 
 
 def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int = 10,
-               validate: bool = True) -> DataFrame | None:
-    """R4: optionally seed the bronze tables, then validate regardless."""
+               validate: bool = True, legacy: bool = False) -> DataFrame | None:
+    """R4: optionally seed the bronze tables, then validate regardless
+    (columns, declared types, non-NULL ids)."""
     if seed:
         seed_layer(spark, layout, BRONZE_SCHEMAS, n)
     if not validate:
@@ -49,8 +50,7 @@ def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int =
             tables[name] = read_table(spark, layout, "bronze", name)
         except Exception:  # noqa: BLE001 - a missing table is reported by the required rule
             pass
-    rules = [quality.required(t, [f.name for f in s.fields]) for t, s in BRONZE_SCHEMAS.items()]
-    return quality.run_checks(spark, tables, rules)
+    return quality.run_checks(spark, tables, quality.bronze_rules(BRONZE_SCHEMAS, legacy=legacy))
 
 
 def run_silver(spark: SparkSession, layout: Layout, bronze: Mapping[str, DataFrame] | None = None,

