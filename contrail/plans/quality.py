@@ -7,7 +7,8 @@ severity)``:
 - every row-level rule of one table (not-null, range, bound, enum, order,
   derived) becomes one ``count_if`` inside ONE aggregation per table — one
   scan instead of one Spark job per rule;
-- key uniqueness is one partially-aggregated group-by per key;
+- key uniqueness is one partially-aggregated GROUPING SETS pass per table
+  (all of a table's keys at once);
 - foreign keys are one anti join per key (NULL keys are counted apart so a
   NULL-heavy column cannot pile onto one reducer);
 - schema rules (required columns, types) read metadata only.
@@ -164,6 +165,30 @@ def _row_level(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
                           "violations = 0 AS passed", "severity")
 
 
+def _uniques(spark: SparkSession, df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
+    """Every uniqueness rule of one table in ONE pass: a GROUPING SETS
+    aggregate counts each key's groups (partial aggregation map-side), then
+    duplicated groups are counted per grouping set. NULL keys group as one,
+    as in a plain group-by."""
+    if len(rules) == 1:
+        r = rules[0]
+        dup = df.groupBy(*r.columns).count().where(F.col("count") > 1)
+        return _from_count(dup.agg(F.count(F.lit(1)).alias("violations")), r)
+    cols = list(dict.fromkeys(c for r in rules for c in r.columns))
+    # grouping_id(): bit (len-1-i) is set when cols[i] is aggregated away
+    gid = {i: sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in r.columns)
+           for i, r in enumerate(rules)}
+    g = (df.groupingSets([list(r.columns) for r in rules], *cols)
+         .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")))
+    dups = g.where(F.col("__n") > 1).groupBy("__gid").agg(F.count(F.lit(1)).alias("__dups"))
+    spec = spark.createDataFrame([(gid[i], r.table, r.kind, r.label, r.severity) for i, r in enumerate(rules)],
+                                 "__gid bigint, table_name string, rule string, column_name string, severity string")
+    v = F.coalesce(F.col("__dups"), F.lit(0)).cast("bigint")
+    return (spec.join(F.broadcast(dups), "__gid", "left")  # one row per key rule: bounded
+            .select("table_name", "rule", "column_name", v.alias("violations"), (v == 0).alias("passed"),
+                    "severity"))
+
+
 def _type_name(dt: T.DataType) -> str:
     return dt.simpleString()
 
@@ -207,6 +232,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
     parts: list[DataFrame] = []
     meta: list[tuple] = []
     row_rules: dict[str, list[Rule]] = {}
+    key_rules: dict[str, list[Rule]] = {}
     for r in rules:
         df = tables.get(r.table) if r.kind in ("required", "types") else table(r.table)
         cols = set(df.columns) if df is not None else set()
@@ -233,8 +259,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
         if r.kind in ROW_KINDS:
             row_rules.setdefault(r.table, []).append(r)
         elif r.kind == "unique":
-            dup = df.groupBy(*r.columns).count().where(F.col("count") > 1)
-            parts.append(_from_count(dup.agg(F.count(F.lit(1)).alias("violations")), r))
+            key_rules.setdefault(r.table, []).append(r)
         elif r.kind == "fk":
             parent = table(r.params[0])
             if parent is None:
@@ -268,6 +293,8 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             raise ValueError(f"unknown rule kind {r.kind!r}")
     for name, rs in row_rules.items():
         parts.append(_row_level(table(name), name, rs))
+    for name, rs in key_rules.items():
+        parts.append(_uniques(spark, table(name), name, rs))
     if meta or not parts:
         parts.append(spark.createDataFrame(meta, RESULT_SCHEMA))
     # every part has the result columns in the same order: positional union

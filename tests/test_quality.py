@@ -85,3 +85,11 @@ def test_abort_if_errors_lists_every_failure(spark):
         Q.abort_if_errors(res)
     assert len(e.value.failures) == 2
     Q.abort_if_errors(Q.run_checks(spark, {"t": df}, [Q.at_least("t", "b", 0, severity="warn")]))
+
+
+def test_several_unique_rules_share_one_pass(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("b", 2, 2), (None, 3, 3), (None, 3, 3)],
+                               "k string, y int, m int")
+    rules = [Q.unique("t", "k"), Q.unique("t", "y", "m"), Q.unique("t", "m")]
+    got = {r.column_name: r.violations for r in Q.run_checks(spark, {"t": df}, rules).collect()}
+    assert got == {"k": 2, "y,m": 1, "m": 2}
