@@ -109,3 +109,13 @@ def test_group_stats_global_on_empty_gives_one_row(spark):
     assert rows(out) == [(None, 0)]
     g = spark.createDataFrame([(1, None), (1, 2)], "k int, v int")
     assert rows(group_stats(g, ["k"], {"n": ("count", "v"), "s": ("sum", "v")})) == [(1, 1, 2)]
+
+
+def test_most_frequent_many_matches_separate_rankings(spark):
+    from contrail.operators import most_frequent_many
+    df = spark.createDataFrame([
+        (1, "PAR", "TLV", "web"), (1, "AMS", "TLV", "web"), (1, "AMS", None, "app"),
+        (2, "PAR", "BER", None), (3, None, None, None)], "m int, o string, d string, k string")
+    out = most_frequent_many(df, ["m"], {"o": "top_o", "d": "top_d", "k": "top_k"})
+    # month 2 has no order method and month 3 no label at all: both drop out
+    assert rows(out, "m") == [(1, "AMS", "TLV", "web")]
