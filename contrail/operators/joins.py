@@ -23,15 +23,18 @@ def attach_scalar(df: DataFrame, one_row: DataFrame, cols: Sequence[str],
                   order: Sequence[str] | None = None) -> DataFrame:
     """Add the columns of one deterministic row of ``one_row`` to every row.
 
-    Replaces ``limit(1).collect()`` + ``lit``: the pick is ``orderBy(...)
-    .limit(1)`` (a single-row TakeOrderedAndProject, bounded by construction
-    so broadcasting it is safe) and the attach is a broadcast left join on a
-    constant, so no driver round trip happens mid-plan. Empty → NULLs.
+    Replaces ``limit(1).collect()`` + ``lit``: the pick is the smallest row
+    by ``order`` (default ``cols``; rows whose first order column is NULL are
+    skipped), computed as a global ``min`` over a struct — each task reduces
+    its share to one row before the single final partition, so it is bounded
+    — and attached as a scalar subquery, i.e. no join at all. Catalyst merges
+    the per-column subqueries into one. An empty input gives NULLs.
     """
-    pick = one_row.select(*cols)
-    pick = pick.orderBy(*(order or cols)).limit(1).withColumn("__one", F.lit(1))
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(pick), "__one", "left").drop("__one"))
+    order = list(order or cols)
+    keyed = order + [c for c in cols if c not in order]
+    pick = (one_row.where(F.col(order[0]).isNotNull())
+            .select(F.min(F.struct(*keyed)).alias("__pick")))
+    return df.withColumns({c: pick.select(F.col(f"__pick.{c}")).scalar() for c in cols})
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
@@ -46,3 +49,20 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     keyed = child.where(F.col(child_key).isNotNull())
     missing = keyed.join(parents, keyed[child_key] == parents["__pk"], "left_anti")
     return missing.unionByName(nulls)
+
+
+def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
+    """One row ``violations``: child rows whose key has no parent (NULL keys count).
+
+    Join-free: child keys (weight 1) and parent keys (flag) are unioned and
+    grouped by key. Partial aggregation map-side turns a key held by a third
+    of all child rows into one row per task, and no key shape (constant,
+    subquery-valued, NULL-heavy) can turn the check into a nested loop.
+    """
+    pk = parent_key or child_key
+    kt = dict(child.dtypes)[child_key]
+    c = child.select(F.col(child_key).alias("__k"), F.lit(1).cast("long").alias("__n"), F.lit(False).alias("__p"))
+    p = parent.select(F.col(pk).cast(kt).alias("__k"), F.lit(0).cast("long").alias("__n"), F.lit(True).alias("__p"))
+    by_key = c.unionByName(p).groupBy("__k").agg(F.sum("__n").alias("__n"), F.max("__p").alias("__p"))
+    missing = F.col("__k").isNull() | ~F.col("__p")
+    return by_key.agg(F.coalesce(F.sum(F.when(missing, F.col("__n"))), F.lit(0)).cast("bigint").alias("violations"))

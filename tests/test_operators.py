@@ -119,3 +119,13 @@ def test_most_frequent_many_matches_separate_rankings(spark):
     out = most_frequent_many(df, ["m"], {"o": "top_o", "d": "top_d", "k": "top_k"})
     # month 2 has no order method and month 3 no label at all: both drop out
     assert rows(out, "m") == [(1, "AMS", "TLV", "web")]
+
+
+def test_orphan_count_matches_orphans_with_nulls_and_hot_keys(spark):
+    from contrail.operators import orphan_count
+    child = spark.createDataFrame([("a",)] * 50 + [("z",)] * 7 + [(None,)] * 3, "k string")
+    parent = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
+    assert orphan_count(child, parent, "k").first().violations == 10
+    assert orphans(child, parent, "k").count() == 10
+    ints = spark.createDataFrame([(1,), (2,)], "pk int")
+    assert orphan_count(spark.createDataFrame([("1",), ("3",)], "k string"), ints, "k", "pk").first().violations == 1

@@ -19,9 +19,9 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING))
-def test_no_cartesian_product_and_no_python_udf(spark, name):
+def test_no_cartesian_or_nested_loop_and_no_python_udf(spark, name):
     p = plan(E.queries()[name](spark, SF001))
-    assert "CartesianProduct" not in p
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
