@@ -53,3 +53,14 @@ def test_managed_table_sink(spark, tmp_dir):
     write_table(spark.range(5), layout, "gold", "t", by="table")
     assert read_table(spark, layout, "gold", "t", by="table").count() == 5
     drop_table(spark, layout, "gold", "t")
+
+
+def test_literal_table_and_write_options(spark, tmp_dir):
+    from contrail.sources.layout import literal_table
+    layout = Layout(warehouse=tmp_dir)
+    df = literal_table(spark, [("r1", 1.5)], "route_id string, distance_km double")
+    write_table(df, layout, "bronze", "routes_raw", properties={"compression": "zstd"})
+    back = read_table(spark, layout, "bronze", "routes_raw")
+    assert [tuple(r) for r in back.collect()] == [("r1", 1.5)]
+    assert layout.ident("silver", "x") == "silver.x"
+    assert Layout(warehouse="s3a://lake", catalog="lake").catalog_conf()["spark.sql.catalog.lake.warehouse"] == "s3a://lake"
