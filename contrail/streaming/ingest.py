@@ -168,3 +168,22 @@ def run_to_completion(queries: Sequence[StreamingQuery], timeout_s: float = 600)
             raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
         if q.exception() is not None:
             raise q.exception()
+
+
+def ingest_user_events(spark: SparkSession, layout, source: DataFrame | None = None,
+                       trigger: str = DEFAULT_TRIGGER, quarantine: bool = False,
+                       dedup: bool = False) -> list[StreamingQuery]:
+    """T2 end to end: the user-event topic into bronze ``events_raw``.
+
+    Source defaults to Kafka (``KAFKA_BOOTSTRAP`` / ``KAFKA_TOPIC``); the sink
+    and its checkpoint live under the layout's bronze folder, so a restart on
+    any machine resumes from the same offsets. ``quarantine`` splits bad
+    messages to ``events_raw_quarantine``; ``dedup`` drops repeats of
+    (user_id, event_ts) within the 48 h lateness bound.
+    """
+    src = source if source is not None else stream_source(spark, "kafka")
+    target = layout.path("bronze", "events_raw")
+    return ingest_json_topic(
+        spark, src, USER_EVENT_SCHEMA, ["event_ts"], target, layout.path("bronze", "_checkpoints/events_raw"),
+        trigger=trigger, quarantine=layout.path("bronze", "events_raw_quarantine") if quarantine else None,
+        dedup_keys=["user_id", "event_ts"] if dedup else None)

@@ -62,3 +62,15 @@ def test_parse_batch_form_matches_stream(spark):
     assert dict(parsed.dtypes)["event_ts"] == "timestamp"
     ntz = ingest.parse_json_events(df, ingest.USER_EVENT_SCHEMA, ["event_ts"], ts_type="timestamp_ntz")
     assert dict(ntz.dtypes)["event_ts"] == "timestamp_ntz"
+
+
+def test_user_events_into_bronze_layout(spark, tmp_dir):
+    from contrail.sources.layout import Layout, read_table
+    src = os.path.join(tmp_dir, "topic")
+    _write(spark, src, MSGS)
+    layout = Layout(warehouse=os.path.join(tmp_dir, "lake"))
+    qs = ingest.ingest_user_events(spark, layout, source=ingest.stream_source(spark, "text", path=src),
+                                   trigger="available_now", quarantine=True, dedup=True)
+    ingest.run_to_completion(qs)
+    assert read_table(spark, layout, "bronze", "events_raw").count() == 3
+    assert read_table(spark, layout, "bronze", "events_raw_quarantine").count() == 2
