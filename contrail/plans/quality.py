@@ -300,6 +300,30 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
     return reduce(lambda x, y: x.union(y), parts)
 
 
+def observe_row_rules(df: DataFrame, table: str, rules: Sequence[Rule]):
+    """Attach a table's row-level rules to ``df`` as ``observe`` metrics.
+
+    The counts are computed by whatever action runs next (typically the
+    write), so validating a freshly written table needs no extra scan for
+    these rules. Returns ``(observed_df, observation, rules_observed)``;
+    read the results with ``observed_results`` after the action.
+    """
+    from pyspark.sql import Observation
+
+    cols = set(df.columns)
+    rs = [r for r in rules if r.table == table and r.kind in ROW_KINDS and set(r.columns) <= cols]
+    if not rs:
+        return df, None, []
+    obs = Observation(f"dq_{table}")
+    return df.observe(obs, *[F.count_if(violation(r)).alias(f"_r{i}") for i, r in enumerate(rs)]), obs, rs
+
+
+def observed_results(spark: SparkSession, observation, rules: Sequence[Rule]) -> DataFrame:
+    """Result rows for rules observed during an action (one row per rule)."""
+    metrics = observation.get if observation is not None else {}
+    return spark.createDataFrame([_meta(r, int(metrics[f"_r{i}"])) for i, r in enumerate(rules)], RESULT_SCHEMA)
+
+
 class DataQualityError(Exception):
     def __init__(self, failures: list):
         self.failures = failures

@@ -11,6 +11,7 @@ aggregates.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +32,34 @@ _SILVER_CONFORM = {
 }
 
 
-def _persisted(spark: SparkSession, layout: Layout, layer: str, name: str, df: DataFrame) -> DataFrame:
-    write_table(df, layout, layer, name)
-    return read_table(spark, layout, layer, name)
+class _Writer:
+    """Writes the tables of one layer run and validates them.
+
+    Row-level rules of a table ride on its write as ``observe`` metrics (no
+    second scan); key, FK and metadata rules run on the stored tables once
+    the layer is complete.
+    """
+
+    def __init__(self, spark: SparkSession, layout: Layout, layer: str, rules=None):
+        self.spark, self.layout, self.layer = spark, layout, layer
+        self.rules = list(rules or [])
+        self.observed: list[DataFrame] = []
+        self.done: set = set()
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        df, obs, rs = quality.observe_row_rules(df, name, self.rules)
+        write_table(df, self.layout, self.layer, name)
+        if rs:
+            self.observed.append(quality.observed_results(self.spark, obs, rs))
+            self.done.update(rs)
+        return read_table(self.spark, self.layout, self.layer, name)
+
+    def report(self, tables: Mapping[str, DataFrame], abort: bool = False) -> DataFrame:
+        rest = [r for r in self.rules if r not in self.done]
+        out = reduce(lambda a, b: a.union(b), self.observed + [quality.run_checks(self.spark, tables, rest)])
+        if abort:
+            quality.abort_if_errors(out)
+        return out
 
 
 def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int = 10,
@@ -56,68 +82,66 @@ def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int =
 def run_silver(spark: SparkSession, layout: Layout, bronze: Mapping[str, DataFrame] | None = None,
                validate: bool = True, abort: bool = False) -> dict[str, DataFrame]:
     """R1: every silver table (the six the reference builds and the seven it
-    only specifies), written in a fixed order, then validated in one pass."""
+    only specifies), written in a fixed order, then validated."""
     b = dict(bronze) if bronze is not None else {n: read_table(spark, layout, "bronze", n) for n in BRONZE_SCHEMAS}
+    w = _Writer(spark, layout, "silver", quality.silver_rules() if validate else None)
     out: dict[str, DataFrame] = {}
     for src, (name, build) in _SILVER_CONFORM.items():
         if src in b:
-            out[name] = _persisted(spark, layout, "silver", name, build(b[src]))
+            out[name] = w(name, build(b[src]))
     if "boarding_events_raw" in b:
-        out["silver_boarding_summary"] = _persisted(spark, layout, "silver", "silver_boarding_summary",
-                                                    silver.build_boarding_summary(b["boarding_events_raw"]))
-    if {"flight_weather_raw_api"} <= set(b) and {"silver_waypoint_sampling_weather_points", "silver_flights"} <= set(out):
-        fw = silver.build_flight_weather(b["flight_weather_raw_api"], out["silver_waypoint_sampling_weather_points"],
-                                         out["silver_flights"])
-        out["silver_flight_weather"] = _persisted(spark, layout, "silver", "silver_flight_weather", fw)
-        out["silver_weather_summary"] = _persisted(spark, layout, "silver", "silver_weather_summary",
-                                                   silver.build_weather_summary(out["silver_flight_weather"]))
+        out["silver_boarding_summary"] = w("silver_boarding_summary",
+                                           silver.build_boarding_summary(b["boarding_events_raw"]))
+    if "flight_weather_raw_api" in b and {"silver_waypoint_sampling_weather_points", "silver_flights"} <= set(out):
+        out["silver_flight_weather"] = w("silver_flight_weather", silver.build_flight_weather(
+            b["flight_weather_raw_api"], out["silver_waypoint_sampling_weather_points"], out["silver_flights"]))
+        out["silver_weather_summary"] = w("silver_weather_summary",
+                                          silver.build_weather_summary(out["silver_flight_weather"]))
     if {"silver_flights_events", "silver_flights"} <= set(out):
-        out["silver_agg_frequent_delay_reasons"] = _persisted(
-            spark, layout, "silver", "silver_agg_frequent_delay_reasons",
-            silver.build_delay_reasons(out["silver_flights_events"], out["silver_flights"]))
+        out["silver_agg_frequent_delay_reasons"] = w("silver_agg_frequent_delay_reasons", silver.build_delay_reasons(
+            out["silver_flights_events"], out["silver_flights"]))
     if {"silver_booked_tickets", "silver_ticket_events"} <= set(out):
-        out["silver_agg_cancelation_rate"] = _persisted(
-            spark, layout, "silver", "silver_agg_cancelation_rate",
-            silver.build_cancelation_rate(out["silver_booked_tickets"], out["silver_ticket_events"]))
+        out["silver_agg_cancelation_rate"] = w("silver_agg_cancelation_rate", silver.build_cancelation_rate(
+            out["silver_booked_tickets"], out["silver_ticket_events"]))
     if validate:
-        report = quality.run_checks(spark, out, quality.silver_rules())
-        out["_quality"] = report
-        if abort:
-            quality.abort_if_errors(report)
+        out["_quality"] = w.report(out, abort)
     return out
 
 
+MONTHLY = ["gold_dim_monthly_delays", "gold_dim_monthly_flight_info", "gold_dim_monthly_revenue",
+           "gold_dim_monthly_most_popular", "gold_fact_monthly_performance_report", "gold_monthly_aggregates"]
+ML = ["gold_dim_ml_routes", "gold_dim_ml_weather", "gold_dim_ml_boarding_data", "gold_fact_ml_training"]
+
+
+def _gold_rules(names: list[str]) -> list:
+    return [r for r in quality.gold_rules() if r.table in names and (r.kind != "fk" or r.params[0] in names)]
+
+
 def run_gold_monthly(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame] | None = None,
                      revenue_key: str = "literal", popular_key: str = "literal", popular_method: str = "literal",
                      validate: bool = True, abort: bool = False) -> dict[str, DataFrame]:
-    """R3: the four monthly dimensions, then the report fact and the flat aggregates."""
+    """R3: the four monthly dimensions, then the report fact and the flat
+    aggregates, which join the stored dimensions."""
     s = s or {n: read_table(spark, layout, "silver", n) for n in
               ["silver_flights", "silver_flights_events", "silver_agg_frequent_delay_reasons",
                "silver_boarding_summary", "silver_ticket_prices", "silver_booked_tickets",
                "silver_agg_cancelation_rate", "silver_routes"]}
+    w = _Writer(spark, layout, "gold", _gold_rules(MONTHLY) if validate else None)
     g: dict[str, DataFrame] = {}
-    g["gold_dim_monthly_delays"] = _persisted(spark, layout, "gold", "gold_dim_monthly_delays", gold.build_monthly_delays(
+    g["gold_dim_monthly_delays"] = w("gold_dim_monthly_delays", gold.build_monthly_delays(
         s["silver_flights"], s["silver_flights_events"], s["silver_agg_frequent_delay_reasons"]))
-    g["gold_dim_monthly_flight_info"] = _persisted(spark, layout, "gold", "gold_dim_monthly_flight_info",
-                                                   gold.build_monthly_flight_info(s["silver_flights"],
-                                                                                  s["silver_boarding_summary"]))
-    g["gold_dim_monthly_revenue"] = _persisted(spark, layout, "gold", "gold_dim_monthly_revenue", gold.build_monthly_revenue(
+    g["gold_dim_monthly_flight_info"] = w("gold_dim_monthly_flight_info", gold.build_monthly_flight_info(
+        s["silver_flights"], s["silver_boarding_summary"]))
+    g["gold_dim_monthly_revenue"] = w("gold_dim_monthly_revenue", gold.build_monthly_revenue(
         s["silver_ticket_prices"], s["silver_booked_tickets"], s["silver_agg_cancelation_rate"], key=revenue_key))
-    g["gold_dim_monthly_most_popular"] = _persisted(
-        spark, layout, "gold", "gold_dim_monthly_most_popular",
-        gold.build_monthly_most_popular(s["silver_booked_tickets"], s["silver_flights"], s["silver_routes"],
-                                        key=popular_key, method=popular_method))
-    dims = (g["gold_dim_monthly_delays"], g["gold_dim_monthly_flight_info"], g["gold_dim_monthly_revenue"],
-            g["gold_dim_monthly_most_popular"])
-    g["gold_fact_monthly_performance_report"] = _persisted(spark, layout, "gold", "gold_fact_monthly_performance_report",
-                                                           gold.build_performance_report(*dims))
-    g["gold_monthly_aggregates"] = _persisted(spark, layout, "gold", "gold_monthly_aggregates",
-                                              gold.build_monthly_aggregates(*dims))
+    g["gold_dim_monthly_most_popular"] = w("gold_dim_monthly_most_popular", gold.build_monthly_most_popular(
+        s["silver_booked_tickets"], s["silver_flights"], s["silver_routes"], key=popular_key, method=popular_method))
+    dims = [g[n] for n in MONTHLY[:4]]
+    g["gold_fact_monthly_performance_report"] = w("gold_fact_monthly_performance_report",
+                                                  gold.build_performance_report(*dims))
+    g["gold_monthly_aggregates"] = w("gold_monthly_aggregates", gold.build_monthly_aggregates(*dims))
     if validate:
-        rules = [r for r in quality.gold_rules() if r.table in g]
-        g["_quality"] = quality.run_checks(spark, g, rules)
-        if abort:
-            quality.abort_if_errors(g["_quality"])
+        g["_quality"] = w.report(g, abort)
     return g
 
 
@@ -127,20 +151,15 @@ def run_gold_ml(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame]
     s = s or {n: read_table(spark, layout, "silver", n) for n in
               ["silver_routes", "silver_flights", "silver_flights_events", "silver_weather_summary",
                "silver_waypoint_sampling_weather_points"]}
+    w = _Writer(spark, layout, "gold", _gold_rules(ML) if validate else None)
     g: dict[str, DataFrame] = {}
-    g["gold_dim_ml_routes"] = _persisted(spark, layout, "gold", "gold_dim_ml_routes",
-                                         gold.build_ml_routes(s["silver_routes"], s["silver_flights"]))
-    g["gold_dim_ml_weather"] = _persisted(spark, layout, "gold", "gold_dim_ml_weather", gold.build_ml_weather(
+    g["gold_dim_ml_routes"] = w("gold_dim_ml_routes", gold.build_ml_routes(s["silver_routes"], s["silver_flights"]))
+    g["gold_dim_ml_weather"] = w("gold_dim_ml_weather", gold.build_ml_weather(
         s["silver_weather_summary"], s["silver_flights"], s.get("silver_waypoint_sampling_weather_points")))
-    g["gold_dim_ml_boarding_data"] = _persisted(spark, layout, "gold", "gold_dim_ml_boarding_data",
-                                                gold.build_ml_boarding_data(s["silver_flights"]))
-    g["gold_fact_ml_training"] = _persisted(spark, layout, "gold", "gold_fact_ml_training", gold.build_ml_training(
+    g["gold_dim_ml_boarding_data"] = w("gold_dim_ml_boarding_data", gold.build_ml_boarding_data(s["silver_flights"]))
+    g["gold_fact_ml_training"] = w("gold_fact_ml_training", gold.build_ml_training(
         s["silver_flights"], s["silver_flights_events"], g["gold_dim_ml_routes"], g["gold_dim_ml_weather"],
         g["gold_dim_ml_boarding_data"], weather=weather, weather_summary=s["silver_weather_summary"]))
     if validate:
-        rules = [r for r in quality.gold_rules() if r.table in g and
-                 (r.kind != "fk" or r.params[0] in g)]
-        g["_quality"] = quality.run_checks(spark, g, rules)
-        if abort:
-            quality.abort_if_errors(g["_quality"])
+        g["_quality"] = w.report(g, abort)
     return g

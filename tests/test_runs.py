@@ -25,6 +25,15 @@ def test_full_layer_run(spark, tmp_dir):
     assert {"silver_routes", "silver_weather_summary", "silver_agg_cancelation_rate"} <= set(s)
     assert s["silver_flights"].where(F.col("flight_date").isNull()).count() == 0
     failing = {(r.table_name, r.rule) for r in s["_quality"].where("not passed").collect()}
+    # row-level counts observed during the writes equal a scan of the stored tables
+    from contrail.plans import quality
+    row_rules = [r for r in quality.silver_rules() if r.kind in quality.ROW_KINDS]
+    stored = {k: v for k, v in s.items() if not k.startswith("_")}
+    key = ["table_name", "rule", "column_name"]
+    observed = {tuple(r[:4]) for r in s["_quality"].where(s["_quality"].rule.isin(list(quality.ROW_KINDS)))
+                .select(*key, "violations").collect()}
+    scanned = {tuple(r[:4]) for r in quality.run_checks(spark, stored, row_rules).select(*key, "violations").collect()}
+    assert observed == scanned
     # the fixtures carry deliberate defects: duplicated price ids, start after end, NULL emails, bad enum
     assert ("silver_ticket_prices", "unique") in failing and ("silver_customers", "not_null") in failing
     gm = runs.run_gold_monthly(spark, layout)
