@@ -163,3 +163,11 @@ def run_gold_ml(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame]
     if validate:
         g["_quality"] = w.report(g, abort)
     return g
+
+
+def run_clean_flights(spark: SparkSession, layout: Layout, source: str = "flights_raw",
+                      target: str = "flights_clean", key: str = "flight_id") -> DataFrame:
+    """T4 as a job: bronze legacy flights → drop self-routes, one row per key → silver."""
+    cleaned = silver.build_clean_flights(read_table(spark, layout, "bronze", source), key=key)
+    write_table(cleaned, layout, "silver", target)
+    return read_table(spark, layout, "silver", target)

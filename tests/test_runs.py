@@ -73,3 +73,12 @@ def test_literal_table_and_write_options(spark, tmp_dir):
     assert [tuple(r) for r in back.collect()] == [("r1", 1.5)]
     assert layout.ident("silver", "x") == "silver.x"
     assert Layout(warehouse="s3a://lake", catalog="lake").catalog_conf()["spark.sql.catalog.lake.warehouse"] == "s3a://lake"
+
+
+def test_clean_flights_job(spark, tmp_dir):
+    from contrail.plans.runs import run_clean_flights
+    layout = Layout(warehouse=tmp_dir)
+    write_table(Airline(spark, SF001).legacy_flights, layout, "bronze", "flights_raw")
+    out = run_clean_flights(spark, layout)
+    assert out.count() == out.select("flight_id").distinct().count() > 0
+    assert out.where("origin = destination").count() == 0
