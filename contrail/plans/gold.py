@@ -199,14 +199,19 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     grouping-sets pass over that small frame, so the join runs once.
     """
     bkey = "booked_ticket_id" if key == "literal" else "flight_id"
-    b = booked_tickets.select(F.col(bkey).alias("_fid"), "booking_date", "order_method")
+    m = F.lit(schema.ORDER_METHOD_LITERAL) if method == "literal" else F.col("order_method")
+    b = booked_tickets.select(F.col(bkey).alias("_fid"), year_of("booking_date").alias("year"),
+                              month_of("booking_date").alias("month"), m.alias("method"))
+    if key == "literal":
+        b = b.withColumn("_w", F.lit(1).cast("bigint"))  # one booking per id: nothing to pre-aggregate
+    else:
+        # many bookings per flight: count them per (flight, month, method) map-side
+        # before the join, so a hot flight joins as a handful of rows
+        b = b.groupBy("_fid", *PERIOD, "method").agg(F.count(F.lit(1)).alias("_w"))
     f = flights.select(F.col("flight_id").alias("_fid"), "routes_id")
     r = routes.select("routes_id", "airport_origin", "airport_destination")
     j = b.join(f, "_fid").join(r, "routes_id")
-    m = F.lit(schema.ORDER_METHOD_LITERAL) if method == "literal" else F.col("order_method")
-    counts = j.groupBy(year_of("booking_date").alias("year"), month_of("booking_date").alias("month"),
-                       "airport_origin", "airport_destination", m.alias("method")).agg(
-        F.count(F.lit(1)).alias("_w"))
+    counts = j.groupBy(*PERIOD, "airport_origin", "airport_destination", "method").agg(F.sum("_w").alias("_w"))
     out = most_frequent_many(counts, PERIOD, {"airport_origin": "most_popular_origin",
                                               "airport_destination": "most_popular_destination",
                                               "method": "most_popular_order_method"}, weight="_w")
