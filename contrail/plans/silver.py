@@ -154,12 +154,16 @@ def build_delay_reasons(flights_events: DataFrame, flights: DataFrame, audit: bo
     ``silver_flight_event`` is one representative event of the group (the
     smallest id), which keeps the reference's event-based join well defined.
     """
-    ev = flights_events.where(F.col("delay_reason").isNotNull()).select("flight_event_id", "flight_id", "delay_reason")
+    # Count per (flight, reason) before the join (exact: sums of counts, min of
+    # mins), so a flight holding a third of all events joins as a few rows.
+    ev = (flights_events.where(F.col("delay_reason").isNotNull())
+          .groupBy("flight_id", "delay_reason")
+          .agg(F.count(F.lit(1)).alias("_n"), F.min("flight_event_id").alias("_first")))
     fl = flights.select("flight_id", "flight_date")
     j = ev.join(fl, "flight_id").withColumns({"year": year_of("flight_date"), "month": month_of("flight_date")})
     agg = j.groupBy("year", "month", "delay_reason").agg(
-        F.count(F.lit(1)).alias("total_occurences"),
-        F.min("flight_event_id").alias("silver_flight_event"),
+        F.sum("_n").alias("total_occurences"),
+        F.min("_first").alias("silver_flight_event"),
     )
     out = agg.select(
         surrogate_key("delay_reason", "year", "month", "delay_reason").alias("delay_id"),
