@@ -420,9 +420,12 @@ def q_stream_quarantine(spark, d):
 
 @query("stream_dedup")
 def q_stream_dedup(spark, d):
+    """Repeated deliveries dropped within the watermark. In these tables
+    ``user_id`` is not a per-event id (two distinct events can share a user
+    and a second), so a repeat is recognised by the whole message."""
     from contrail.streaming.ingest import USER_EVENT_SCHEMA
     out, _ = _run_stream(spark, Airline(spark, d).users_json_repeated, USER_EVENT_SCHEMA, ["event_ts"],
-                         dedup_keys=["user_id", "event_ts"], name="dedup")
+                         dedup_keys=["user_id", "event_ts", "name", "country"], name="dedup")
     return out
 
 

@@ -243,7 +243,7 @@ USERS_PARSED = """SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS event_ts
  CASE user_id%3 WHEN 0 THEN 'FR' WHEN 1 THEN 'DE' ELSE 'IL' END AS country FROM events"""
 
 ORACLES["stream_user_events"] = USERS_PARSED
-ORACLES["stream_dedup"] = USERS_PARSED
+ORACLES["stream_dedup"] = f"SELECT DISTINCT * FROM ({USERS_PARSED})"
 ORACLES["stream_flights"] = W("""SELECT flight_id, routes_id AS route_id, scheduled_departure, scheduled_arrival,
  possible_passenger_amount AS max_passenger_capacity FROM flights""", "flights")
 ORACLES["stream_quarantine"] = W("""
