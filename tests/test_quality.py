@@ -93,3 +93,14 @@ def test_several_unique_rules_share_one_pass(spark):
     rules = [Q.unique("t", "k"), Q.unique("t", "y", "m"), Q.unique("t", "m")]
     got = {r.column_name: r.violations for r in Q.run_checks(spark, {"t": df}, rules).collect()}
     assert got == {"k": 2, "y,m": 1, "m": 2}
+
+
+def test_observed_row_rules_count_during_the_action(spark, tmp_dir):
+    import os
+    df = spark.createDataFrame([(None, 5.0), ("a", -1.0), ("b", -2.0)], "k string, v double")
+    rules = Q.not_null("t", "k") + [Q.at_least("t", "v", 0), Q.unique("t", "k")]
+    observed, obs, rs = Q.observe_row_rules(df, "t", rules)
+    assert [r.kind for r in rs] == ["not_null", "min"]  # key rules are not row-level
+    observed.write.parquet(os.path.join(tmp_dir, "t"))  # the write computes the metrics
+    got = {r.rule: r.violations for r in Q.observed_results(spark, obs, rs).collect()}
+    assert got == {"not_null": 1, "min": 2}
