@@ -54,8 +54,20 @@ def rolling(values: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def blocked(spark: SparkSession, docs: DataFrame, columns: list, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """``docs`` with ``__llm_row``, the given columns, ``text`` as bytes (null: empty) and ``block``; the number of buckets.
+def bucket_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` shuffle partitions a number that hash partitioning sends there, so that each gets one bucket."""
+    found: dict[int, int] = {}
+    start = 0
+    while len(found) < n:
+        ids = spark.range(start, start + 16 * n).select(F.col("id").cast("int").alias("key"))
+        for r in ids.select("key", F.pmod(F.hash("key"), F.lit(n)).alias("part")).collect():
+            found.setdefault(r.part, r.key)
+        start += 16 * n
+    return [found[i] for i in range(n)]
+
+
+def blocked(spark: SparkSession, docs: DataFrame, columns: list, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[int]]:
+    """``docs`` with ``__llm_row``, the given columns, ``text`` as bytes (null: empty) and ``block``; the key of each bucket.
 
     Blocks grow with the number of buckets, so that packed arrays stay worth their row at any size.
     """
@@ -64,7 +76,7 @@ def blocked(spark: SparkSession, docs: DataFrame, columns: list, block_bytes: in
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(buckets, -(-total // size))
     rows = with_row(docs).select(ROW, *columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    return rows.withColumn("block", F.pmod(F.xxhash64(ROW), F.lit(blocks)).cast("int")), buckets
+    return rows.withColumn("block", F.pmod(F.xxhash64(ROW), F.lit(blocks)).cast("int")), bucket_keys(spark, buckets)
 
 
 def by_row(block: pa.Table) -> pa.Table:
@@ -116,7 +128,7 @@ _POWERS: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P and 1/P to the powers 0..n, modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) <= n:
-        size = 1 << max(16, int(n).bit_length())
+        size = max(1 << 16, n + n // 8)
         _POWERS[:] = [np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(size, f, np.uint64), dtype=np.uint64)))
                       for f in (P, pow(P, -1, 1 << 64))]
     return _POWERS[0], _POWERS[1]

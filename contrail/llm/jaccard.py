@@ -99,13 +99,14 @@ def survivors(spark: SparkSession, docs: DataFrame, columns: list, near=NEAR, bl
     a linked set must meet; both null for rows that cannot be linked to a different set, or whose set an
     earlier row of the block has.
     """
-    rows, buckets = B.blocked(spark, docs, columns, block_bytes)
+    rows, bucket_keys = B.blocked(spark, docs, columns, block_bytes)
+    buckets = len(bucket_keys)
 
     def send(key: tuple, block: pa.Table) -> pa.Table:
         own = Block(block)
         parts = B.split(own.hashes, buckets)
-        return pa.table({"bucket": pa.array([p[0] for p in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
-                         "hashes": pa.array([B.pack(own.hashes[a:b]) for _, a, b in parts], pa.binary()),
+        return pa.table({"bucket": pa.array([bucket_keys[p[0]] for p in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
+                         "first": pa.array([int(own.hashes[a]) for _, a, _ in parts], pa.int64()), "hashes": pa.array([B.pack(own.hashes[a:b]) for _, a, b in parts], pa.binary()),
                          "counts": pa.array([np.minimum(own.counts[a:b], 65535).astype(np.uint16).tobytes() for _, a, b in parts], pa.binary())})
 
     def answer(key: tuple, got: pa.Table) -> pa.Table:
@@ -114,12 +115,12 @@ def survivors(spark: SparkSession, docs: DataFrame, columns: list, near=NEAR, bl
         every, where = np.unique(np.concatenate(held), return_inverse=True)
         total = np.bincount(where, np.concatenate(counts), len(every))
         classes = np.split(frequency_class(total)[where], np.cumsum([len(h) for h in held])[:-1])
-        return pa.table({"block": got["block"].combine_chunks(), "bucket": pa.array([key[0].as_py()] * len(held), pa.int32()),
+        return pa.table({"block": got["block"].combine_chunks(), "first": got["first"].combine_chunks(),
                          "classes": pa.array([c.tobytes() for c in classes], pa.binary())})
 
     def choose(key: tuple, block: pa.Table, letters: pa.Table) -> pa.Table:
         own = Block(block)
-        letters = letters.sort_by("bucket")
+        letters = letters.sort_by("first")  # buckets are ranges: in order of their first hash they make up the sorted array
         classes = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in letters["classes"]] or [np.zeros(0, np.uint8)])
         prefixes, shared = [], []
         for values, first in zip(own.sets, own.first):
@@ -140,8 +141,8 @@ def survivors(spark: SparkSession, docs: DataFrame, columns: list, near=NEAR, bl
             got = got.append_column(name, values)
         return got
 
-    sent = rows.groupBy("block").applyInArrow(send, "bucket int, block int, hashes binary, counts binary")
-    mail = sent.groupBy("bucket").applyInArrow(answer, "block int, bucket int, classes binary")
+    sent = rows.groupBy("block").applyInArrow(send, "bucket int, block int, first long, hashes binary, counts binary").repartition(buckets, "bucket")
+    mail = sent.groupBy("bucket").applyInArrow(answer, "block int, first long, classes binary")
     out = rows.select(ROW, "doc_id", "text", "block").groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(
         choose, f"{ROW} long, doc_id long, n long, signature binary, prefix array<long>, shared binary")
     return rows, materialize(spark, out, "jaccard-sets")

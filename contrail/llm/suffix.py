@@ -32,72 +32,97 @@ from contrail.llm.common import ROW, carry, table
 MIN_BYTES = 50
 GRAM = 24
 NO_ID = np.iinfo(np.int64).max
-CONTEXTS = "bucket int, block int, number binary, length binary, doc binary, left binary, data binary"
+SEGMENT = 1 << 15
+#: Windows of one suffix array; a bucket with more is worked through in pieces by key.
+WINDOWS = 400_000
+CONTEXTS = "bucket int, block int, number binary, length binary, doc binary, left binary, key binary, data binary"
 SPANS = "array<struct<begin:long,end:long>>"
 
 
-def window_keys(text: np.ndarray, min_bytes: int, gram: int) -> np.ndarray:
-    """Smallest gram hash of each window of a text (none for a shorter text)."""
-    if len(text) < min_bytes:
-        return np.zeros(0, np.uint64)
-    hashes, width, length = B.rolling(text, gram), min_bytes - gram + 1, 1
-    while length * 2 <= width:
-        hashes, length = np.minimum(hashes[:-length], hashes[length:]), length * 2
-    rest = width - length
-    return B.shorten(np.minimum(hashes[:-rest], hashes[rest:]) if rest else hashes)
+def window_keys(data: np.ndarray, min_bytes: int, gram: int) -> np.ndarray:
+    """Smallest gram hash of each window of some bytes (none for fewer), in segments that stay in cache."""
+    out = []
+    for at in range(0, max(0, len(data) - min_bytes + 1), SEGMENT):
+        hashes, width, length = B.rolling(data[at:at + SEGMENT + min_bytes - 1], gram), min_bytes - gram + 1, 1
+        while length * 2 <= width:
+            hashes, length = np.minimum(hashes[:-length], hashes[length:]), length * 2
+        rest = width - length
+        out.append(B.shorten(B.mix(np.minimum(hashes[:-rest], hashes[rest:]) if rest else hashes)))  # smallest ones are small: spread them out
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def gather(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bytes of some ranges, one after the other."""
+    ends = np.cumsum(length)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)]
+
+
+def same(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows grouped by equal keys: the order that puts groups together, each group's first place in it, and each row's group."""
+    order = np.lexsort(keys)
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for k in keys:
+        fresh[1:] |= k[order][1:] != k[order][:-1]
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    return order, np.flatnonzero(fresh), group
 
 
 class Block:
-    """Documents of a block: ids, bytes, and each run of windows that share a key."""
+    """Documents of a block, their bytes one after the other with a byte between, and each run of windows that share a key."""
 
     def __init__(self, rows: pa.Table, min_bytes: int, gram: int):
         self.rows = B.by_row(rows)
-        ids = self.rows["doc_id"].to_pylist()
-        self.ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
-        column = self.rows["text"].combine_chunks() if self.rows.num_rows else pa.array([], pa.binary())
-        self.texts = [v.as_buffer() for v in column]
-        docs, starts, ends, keys = [], [], [], []
-        for i, text in enumerate(self.texts):
-            key = window_keys(np.frombuffer(text, np.uint8), min_bytes, gram)
-            if len(key):
-                at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                docs.append(np.full(len(at), i))
-                starts.append(at)
-                ends.append(np.append(at[1:], len(key)))
-                keys.append(key[at])
-        none = np.zeros(0, np.int64)
-        self.doc, self.start, self.end = (np.concatenate(x) if x else none for x in (docs, starts, ends))
-        self.key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        self.ids = np.array([NO_ID if i is None else i for i in self.rows["doc_id"].to_pylist()], np.int64)
+        texts = self.rows["text"].to_pylist()
+        self.data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        self.size = np.array([len(t) for t in texts], np.int64)
+        self.base = np.cumsum(self.size + 1) - self.size - 1
+        key = window_keys(self.data, min_bytes, gram)
+        windows = np.maximum(self.size - min_bytes + 1, 0)
+        owner = np.repeat(np.arange(len(texts)), windows)
+        at = gather(np.arange(len(key)), self.base, windows)  # starts of windows inside one document
+        key = key[at]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        first = np.flatnonzero(fresh)
+        self.doc, self.start, self.key = owner[first], at[first], key[first]
+        self.windows = np.diff(np.append(first, len(at)))
 
     def repeated_here(self) -> np.ndarray:
         """Keys that occur in two documents of the block or more."""
         order = np.lexsort((self.doc, self.key))
         key, doc = self.key[order], self.doc[order]
-        same = (key[1:] == key[:-1]) & (doc[1:] != doc[:-1])
-        return np.unique(key[1:][same])
-
-    def contexts(self, repeated: np.ndarray, min_bytes: int):
-        """Distinct contexts of repeated keys: ``bytes -> [number, smallest id, left byte, key]``, and (context, doc, start) of each occurrence.
-
-        The left byte is -1 at a document's begin and 256 once occurrences differ in it.
-        """
-        held: dict[bytes, list] = {}
-        found: list[tuple[int, int, int]] = []
-        if len(repeated) and len(self.key):
-            at = np.searchsorted(repeated, self.key)
-            hit = np.flatnonzero(repeated[np.minimum(at, len(repeated) - 1)] == self.key)
-            for key, doc, start, end in zip(self.key[hit].tolist(), self.doc[hit].tolist(), self.start[hit].tolist(), self.end[hit].tolist()):
-                text = self.texts[doc]
-                data = text[start:end + min_bytes - 1].to_pybytes()
-                left = text[start - 1:start].to_pybytes()[0] if start else -1
-                own = held.get(data)
-                if own is None:
-                    own = held[data] = [len(held), int(self.ids[doc]), left, key]
-                else:
-                    own[1] = min(own[1], int(self.ids[doc]))
-                    own[2] = own[2] if own[2] == left else 256
-                found.append((own[0], doc, start))
-        return held, found
+        return np.unique(key[1:][(key[1:] == key[:-1]) & (doc[1:] != doc[:-1])])
+
+
+class Contexts:
+    """Contexts of repeated keys in a block: its occurrences, and the distinct ones among them, numbered.
+
+    Contexts are the same if key, length and a 64-bit hash of their bytes are. ``left`` is the byte
+    before, -1 at a document's begin and 256 where occurrences differ in it.
+    """
+
+    def __init__(self, block: Block, repeated: np.ndarray, min_bytes: int):
+        hit = np.zeros(0, np.int64)
+        if len(repeated):
+            at = np.minimum(np.searchsorted(repeated, block.key), len(repeated) - 1)
+            hit = np.flatnonzero(repeated[at] == block.key)
+        self.doc, self.start, self.windows = block.doc[hit], block.start[hit], block.windows[hit]
+        self.length = self.windows + min_bytes - 1
+        key = block.key[hit]
+        hashes = B.word_hashes(block.data, self.start, self.start + self.length)
+        order, first, self.number = same(hashes, self.length.astype(np.uint64), key)
+        left = np.where(self.start > block.base[self.doc], block.data[np.maximum(self.start - 1, 0)].astype(np.int64), -1) if len(hit) else hit
+        if len(first):
+            self.smallest = np.minimum.reduceat(block.ids[self.doc][order], first)
+            low, high = np.minimum.reduceat(left[order], first), np.maximum.reduceat(left[order], first)
+            self.left = np.where(low == high, low, 256)
+        else:
+            self.smallest = self.left = first
+        one = order[first]
+        self.key, self.begin, self.size = key[one], self.start[one], self.length[one]
 
 
 def interval_tree(common: list[int], least: int) -> list[tuple[int, int, int, int]]:
@@ -119,8 +144,8 @@ def interval_tree(common: list[int], least: int) -> list[tuple[int, int, int, in
 class SuffixArray:
     """Enhanced suffix array of the windows of some contexts, compared by their first ``depth`` bytes (their ends count as zeros)."""
 
-    def __init__(self, contexts: list[np.ndarray], lengths: np.ndarray, min_bytes: int, depth: int):
-        data = np.concatenate([*contexts, np.zeros(depth + 8, np.uint8)])
+    def __init__(self, contexts: np.ndarray, lengths: np.ndarray, min_bytes: int, depth: int):
+        data = np.concatenate([contexts, np.zeros(depth + 8, np.uint8)])
         ends = np.cumsum(lengths)
         begins = ends - lengths
         per = lengths - min_bytes + 1
@@ -161,75 +186,72 @@ class SuffixArray:
         return np.concatenate(([0], np.cumsum(self.common < least))) if len(self.order) else np.zeros(0, np.int64)
 
 
-def read_contexts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Block, number, bytes, length, smallest id and left byte of the contexts in a bucket."""
+def read_contexts(rows: pa.Table, min_bytes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Contexts of a bucket in pieces of about ``WINDOWS`` windows, equal keys together.
+
+    Block, number, length, smallest id, left byte and key as arrays, and the bytes one after the other.
+    """
     rows = rows.sort_by("block")
     get = {c: [np.frombuffer(v.as_buffer(), t) for v in rows[c]] for c, t in
-           (("number", np.int32), ("length", np.int32), ("doc", np.int64), ("left", np.int16), ("data", np.uint8))}
+           (("number", np.int32), ("length", np.int32), ("doc", np.int64), ("left", np.int16), ("key", np.uint64))}
     block = np.repeat(np.array(rows["block"].to_pylist(), np.int64), [len(n) for n in get["number"]])
-    number, length, doc, left = (np.concatenate(get[c]).astype(np.int64) for c in ("number", "length", "doc", "left"))
-    return block, number, get["data"], length, doc, left
-
-
-def covered(starts: np.ndarray, ends: np.ndarray, min_bytes: int) -> list[tuple[int, int]]:
-    """Union of the bytes of window runs [start, end), as sorted disjoint, non-touching [begin, end)."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(zip(starts, ends)):
-        b += min_bytes - 1
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
+    number, length, doc, left, key = (np.concatenate(get[c]) for c in ("number", "length", "doc", "left", "key"))
+    data = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in rows["data"]])
+    length, number, left = length.astype(np.int64), number.astype(np.int64), left.astype(np.int64)
+    begin = np.cumsum(length) - length
+    pieces = -(-int((length - min_bytes + 1).sum()) // WINDOWS)
+    part = B.mix(key) % np.uint64(pieces)
+    for i in range(pieces):
+        at = np.flatnonzero(part == i)
+        if len(at):
+            yield block[at], number[at], length[at], doc[at], left[at], key[at], gather(data, begin[at], length[at])
 
 
 def exchanged(spark: SparkSession, docs: DataFrame, columns: list, min_bytes: int, gram: int, block_bytes: int):
     """Blocks, and per block the keys that other blocks hold too; then contexts by bucket. All lazy."""
-    rows, buckets = B.blocked(spark, docs, columns, block_bytes)
+    rows, bucket_keys = B.blocked(spark, docs, columns, block_bytes)
+    buckets = len(bucket_keys)
 
     def send(key: tuple, block: pa.Table) -> pa.Table:
         keys = np.unique(Block(block, min_bytes, gram).key)
         parts = B.split(keys, buckets)
-        return pa.table({"bucket": pa.array([p[0] for p in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
+        return pa.table({"bucket": pa.array([bucket_keys[p[0]] for p in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
                          "keys": pa.array([B.pack(keys[a:b]) for _, a, b in parts], pa.binary())})
 
     def answer(key: tuple, got: pa.Table) -> pa.Table:
         held = [B.unpack(v.as_py()) for v in got["keys"]]
         every = np.sort(np.concatenate(held))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
-        out = [h[np.isin(h, twice)] for h in held] if len(twice) else [h[:0] for h in held]
+        out = [h[twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h] for h in held] if len(twice) else [h[:0] for h in held]
         keep = [i for i, h in enumerate(out) if len(h)]
         return pa.table({"block": pa.array([got["block"][i].as_py() for i in keep], pa.int32()), "kind": pa.array([0] * len(keep), pa.int32()),
                          "payload": pa.array([B.pack(out[i]) for i in keep], pa.binary())})
 
-    sent = rows.groupBy("block").applyInArrow(send, "bucket int, block int, keys binary")
+    sent = rows.groupBy("block").applyInArrow(send, "bucket int, block int, keys binary").repartition(buckets, "bucket")
     mail = sent.groupBy("bucket").applyInArrow(answer, "block int, kind int, payload binary")
 
     def cut(key: tuple, block: pa.Table, letters: pa.Table) -> pa.Table:
-        held, _ = contexts_of(block, letters, min_bytes, gram)[1:]
-        by: list[list] = [[] for _ in range(buckets)]
-        bounds = B.bucket_bounds(buckets)
-        items = list(held.items())
-        if items:
-            for (data, own), b in zip(items, np.searchsorted(bounds, np.array([own[3] for _, own in items], np.uint64), "right")):
-                by[b].append((data, own))
-        full = [b for b in range(buckets) if by[b]]
-        pick = lambda f, kind: pa.array([np.array([f(d, o) for d, o in by[b]], kind).tobytes() for b in full], pa.binary())
+        own, found = contexts_of(block, letters, min_bytes, gram)
+        to = np.searchsorted(B.bucket_bounds(buckets), found.key, "right")
+        order = np.argsort(to, kind="stable")
+        full, first = np.unique(to[order], return_index=True)
+        parts = np.split(order, first[1:]) if len(full) else []
+        pick = lambda values, kind: pa.array([values[p].astype(kind).tobytes() for p in parts], pa.binary())
         return pa.table({
-            "bucket": pa.array(full, pa.int32()), "block": pa.array([key[0].as_py()] * len(full), pa.int32()),
-            "number": pick(lambda d, o: o[0], np.int32), "length": pick(lambda d, o: len(d), np.int32),
-            "doc": pick(lambda d, o: o[1], np.int64), "left": pick(lambda d, o: o[2], np.int16),
-            "data": pa.array([b"".join(d for d, _ in by[b]) for b in full], pa.binary())})
+            "bucket": pa.array([bucket_keys[b] for b in full], pa.int32()), "block": pa.array([key[0].as_py()] * len(full), pa.int32()),
+            "number": pick(np.arange(len(found.key)), np.int32), "length": pick(found.size, np.int32),
+            "doc": pick(found.smallest, np.int64), "left": pick(found.left, np.int16), "key": pick(found.key, np.uint64),
+            "data": pa.array([gather(own.data, found.begin[p], found.size[p]).tobytes() for p in parts], pa.binary())})
 
-    contexts = rows.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(cut, CONTEXTS)
+    contexts = rows.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(cut, CONTEXTS).repartition(buckets, "bucket")
     return rows, mail, contexts
 
 
-def contexts_of(block: pa.Table, letters: pa.Table, min_bytes: int, gram: int):
-    """The block, its contexts and their occurrences, given the letters with the keys that other blocks hold."""
+def contexts_of(block: pa.Table, letters: pa.Table, min_bytes: int, gram: int) -> tuple[Block, Contexts]:
+    """The block and its contexts, given the letters with the keys that other blocks hold."""
     own = Block(block, min_bytes, gram)
-    elsewhere = [B.unpack(p.as_py()) for p, kind in zip(letters["payload"], letters["kind"].to_pylist()) if kind == 0]
-    return own, *own.contexts(np.unique(np.concatenate([own.repeated_here(), *elsewhere])), min_bytes)
+    elsewhere = [B.unpack(p.as_buffer()) for p, kind in zip(letters["payload"], letters["kind"].to_pylist()) if kind == 0]
+    return own, Contexts(own, np.unique(np.concatenate([own.repeated_here(), *elsewhere])), min_bytes)
 
 
 def duplicate_spans(spark: SparkSession, docs: DataFrame, min_bytes: int = MIN_BYTES, gram: int = GRAM,
@@ -248,14 +270,26 @@ def duplicate_spans(spark: SparkSession, docs: DataFrame, min_bytes: int = MIN_B
     rows, mail, contexts = exchanged(spark, docs, [own_id, *more], min_bytes, gram, block_bytes)
 
     def judge(key: tuple, got: pa.Table) -> pa.Table:
-        block, number, data, length, doc, left = read_contexts(got)
-        suffixes = SuffixArray(data, length, min_bytes, min_bytes)
-        root = suffixes.roots(min_bytes)
-        owner = doc[suffixes.context]
-        least = np.minimum.reduceat(owner, np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1])))) if len(root) else owner
-        told = np.flatnonzero(least[root] < owner) if len(root) else root
-        context, offset = suffixes.context[told], suffixes.offset[told]
-        out = np.stack([block[context], number[context], offset], 1).astype(np.int32)
+        pieces = []
+        for block, number, length, doc, _, key, data in read_contexts(got, min_bytes):
+            ends = np.cumsum(length)
+            order, first, group = same(B.word_hashes(data, ends - length, ends), length.astype(np.uint64), key)
+            one = order[first]  # of a context that many blocks hold, one goes into the array
+            suffixes = SuffixArray(gather(data, (ends - length)[one], length[one]), length[one], min_bytes, min_bytes)
+            root = suffixes.roots(min_bytes)
+            owner = np.minimum.reduceat(doc[order], first)[suffixes.context]
+            least = np.minimum.reduceat(owner, np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1]))))[root]
+            # the windows of each distinct context, in order, then for each block that has it
+            place = np.lexsort((suffixes.offset, suffixes.context))
+            least, windows = least[place], length[one] - min_bytes + 1
+            begin = np.cumsum(windows) - windows
+            own = length - min_bytes + 1
+            heard = gather(least, begin[group], own)
+            told = np.flatnonzero(heard < np.repeat(doc, own))
+            context = np.repeat(np.arange(len(own)), own)[told]
+            offset = told - (np.cumsum(own) - own)[context]
+            pieces.append(np.stack([block[context], number[context], offset], 1).astype(np.int32))
+        out = np.concatenate(pieces)
         out = out[np.lexsort((out[:, 2], out[:, 1], out[:, 0]))]
         to, first = np.unique(out[:, 0], return_index=True)
         parts = np.split(out[:, 1:], first[1:]) if len(to) else []
@@ -269,30 +303,38 @@ def duplicate_spans(spark: SparkSession, docs: DataFrame, min_bytes: int = MIN_B
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"n_bytes long, spans {SPANS}, kept binary"])
 
     def finish(key: tuple, block: pa.Table, letters: pa.Table) -> pa.Table:
-        own, held, found = contexts_of(block, letters, min_bytes, gram)
-        flagged: dict[int, list[tuple[int, int]]] = {}
-        for payload, kind in zip(letters["payload"], letters["kind"].to_pylist()):
-            if kind == 1:
-                for n, a, b in np.frombuffer(payload.as_buffer(), np.int32).reshape(-1, 3).tolist():
-                    flagged.setdefault(n, []).append((a, b))
-        by_number = list(held.items())
-        cut: dict[int, list[tuple[int, int]]] = {}
-        for n, doc, start in found:
-            data, (_, smallest, _, _) = by_number[n]
-            if own.ids[doc] > smallest:  # another document here has the whole context
-                cut.setdefault(doc, []).append((start, start + len(data) - min_bytes + 1))
-            else:
-                cut.setdefault(doc, []).extend((start + a, start + b) for a, b in flagged.get(n, ()))
-        spans, kept = [], []
-        for i, text in enumerate(own.texts):
-            gone = covered(*zip(*cut[i]), min_bytes) if cut.get(i) else []
-            spans.append([{"begin": a, "end": b} for a, b in gone])
-            edges = [0, *(x for s in gone for x in s), text.size]
-            rest = b"".join(text[a:b].to_pybytes() for a, b in zip(edges[::2], edges[1::2]))
-            kept.append(rest.decode("utf-8", "ignore").encode() if others and gone else rest)
-        got = own.rows.select(names)
+        own, found = contexts_of(block, letters, min_bytes, gram)
+        edge = np.zeros(len(own.data) + 1, np.int64)  # +1 where a removed window's bytes begin, -1 where they end
+        inner = own.ids[found.doc] > found.smallest[found.number] if len(found.doc) else np.zeros(0, bool)
+        begins, ends = [found.start[inner]], [(found.start + found.length)[inner]]  # another document here has the whole context
+        heard = [np.frombuffer(p.as_buffer(), np.int32).reshape(-1, 3) for p, kind in zip(letters["payload"], letters["kind"].to_pylist()) if kind == 1]
+        if heard:
+            told = np.concatenate(heard).astype(np.int64)
+            told = told[np.argsort(told[:, 0], kind="stable")]
+            rest = np.flatnonzero(~inner)
+            low, high = (np.searchsorted(told[:, 0], found.number[rest], side) for side in ("left", "right"))
+            which = gather(np.arange(len(told)), low, high - low)
+            start = np.repeat(found.start[rest], high - low)
+            begins.append(start + told[which, 1])
+            ends.append(start + told[which, 2] + min_bytes - 1)
+        np.add.at(edge, np.concatenate(begins), 1)
+        np.add.at(edge, np.concatenate(ends), -1)
+        gone = np.concatenate(([False], np.cumsum(edge) > 0))
+        turns = np.flatnonzero(gone[1:] != gone[:-1])  # no span reaches the byte between documents
+        of = np.searchsorted(own.base, turns[::2], "right") - 1
+        spans: list[list[dict]] = [[] for _ in own.size]
+        for doc, a, b in zip(of.tolist(), turns[::2].tolist(), turns[1::2].tolist()):
+            spans[doc].append({"begin": a - int(own.base[doc]), "end": b - int(own.base[doc])})
+        kept = []
+        for cut, a, n in zip(spans, own.base.tolist(), own.size.tolist()):
+            text = own.data[a:a + n]
+            if cut:
+                text = text[~gone[1 + a:1 + a + n]]
+            text = text.tobytes()
+            kept.append(text.decode("utf-8", "ignore").encode() if others and cut else text)
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        for name, values in (("n_bytes", pa.array([t.size for t in own.texts], pa.int64())), ("spans", pa.array(spans, kind)),
+        got = own.rows.select(names)
+        for name, values in (("n_bytes", pa.array(own.size, pa.int64())), ("spans", pa.array(spans, kind)),
                              ("kept", pa.array(kept, pa.binary()))):
             got = got.append_column(name, values)
         return got
@@ -322,19 +364,19 @@ def repeat_groups(spark: SparkSession, docs: DataFrame, min_bytes: int = MIN_BYT
     kind = pa.list_(pa.struct([("block", pa.int32()), ("context", pa.int32()), ("offset", pa.int32()), ("doc_id", pa.int64())]))
 
     def groups(key: tuple, got: pa.Table) -> pa.Table:
-        block, number, data, length, doc, left = read_contexts(got)
-        suffixes = SuffixArray(data, length, min_bytes, depth)
-        before = suffixes.left(left)
         sizes, samples, all_ = [], [], []
-        for size, first, last, _ in interval_tree(suffixes.common.tolist(), min_bytes):
-            span = slice(first, last + 1)
-            if len(np.unique(before[span])) == 1 and 0 <= before[first] < 256:
-                continue  # every occurrence goes on to the left: a longer repeat has them
-            c = suffixes.context[span]
-            at = suffixes.start[first]
-            sizes.append(size)
-            samples.append(suffixes.data[at:at + size].tobytes())
-            all_.append([{"block": int(block[x]), "context": int(number[x]), "offset": int(o), "doc_id": int(doc[x])} for x, o in zip(c, suffixes.offset[span])])
+        for block, number, length, doc, left, _, data in read_contexts(got, min_bytes):
+            suffixes = SuffixArray(data, length, min_bytes, depth)
+            before = suffixes.left(left)
+            for size, first, last, _ in interval_tree(suffixes.common.tolist(), min_bytes):
+                span = slice(first, last + 1)
+                if len(np.unique(before[span])) == 1 and 0 <= before[first] < 256:
+                    continue  # every occurrence goes on to the left: a longer repeat has them
+                at = suffixes.start[first]
+                sizes.append(size)
+                samples.append(suffixes.data[at:at + size].tobytes())
+                all_.append([{"block": int(block[x]), "context": int(number[x]), "offset": int(o), "doc_id": int(doc[x])}
+                             for x, o in zip(suffixes.context[span], suffixes.offset[span])])
         return pa.table({"length": pa.array(sizes, pa.int64()), "sample": pa.array(samples, pa.binary()), "occurrences": pa.array(all_, kind)})
 
     return contexts.groupBy("bucket").applyInArrow(
