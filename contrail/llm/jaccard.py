@@ -378,6 +378,7 @@ def classes(spark: SparkSession, docs: DataFrame, columns: list | None = None, n
         ROW, "doc_id", "n", label.alias("label"))
     labelled = materialize(spark, labelled, "jaccard-labels")
     heads = labelled.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(ROW).alias("row"))).alias("head"))
+    heads = materialize(spark, heads, "jaccard-heads")  # written: the join below is a plain one, whose hot labels can be split
     out = labelled.join(heads, "label").select(ROW, "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"),
                                                (F.col("head.row") == F.col(ROW)).alias("keep"))
     return rows, out

@@ -196,7 +196,7 @@ def read_contexts(rows: pa.Table, min_bytes: int) -> Iterator[tuple[np.ndarray,
            (("number", np.int32), ("length", np.int32), ("doc", np.int64), ("left", np.int16), ("key", np.uint64))}
     block = np.repeat(np.array(rows["block"].to_pylist(), np.int64), [len(n) for n in get["number"]])
     number, length, doc, left, key = (np.concatenate(get[c]) for c in ("number", "length", "doc", "left", "key"))
-    data = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in rows["data"]])
+    data = np.concatenate([np.frombuffer(pa.decompress(v.as_buffer(), int(n.sum()), "zstd"), np.uint8) for v, n in zip(rows["data"], get["length"])])
     length, number, left = length.astype(np.int64), number.astype(np.int64), left.astype(np.int64)
     begin = np.cumsum(length) - length
     pieces = -(-int((length - min_bytes + 1).sum()) // WINDOWS)
@@ -241,7 +241,7 @@ def exchanged(spark: SparkSession, docs: DataFrame, columns: list, min_bytes: in
             "bucket": pa.array([bucket_keys[b] for b in full], pa.int32()), "block": pa.array([key[0].as_py()] * len(full), pa.int32()),
             "number": pick(np.arange(len(found.key)), np.int32), "length": pick(found.size, np.int32),
             "doc": pick(found.smallest, np.int64), "left": pick(found.left, np.int16), "key": pick(found.key, np.uint64),
-            "data": pa.array([gather(own.data, found.begin[p], found.size[p]).tobytes() for p in parts], pa.binary())})
+            "data": pa.array([pa.compress(gather(own.data, found.begin[p], found.size[p]).tobytes(), "zstd", asbytes=True) for p in parts], pa.binary())})
 
     contexts = rows.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(cut, CONTEXTS).repartition(buckets, "bucket")
     return rows, mail, contexts
