@@ -27,7 +27,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 SMOOTHING = 0.1
 #: Bound of the broadcast table: words times languages.
-HOT_CELLS = 200_000
+HOT_CELLS = 600_000
 #: A task hands over its word counts when it holds this many.
 FLUSH = 200_000
 UNKNOWN = "und"
@@ -85,43 +85,44 @@ def scored_words(spark: SparkSession, counts: DataFrame, langs: list[str]) -> Da
     """(word, n, score array<double> by language) for every word in ``counts``."""
     per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in langs]
     words = counts.groupBy("word").agg(F.sum("n").alias("n"), F.array(*per).alias("c"))
-    words = materialize(spark, words.withColumn("known", F.expr("exists(c, x -> x > 0)")), "lang-words")
-    known, unseen = words.where("known"), words.where("not known")
+    words = words.withColumn("known", F.expr("exists(c, x -> x > 0)")).withColumn("id", F.monotonically_increasing_id())
+    words = materialize(spark, words, "lang-words")
+    known, left = words.where("known"), words.where("not known").select("id", "word", "n")
     flat = F.array(*[F.sum(F.col("c")[i]) for i in range(len(langs))])
 
-    def logs(kinds: int, totals: list[int]):
-        return F.array(*[F.log((F.col("c")[i] + SMOOTHING) / F.lit(totals[i] + SMOOTHING * kinds)) for i in range(len(langs))])
-
-    def sums(df: DataFrame):
+    def with_logs(df: DataFrame) -> DataFrame:
+        """Smoothed log frequencies of the counts ``c`` among all of ``df``."""
         row = df.agg(F.count("*").alias("kinds"), flat.alias("c")).first()
-        return row.kinds, [x or 0 for x in row.c]
-
-    direct = known.select("word", "n", logs(*sums(known)).alias("score"))
+        return df.withColumn("score", F.array(*[F.log((F.col("c")[i] + SMOOTHING) / F.lit((row.c[i] or 0) + SMOOTHING * max(1, row.kinds)))
+                                                for i in range(len(langs))]))
 
-    # longest n first: what finds no seen n-gram goes on to the next shorter one; none at all scores 0 for every language
-    tables = []
+    scored = [with_logs(known).select("word", "n", "score")]
+    # longest n-grams first: a word goes on to the next shorter ones only if none of its n-grams was seen
     for size in range(LONGEST, 0, -1):
-        exploded = known.select(F.explode(grams(F.col("word"), size)).alias("gram"), "c")
-        seen = exploded.groupBy("gram").agg(flat.alias("c"))
-        tables.append(seen.withColumn("size", F.lit(size)))
-    model = tables[0]
-    for t in tables[1:]:
-        model = model.unionByName(t)
-    model = materialize(spark, model, "lang-grams")
-    totals = {r["size"]: (r.kinds, [x or 0 for x in r.c]) for r in
-              model.groupBy("size").agg(F.count("*").alias("kinds"), flat.alias("c")).collect()}
-    score = F.lit(None)
-    for size, (kinds, total) in totals.items():
-        score = F.when(F.col("size") == size, logs(kinds, total)).otherwise(score)
-    pieces = unseen.select("word", "n", F.explode(F.flatten(F.array(
-        *[F.coalesce(grams(F.col("word"), size), F.array().cast("array<string>")) for size in range(1, LONGEST + 1)]))).alias("gram"))
-    matched = pieces.join(model.select("gram", "size", score.alias("g")), "gram")
-    mean = F.array(*[F.avg(F.col("g")[i]) for i in range(len(langs))])
-    by_size = matched.groupBy("word", "size").agg(F.first("n").alias("n"), mean.alias("score"))
-    backed = by_size.groupBy("word").agg(F.max_by("score", "size").alias("score"), F.max("n").alias("n"))
-    rest = unseen.join(backed.select("word", "score"), "word", "left").select(
-        "word", "n", F.coalesce("score", F.array(*[F.lit(0.0)] * len(langs))).alias("score"))
-    return materialize(spark, direct.unionByName(rest), "lang-scores")
+        seen = known.select(F.explode(grams(F.col("word"), size)).alias("gram"), "c").groupBy("gram").agg(flat.alias("c"))
+        seen = with_logs(materialize(spark, seen, "lang-grams")).select("gram", "score")
+        pieces = left.select("id", F.explode(grams(F.col("word"), size)).alias("gram"))
+        mean = F.array(*[F.avg(F.col("score")[i]) for i in range(len(langs))])
+        found = pieces.join(seen, "gram").groupBy("id").agg(mean.alias("score"))
+        both = materialize(spark, left.join(found, "id", "left"), "lang-backoff")
+        scored.append(both.where("score is not null").select("word", "n", "score"))
+        left = both.where("score is null").select("id", "word", "n")
+    out = left.select("word", "n", F.array(*[F.lit(0.0)] * len(langs)).alias("score"))  # nothing of it was seen
+    for part in scored:
+        out = out.unionByName(part)
+    return out
+
+
+def hot_cut(scores: DataFrame, most: int) -> int:
+    """Smallest count such that at most ``most`` words occur that often or more."""
+    steps = scores.groupBy("n").count().orderBy(F.desc("n"))
+    total, cut = 0, None
+    for r in steps.toLocalIterator():
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["n"]
+    return cut if cut is not None else (1 << 62)
 
 
 def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -> DataFrame:
@@ -139,10 +140,11 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
     if not langs:
         return rows.select(ROW, "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     scores = scored_words(spark, counts, langs)
-    hot = {r.word: (i, r.score) for i, r in enumerate(
-        scores.orderBy(F.desc("n"), "word").limit(max(1, hot_cells // len(langs))).collect())}
-    matrix = np.array([s for _, s in hot.values()], np.float64).reshape(-1, len(langs))
-    shared = spark.sparkContext.broadcast(({w: i for w, (i, _) in hot.items()}, matrix))
+    cut = hot_cut(scores, hot_cells // len(langs))
+    hot = scores.where(F.col("n") >= cut).select("word", "score").toArrow().combine_chunks()
+    matrix = hot["score"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+    shared = spark.sparkContext.broadcast(({w: i for i, w in enumerate(hot["word"].to_pylist())}, matrix))
+    del hot, matrix
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, values = shared.value
@@ -171,9 +173,7 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
         add_up, f"{ROW} long, doc_id {ident}, held_out boolean, letters boolean, sums array<double>, words array<string>, times array<long>"),
         "lang-docs")
     cold = partly.select(ROW, F.explode(F.arrays_zip("words", "times")).alias("w")).select(ROW, F.col("w.words").alias("word"), F.col("w.times").alias("n"))
-    place = shared.value[0]
-    least = min((r.n for r in scores.where(F.col("word").isin(next(reversed(place)))).select("n").collect()), default=0)
-    tail = scores.where(F.col("n") <= least).select("word", "score")  # a superset of the words that are not hot
+    tail = scores.where(F.col("n") < cut).select("word", "score")
     cold = cold.join(tail, "word").groupBy(ROW).agg(F.array(*[F.sum(F.col("score")[i] * F.col("n")) for i in range(len(langs))]).alias("more"))
     total = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
     best = F.array_max("total")
