@@ -318,7 +318,8 @@ def split_large(spark: SparkSession, region: DataFrame, near, cap: int) -> tuple
         F.col("region").alias("of"), (F.col("largest") <= 0.7 * F.col("members")).alias("smaller"), "pivot",
         F.coalesce("count", F.lit(0)).alias("core")), "jaccard-fate")
     placed = placed.join(fate, F.col("region") == F.col("of"))
-    going = placed.where("smaller").select(F.concat_ws("/", F.col("region"), F.explode("to").cast("string")).alias("region"), "row", "n", "shared")
+    going = placed.where("smaller").withColumn("next", F.explode("to")).select(
+        F.concat_ws("/", "region", "next").alias("region"), "row", "n", "shared")
     stuck = placed.where("not smaller").withColumn("inner", F.coalesce(F.array_contains("linked", F.col("pivot")), F.lit(False)))
     direct = stuck.where("inner").select(F.col("row").alias("a"), F.col("pivot").alias("b"))
     outer_chunks, core_chunks = F.ceil(2 * (F.col("members") - F.col("core")) / cap), F.ceil(2 * F.col("core") / cap)
