@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.functions.columns import month_of, surrogate_key, year_of
 
@@ -14,31 +15,35 @@ from contrail.functions.columns import month_of, surrogate_key, year_of
 Spec = Sequence[tuple[Sequence[str], str, str | None]]
 
 
-def conform(df: DataFrame, spec: Spec, missing: str = "null") -> DataFrame:
+def conform(df: DataFrame, spec: Spec, missing: str = "error", optional: Sequence[str] = ()) -> DataFrame:
     """Rename, cast and order columns to a canonical schema in one projection.
 
     For each target the first source name present in ``df`` wins (this is how
     physical typos such as ``schedualed_departure`` are accepted). A target
-    with no source becomes a typed NULL (``missing="null"``) or raises
-    (``missing="error"``). Catalyst collapses the result into one Project.
+    with no source raises, unless it is named in ``optional`` or
+    ``missing="null"`` makes all of them optional: those become typed NULLs.
+    A target that keeps its source type is a time; text is cast to one.
+    Catalyst collapses the result into one Project.
     """
     present = set(df.columns)
     cols = []
     for sources, target, dtype in spec:
         src = next((s for s in sources if s in present), None)
         if src is None:
-            if missing == "error":
+            if missing == "error" and target not in optional:
                 raise ValueError(f"conform: none of {list(sources)} present for {target!r}")
             cols.append(F.lit(None).cast(dtype or "timestamp").alias(target))
         else:
             c = F.col(src)
+            if dtype is None and isinstance(df.schema[src].dataType, T.StringType):
+                dtype = "timestamp"
             cols.append((c if dtype is None else c.cast(dtype)).alias(target))
     return df.select(*cols)
 
 
 def with_audit(df: DataFrame, name: str = "ingestion_time") -> DataFrame:
-    """Append the load timestamp column (excluded from result comparisons)."""
-    return df.withColumn(name, F.current_timestamp())
+    """Append the load timestamp column; a load time the rows already carry stays."""
+    return df if name in df.columns else df.withColumn(name, F.current_timestamp())
 
 
 def with_period(df: DataFrame, date_col: str, year: str = "year", month: str = "month") -> DataFrame:

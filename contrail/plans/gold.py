@@ -106,12 +106,12 @@ def _priced_bookings_literal(prices: DataFrame, bookings: DataFrame) -> DataFram
 def _priced_bookings_by_flight(prices: DataFrame, bookings: DataFrame) -> DataFrame:
     """Each booking priced by its own flight and class.
 
-    One price per (flight, class) is chosen first — the ``actual`` row with
-    the latest start date (then lowest price id) — and bookings are counted
+    One price per (flight, class) is chosen first — the row with the latest
+    start date (then lowest price id) — and bookings are counted
     per (flight, class, passenger) before the join, so a flight holding a
     third of all bookings joins as a handful of pre-aggregated rows.
     """
-    p = prices.where(F.col("actual")).select(
+    p = prices.select(
         F.col("silver_flight_id").alias("flight_id"), "ticket_class", "ticket_price", "luggage_fee",
         "start_date", "price_id")
     p = top_n_per_group(p, ["flight_id", "ticket_class"],
@@ -180,7 +180,7 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
     else:
         month = month.withColumn("revenue_per_passenger", F.col("total_revenue") / F.lit(1))
     rate = cancelation_rate.select(*PERIOD, "cancelation_rate")
-    out = (month.join(F.broadcast(rate), PERIOD, "left")  # month grain: bounded
+    out = (month.join(rate, PERIOD, "left")
            .withColumn("revenue_id", _key(id_mode, "revenue", "year", "month")))
     return _finish(out, ["revenue_id", "max_revenue_class", "total_revenue", "revenue_per_passenger",
                          "average_ticket_price", "cancelation_rate", "year", "month"], audit)
@@ -316,8 +316,7 @@ def build_ml_training(flights: DataFrame, flights_events: DataFrame, routes_dim:
             raise ValueError("weather='per_flight' needs weather_summary")
         cond = weather_summary.select("flight_id", "majority_weather_condition")
         wid = weather_dim.select("majority_weather_condition", "weather_id")
-        # The condition dimension has one row per condition: bounded.
-        j = j.join(cond, "flight_id", "left").join(F.broadcast(wid), "majority_weather_condition", "left")
+        j = j.join(cond, "flight_id", "left").join(wid, "majority_weather_condition", "left")
     else:
         j = attach_scalar(j, weather_dim, ["weather_id"])
     j = attach_scalar(j, boarding_dim, ["boarding_data_id"])

@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import gold, quality, silver
-from contrail.sources.layout import Layout, read_table, write_table
+from contrail.sources.layout import Layout, ensure_layer, read_table, write_table
 from contrail.sources.synth import BRONZE_SCHEMAS, seed_layer
 
 # bronze table → (silver table, builder). Builders taking more inputs follow.
@@ -42,6 +43,8 @@ class _Writer:
 
     def __init__(self, spark: SparkSession, layout: Layout, layer: str, rules=None):
         self.spark, self.layout, self.layer = spark, layout, layer
+        if layout.catalog:
+            ensure_layer(spark, layout, layer)
         self.rules = list(rules or [])
         self.observed: list[DataFrame] = []
         self.done: set = set()
@@ -63,9 +66,9 @@ class _Writer:
 
 
 def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int = 10,
-               validate: bool = True, legacy: bool = False) -> DataFrame | None:
+               validate: bool = True, legacy: bool = False, abort: bool = False) -> DataFrame | None:
     """R4: optionally seed the bronze tables, then validate regardless
-    (columns, declared types, non-NULL ids)."""
+    (columns, declared types, non-NULL ids); ``abort`` raises on a failed rule."""
     if seed:
         seed_layer(spark, layout, BRONZE_SCHEMAS, n)
     if not validate:
@@ -74,9 +77,13 @@ def run_bronze(spark: SparkSession, layout: Layout, seed: bool = False, n: int =
     for name in BRONZE_SCHEMAS:
         try:
             tables[name] = read_table(spark, layout, "bronze", name)
-        except Exception:  # noqa: BLE001 - a missing table is reported by the required rule
-            pass
-    return quality.run_checks(spark, tables, quality.bronze_rules(BRONZE_SCHEMAS, legacy=legacy))
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"):
+                raise  # only a missing table is left to the required rule to report
+    out = quality.run_checks(spark, tables, quality.bronze_rules(BRONZE_SCHEMAS, legacy=legacy))
+    if abort:
+        quality.abort_if_errors(out)
+    return out
 
 
 def run_silver(spark: SparkSession, layout: Layout, bronze: Mapping[str, DataFrame] | None = None,

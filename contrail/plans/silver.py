@@ -15,9 +15,16 @@ from contrail.operators.ranking import latest_per_key
 from contrail.operators.shaping import conform, with_audit
 
 
-def _conformed(table: str, df: DataFrame, audit: bool) -> DataFrame:
-    out = conform(df, schema.SILVER[table])
-    return with_audit(out) if audit else out
+LOADED = "ingestion_time"
+
+
+def _conformed(table: str, df: DataFrame, audit: bool, optional: tuple[str, ...] = ()) -> DataFrame:
+    """The table's columns; with ``audit`` also the load time bronze carries, or now where it has none."""
+    spec = list(schema.SILVER[table])
+    if audit and LOADED in df.columns:
+        spec.append(((LOADED,), LOADED, None))
+    out = conform(df, spec, optional=optional)
+    return with_audit(out, LOADED) if audit else out
 
 
 def build_silver_routes(bronze_routes: DataFrame, audit: bool = True) -> DataFrame:
@@ -27,9 +34,8 @@ def build_silver_routes(bronze_routes: DataFrame, audit: bool = True) -> DataFra
 def build_silver_flights(bronze_flights: DataFrame, audit: bool = True) -> DataFrame:
     """Conform flights and derive ``flight_date`` from the scheduled departure
     when the source has none (the gold jobs need it; bronze never carries it)."""
-    out = conform(bronze_flights, schema.SILVER["silver_flights"])
-    out = out.withColumn("flight_date", F.coalesce(F.col("flight_date"), F.to_date("scheduled_departure")))
-    return with_audit(out) if audit else out
+    out = _conformed("silver_flights", bronze_flights, audit, optional=("flight_date",))
+    return out.withColumn("flight_date", F.coalesce(F.col("flight_date"), F.to_date("scheduled_departure")))
 
 
 def build_silver_waypoints(bronze_points: DataFrame, audit: bool = True) -> DataFrame:

@@ -76,7 +76,7 @@ PRICED_BY_FLIGHT = f"""
 SELECT p.ticket_class, p.ticket_price, p.luggage_fee, b.customer_passport_id, {_ym('p.start_date')}
 FROM (SELECT * FROM (SELECT silver_flight_id, ticket_class, ticket_price, luggage_fee, start_date,
         row_number() OVER (PARTITION BY silver_flight_id, ticket_class ORDER BY start_date DESC, price_id) AS rn
-      FROM ticket_prices WHERE actual) WHERE rn = 1) p
+      FROM ticket_prices) WHERE rn = 1) p
 JOIN booked_tickets b ON b.flight_id = p.silver_flight_id AND b.ticket_class = p.ticket_class"""
 
 
@@ -269,3 +269,13 @@ ORACLES["latest_per_key"] = W("""
 SELECT event_id, flight_id, event_type, passenger_id, baggage_weight, event_time FROM (SELECT *, row_number() OVER (PARTITION BY event_id
  ORDER BY event_time DESC NULLS LAST, flight_id NULLS LAST, event_type NULLS LAST, passenger_id NULLS LAST, baggage_weight NULLS LAST) AS rn
  FROM boarding_events) WHERE rn = 1""", "boarding_events")
+
+#: Fixed load time of the ``*_load_time`` queries.
+LOAD_TIME = "2024-02-03 04:05:06"
+for _name in ("silver_routes", "silver_flights", "silver_waypoints", "silver_ticket_prices", "silver_customers",
+              "silver_flights_events", "silver_booked_tickets", "silver_ticket_events"):
+    ORACLES[f"{_name}_load_time"] = f"SELECT *, TIMESTAMP '{LOAD_TIME}' AS ingestion_time FROM ({ORACLES[_name]})"
+for _name in ("silver_flights", "silver_ticket_prices"):
+    ORACLES[f"layer_{_name}"] = ORACLES[f"{_name}_load_time"]
+ORACLES["orphans"] = W("""SELECT e.flight_event_id, e.flight_id FROM flights_events e LEFT JOIN departed f ON e.flight_id = f.flight_id
+WHERE f.flight_id IS NULL""", "flights_events", "flights", ctes=[("departed", "SELECT DISTINCT flight_id FROM flights WHERE possible_passenger_amount >= 100")])

@@ -74,12 +74,23 @@ def test_conform_aliases_cast_and_missing(spark):
     spec = [(["routes_id", "route_id"], "routes_id", "string"),
             (["possible_passenger_amount", "max_passenger_capacity"], "possible_passenger_amount", "int"),
             (["flight_date"], "flight_date", "date")]
-    out = conform(df, spec)
+    out = conform(df, spec, optional=["flight_date"])
     assert out.columns == ["routes_id", "possible_passenger_amount", "flight_date"]
     assert tuple(out.first()) == ("r1", 3, None)
     import pytest
     with pytest.raises(ValueError):
-        conform(df, spec, missing="error")
+        conform(df, spec)
+    assert conform(df, spec, missing="null").first().flight_date is None
+    times = spark.createDataFrame([("2024-01-02 03:04:05",)], "t string")
+    assert dict(conform(times, [(["t"], "t", None)]).dtypes)["t"] == "timestamp"
+
+
+def test_a_missing_source_column_raises_and_the_load_time_stays(spark):
+    import pytest
+    from contrail.plans import silver
+    df = spark.createDataFrame([("p1", "n", "a@b", "fr", "gold")], "a string, b string, c string, d string, e string")
+    with pytest.raises(ValueError):
+        silver.build_silver_customers(df)
 
 
 def test_attach_scalar_picks_smallest_and_nulls_when_empty(spark):

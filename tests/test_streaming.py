@@ -74,3 +74,17 @@ def test_user_events_into_bronze_layout(spark, tmp_dir):
     ingest.run_to_completion(qs)
     assert read_table(spark, layout, "bronze", "events_raw").count() == 3
     assert read_table(spark, layout, "bronze", "events_raw_quarantine").count() == 2
+
+
+def test_late_distinct_messages_and_null_keys_are_all_kept(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    out, chk = (os.path.join(tmp_dir, x) for x in ("out", "chk"))
+    late = '{"event_ts":"2023-12-01T00:00:00Z","user_id":"u8","name":"late","country":"FR"}'
+    for lines in (MSGS, [late, MSGS[2], MSGS[3]], [late, MSGS[3]]):  # the second batch is a month older than the first
+        _write(spark, src, lines)
+        ingest.run_to_completion(ingest.ingest_json_topic(
+            spark, ingest.stream_source(spark, "text", path=src, per_trigger=1), ingest.USER_EVENT_SCHEMA, ["event_ts"], out, chk,
+            trigger="available_now", dedup_keys=["user_id", "event_ts"]))
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.user_id for r in rows if r.event_ts is not None) == ["7", "u1", "u2", "u8"]
+    assert sum(r.user_id is None for r in rows) == 3 and sum(r.user_id == "u4" for r in rows) == 1
