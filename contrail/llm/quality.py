@@ -204,10 +204,10 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile:
     at = F.percentile_approx("ppl", quantile, 10000)
     limits = trusted.groupBy("of").agg(F.count("*").alias("docs"), at.alias("limit")).where(F.col("of").isNotNull() & (F.col("docs") >= MIN_TRUSTED))
     limits = materialize(spark, limits, "kn-limits")
-    overall = trusted.agg(at.alias("overall"))
+    overall = trusted.agg(at.alias("overall")).first().overall  # one number
     out = rows.drop("text").join(logs, ROW).withColumn("perplexity", own)
-    out = out.join(limits, F.col("lang") == F.col("of"), "left").crossJoin(F.broadcast(overall))  # one row
-    out = out.withColumn("threshold", F.coalesce("limit", "overall"))
+    out = out.join(limits, F.col("lang") == F.col("of"), "left")
+    out = out.withColumn("threshold", F.coalesce(F.col("limit"), F.lit(overall).cast("double")))
     return out.select(ROW, "doc_id", "lang", "n_bytes", "perplexity", "threshold",
                       (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("keep"))
 

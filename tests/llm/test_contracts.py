@@ -279,3 +279,16 @@ def test_pipeline(spark, odd, tmp_dir):
     odd.limit(0).write.parquet(f"{tmp_dir}/none/documents.parquet")
     bench.write.parquet(f"{tmp_dir}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_dir}/none").count() == 0
+
+
+@pytest.mark.parametrize("name", ["op8_mixing", "op10_decontamination"])
+def test_sql(spark, name):
+    import duckdb
+    from contrail.llm.queries import ORACLES, QUERIES
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    df = QUERIES[name](spark, SF001)
+    want = con.execute(ORACLES[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(want.fetchall()) and sorted(df.columns) == sorted(columns)
