@@ -103,7 +103,9 @@ def run_silver(spark: SparkSession, layout: Layout, bronze: Mapping[str, DataFra
         out["silver_flight_weather"] = w("silver_flight_weather", silver.build_flight_weather(
             b["flight_weather_raw_api"], out["silver_waypoint_sampling_weather_points"], out["silver_flights"]))
         out["silver_weather_summary"] = w("silver_weather_summary",
-                                          silver.build_weather_summary(out["silver_flight_weather"]))
+                                          silver.build_weather_summary_from_samples(
+                                              b["flight_weather_raw_api"], out["silver_waypoint_sampling_weather_points"],
+                                              out["silver_flights"]))
     if {"silver_flights_events", "silver_flights"} <= set(out):
         out["silver_agg_frequent_delay_reasons"] = w("silver_agg_frequent_delay_reasons", silver.build_delay_reasons(
             out["silver_flights_events"], out["silver_flights"]))

@@ -96,6 +96,17 @@ def build_boarding_summary(boarding_events: DataFrame, audit: bool = True) -> Da
     return with_audit(out) if audit else out
 
 
+def _flight_points(waypoints: DataFrame, flights: DataFrame) -> DataFrame:
+    """The (flight, place, date) bridge: a row per flight and waypoint of its route."""
+    wp = waypoints.select(
+        F.col("route_id").alias("_route"), F.col("way_point_number").alias("waypoint_sampling_number"),
+        F.col("point_latitude").alias("_lat"), F.col("point_longitude").alias("_lon"),
+        F.col("point_height").alias("_h"))
+    fl = flights.select(F.col("flight_id").alias("silver_flight_id"), F.col("routes_id").alias("_route"),
+                        F.col("flight_date").alias("_sdate"))
+    return fl.join(wp, "_route")
+
+
 def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights: DataFrame,
                          audit: bool = True) -> DataFrame:
     """Tie raw weather samples to flights.
@@ -108,13 +119,7 @@ def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights:
     flight) is built first and the samples join it on all four keys
     (lat, lon, height, date) in one equi-join.
     """
-    wp = waypoints.select(
-        F.col("route_id").alias("_route"), F.col("way_point_number").alias("waypoint_sampling_number"),
-        F.col("point_latitude").alias("_lat"), F.col("point_longitude").alias("_lon"),
-        F.col("point_height").alias("_h"))
-    fl = flights.select(F.col("flight_id").alias("silver_flight_id"), F.col("routes_id").alias("_route"),
-                        F.col("flight_date").alias("_sdate"))
-    flight_points = fl.join(wp, "_route")
+    flight_points = _flight_points(waypoints, flights)
     w = weather_raw.select(
         "weather_sample_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
         F.col("height").alias("_h"), F.to_date("sample_for_date").alias("_sdate"),
@@ -141,10 +146,38 @@ def build_weather_summary(flight_weather: DataFrame, audit: bool = True) -> Data
     (−count, condition) struct); NULL conditions never win.
     """
     fw = flight_weather.withColumnRenamed("silver_flight_id", "flight_id")
-    partial = []
+    by_cond = fw.groupBy("flight_id", "weather_condition").agg(*_weather_sums())
+    return _rolled_weather(by_cond, audit)
+
+
+def build_weather_summary_from_samples(weather_raw: DataFrame, waypoints: DataFrame, flights: DataFrame,
+                                       audit: bool = True) -> DataFrame:
+    """The weather summary without the sample x flight product.
+
+    Samples are summed per (place, date, condition) first, so each flight and
+    waypoint joins a few rows however many samples or flights share the place
+    and date; the sums then roll up as in ``build_weather_summary``.
+    """
+    at = weather_raw.select(
+        F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("height").alias("_h"),
+        F.to_date("sample_for_date").alias("_sdate"), F.col("current_weather_condition").alias("weather_condition"),
+        *_WEATHER_MEASURES)
+    keys = ["_lat", "_lon", "_h", "_sdate"]
+    sums = at.groupBy(*keys, "weather_condition").agg(*_weather_sums())
+    joined = sums.join(_flight_points(waypoints, flights), keys).withColumnRenamed("silver_flight_id", "flight_id")
+    totals = ["n", *(f"{k}_{m}" for m in _WEATHER_MEASURES for k in ("s", "n"))]
+    by_cond = joined.groupBy("flight_id", "weather_condition").agg(*[F.sum(c).alias(c) for c in totals])
+    return _rolled_weather(by_cond, audit)
+
+
+def _weather_sums() -> list:
+    partial = [F.count(F.lit(1)).alias("n")]
     for m in _WEATHER_MEASURES:
         partial += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"n_{m}")]
-    by_cond = fw.groupBy("flight_id", "weather_condition").agg(F.count(F.lit(1)).alias("n"), *partial)
+    return partial
+
+
+def _rolled_weather(by_cond: DataFrame, audit: bool) -> DataFrame:
     cond = F.col("weather_condition")
     rolled = by_cond.groupBy("flight_id").agg(
         *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")).alias(out) for m, out in _WEATHER_MEASURES.items()],

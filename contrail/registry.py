@@ -95,6 +95,13 @@ def q_weather_summary(spark, d):
     return silver.build_weather_summary(Airline(spark, d).flight_weather, audit=False)
 
 
+@query("silver_weather_summary_from_samples")
+def q_weather_summary_from_samples(spark, d):
+    """T13 from T12's own inputs, without building their product."""
+    a = Airline(spark, d)
+    return silver.build_weather_summary_from_samples(a.weather_raw, a.waypoints, a.flights, audit=False)
+
+
 @query("silver_delay_reasons")
 def q_delay_reasons(spark, d):
     a = Airline(spark, d)

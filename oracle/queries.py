@@ -279,3 +279,5 @@ for _name in ("silver_flights", "silver_ticket_prices"):
     ORACLES[f"layer_{_name}"] = ORACLES[f"{_name}_load_time"]
 ORACLES["orphans"] = W("""SELECT e.flight_event_id, e.flight_id FROM flights_events e LEFT JOIN departed f ON e.flight_id = f.flight_id
 WHERE f.flight_id IS NULL""", "flights_events", "flights", ctes=[("departed", "SELECT DISTINCT flight_id FROM flights WHERE possible_passenger_amount >= 100")])
+ORACLES["silver_weather_summary_from_samples"] = W(WEATHER_SUMMARY, "weather_raw", "waypoints", "flights",
+                                                   ctes=[("flight_weather", FLIGHT_WEATHER_LINK)])
