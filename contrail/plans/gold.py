@@ -121,6 +121,14 @@ def _priced_bookings_by_flight(prices: DataFrame, bookings: DataFrame) -> DataFr
     return p.join(b, ["flight_id", "ticket_class"])
 
 
+def unpriced_bookings(ticket_prices: DataFrame, booked_tickets: DataFrame) -> DataFrame:
+    """The bookings that ``key="flight"`` cannot price: no price of their flight and class, or no flight or class."""
+    known = F.col("flight_id").isNotNull() & F.col("ticket_class").isNotNull()
+    priced = ticket_prices.select(F.col("silver_flight_id").alias("flight_id"), "ticket_class").where(known).distinct()
+    open_ = booked_tickets.where(known).join(priced, ["flight_id", "ticket_class"], "left_anti")
+    return open_.select(*booked_tickets.columns).unionByName(booked_tickets.where(~known))
+
+
 def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, cancelation_rate: DataFrame,
                           key: str = "literal", per_passenger: str | None = None, id_mode: str = "hash",
                           audit: bool = True) -> DataFrame:

@@ -284,10 +284,13 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
                 meta.append(_meta(r, None))
                 continue
             first, second = r.columns
-            a = df.select(F.col(key).alias("_k"), F.col(first).alias("_a"))
-            b = o.select(F.col(other_key).alias("_k"), F.col(second).alias("_b"))
+            # counted per key and value first: a hot key joins as its few distinct values
+            a = (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"), F.col(first).alias("_a"))
+                 .agg(F.count(F.lit(1)).alias("_m")))
+            b = (o.where(F.col(other_key).isNotNull()).groupBy(F.col(other_key).alias("_k"), F.col(second).alias("_b"))
+                 .agg(F.count(F.lit(1)).alias("_n")))
             bad = a.join(b, "_k").where(F.col("_a") > F.col("_b"))
-            parts.append(_from_count(bad.agg(F.count(F.lit(1)).alias("violations")), r))
+            parts.append(_from_count(bad.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("violations")), r))
         else:
             raise ValueError(f"unknown rule kind {r.kind!r}")
     for name, rs in row_rules.items():
@@ -349,14 +352,23 @@ def _nn_all(table):
 
 
 def bronze_rules(schemas: Mapping[str, T.StructType], legacy: bool = False) -> list[Rule]:
-    """Q12: bronze tables have their columns, their declared types and a
-    non-NULL first (id) column; ``legacy`` adds the three tables the old
-    bronze validator expected (airports, aircrafts, flights)."""
+    """Q12: bronze tables have their columns and declared types; ids (the first
+    column) and times are not NULL; coordinates and prices lie in their ranges.
+    ``legacy`` adds the three tables the old bronze validator expected
+    (airports, aircrafts, flights)."""
     R: list[Rule] = []
     for t, sch in schemas.items():
         R.append(required(t, [f.name for f in sch.fields]))
         R.append(types(t, {f.name: _type_name(f.dataType) for f in sch.fields}))
-        R += not_null(t, sch.fields[0].name)
+        R += not_null(t, *dict.fromkeys([sch.fields[0].name, *(f.name for f in sch.fields
+                                                               if isinstance(f.dataType, T.TimestampType))]))
+        for f in sch.fields:
+            if f.name.startswith("latitude"):
+                R.append(in_range(t, f.name, -90, 90))
+            elif f.name.startswith("longitude"):
+                R.append(in_range(t, f.name, -180, 180))
+            elif f.name in ("price", "ticket_price", "luggage_fee"):
+                R.append(at_least(t, f.name, 0))
     if legacy:
         R += [required(t, cols) for t, cols in schema.LEGACY_BRONZE.items()]
     return R
@@ -366,6 +378,7 @@ def silver_rules() -> list[Rule]:
     """The silver validator's rule set, canonical names, plus the checks it
     documents but never wrote (destination coordinates, waypoint keys, …)."""
     R: list[Rule] = [required(t, cols) for t, cols in schema.REQUIRED.items() if t.startswith("silver_")]
+    R += [types(t, cols) for t, cols in TYPES.items() if t.startswith("silver_")]
     t = "silver_routes"
     R += _nn_all(t) + [in_range(t, "latitude_origin", -90, 90), in_range(t, "longitude_origin", -180, 180),
                        in_range(t, "latitude_destination", -90, 90), in_range(t, "longitude_destination", -180, 180),
@@ -387,22 +400,26 @@ def silver_rules() -> list[Rule]:
     t = "silver_customers"
     R += not_null(t, "customer_passport_id", "customer_email") + [unique(t, "customer_passport_id")]
     t = "silver_flights_events"
-    R += not_null(t, "flight_event_id", "flight_id", "event_type", "event_time") + [
-        unique(t, "flight_event_id"), foreign_key(t, "flight_id", "silver_flights")]
+    R += _nn_all(t) + [
+        unique(t, "flight_event_id"), foreign_key(t, "flight_id", "silver_flights"),
+        one_of(t, "delay_reason", schema.DELAY_REASONS)]
     t = "silver_boarding_summary"
     R += _nn_all(t) + [unique(t, "flight_id"), foreign_key(t, "flight_id", "silver_flights"),
                        derived(t, "avg_baggage_weight", "total_baggage_weight", "baggage_count"),
                        derived(t, "avg_baggage_per_passenger", "total_baggage_weight", "passenger_count")]
     t = "silver_agg_frequent_delay_reasons"
     R += _nn_all(t) + [unique(t, "delay_id"),
-                       foreign_key(t, "silver_flight_event", "silver_flights_events", "flight_event_id")]
+                       foreign_key(t, "silver_flight_event", "silver_flights_events", "flight_event_id"),
+                       one_of(t, "delay_reason", schema.DELAY_REASONS)]
     t = "silver_flight_weather"
     R += not_null(t, "weather_sample_id", "silver_flight_id", "weather_condition") + [
         in_range(t, "temperature", -100, 60), in_range(t, "humidity", 0, 100), at_least(t, "wind_speed", 0),
-        in_range(t, "wind_direction", 0, 360)]
+        in_range(t, "wind_direction", 0, 360), unique(t, "weather_sample_id"),
+        one_of(t, "weather_condition", schema.WEATHER_CONDITIONS)]
     t = "silver_weather_summary"
     R += not_null(t, "flight_id", "majority_weather_condition") + [
-        in_range(t, "average_humidity", 0, 100), unique(t, "flight_id")]
+        in_range(t, "average_humidity", 0, 100), unique(t, "flight_id"),
+        one_of(t, "majority_weather_condition", schema.WEATHER_CONDITIONS)]
     t = "silver_agg_cancelation_rate"
     R += not_null(t, "total_booking", "total_cancelation", "cancelation_rate") + [
         ordered(t, "total_cancelation", "total_booking"), in_range(t, "cancelation_rate", 0, 1),
@@ -424,6 +441,7 @@ def gold_rules() -> list[Rule]:
     non-negative delay rules are kept as warnings.
     """
     R: list[Rule] = [required(t, cols) for t, cols in schema.REQUIRED.items() if t.startswith("gold_")]
+    R += [types(t, cols) for t, cols in TYPES.items() if t.startswith("gold_")]
     for t in schema.REQUIRED:
         if t.startswith("gold_"):
             R += _nn_all(t)
@@ -463,14 +481,22 @@ def completeness_rules() -> list[Rule]:
             foreign_key(m, "boarding_data_id", "gold_dim_ml_boarding_data")]
 
 
-SILVER_TYPES = {
-    "silver_routes": {"routes_id": "string", "latitude_origin": "double", "longitude_origin": "double",
-                      "latitude_destination": "double", "longitude_destination": "double", "distance_km": "double"},
-    "silver_flights": {"flight_id": "string", "routes_id": "string", "possible_passenger_amount": "int",
-                       "possible_luggage_weight": "int", "flight_date": "date"},
-    "silver_ticket_prices": {"price_id": "string", "ticket_price": "decimal(12,2)", "luggage_fee": "decimal(12,2)",
-                             "start_date": "date", "end_date": "date", "actual": "boolean"},
-}
+# Declared types (Q12, conformance): what the specs cast to, and what the builders make. Times keep their source type.
+TYPES = {**{t: {name: dtype for _, name, dtype in spec if dtype is not None} for t, spec in schema.SILVER.items()},
+         **schema.BUILT_TYPES}
+
+
+def date_logic_rules() -> list[Rule]:
+    """Q17: chronology within rows and between tables. A flight may leave early,
+    so an event before its flight's date is a warning."""
+    return [cross_order("silver_booked_tickets", "flight_id", "silver_flights", "flight_id",
+                        "booking_date", "flight_date"),
+            ordered("silver_ticket_prices", "start_date", "end_date"),
+            ordered("silver_flights", "scheduled_departure", "scheduled_arrival", strict=True),
+            cross_order("silver_booked_tickets", "booked_ticket_id", "silver_ticket_events", "booked_ticket_id",
+                        "booking_date", "event_time"),
+            cross_order("silver_flights", "flight_id", "silver_flights_events", "flight_id",
+                        "flight_date", "event_time", severity="warn")]
 
 
 def select_rules(rules: Sequence[Rule], *kinds: str) -> list[Rule]:

@@ -109,25 +109,27 @@ def _flight_points(waypoints: DataFrame, flights: DataFrame) -> DataFrame:
 
 def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights: DataFrame,
                          audit: bool = True) -> DataFrame:
-    """Tie raw weather samples to flights.
-
-    A sample belongs to every flight whose route has a waypoint at the
-    sample's exact (lat, lon, height) on the sample date, so the key is
-    (sample, flight). Join order matters: an airport's coordinates are shared
-    by every route touching it, so sample ⋈ waypoint first would fan out ~40×
-    before the selective date match. Instead flights ⋈ waypoints (3 rows per
-    flight) is built first and the samples join it on all four keys
-    (lat, lon, height, date) in one equi-join.
+    """Tie each raw weather sample to a flight: one row per sample, which is the table's key.
+
+    A sample belongs to the flights whose route has a waypoint at its exact
+    (lat, lon, height) on its date. Many flights can share such a place and
+    day, so the bridge of flights and waypoints is reduced to its smallest
+    (flight, waypoint number) per place and day before the samples join it,
+    and the output grows with the samples, not with samples x flights. Every
+    flight's own averages come from ``build_weather_summary_from_samples``,
+    which uses the whole bridge.
     """
-    flight_points = _flight_points(waypoints, flights)
+    keys = ["_lat", "_lon", "_h", "_sdate"]
+    first = _flight_points(waypoints, flights).groupBy(*keys).agg(
+        F.min(F.struct("silver_flight_id", "waypoint_sampling_number")).alias("_at"))
     w = weather_raw.select(
         "weather_sample_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
         F.col("height").alias("_h"), F.to_date("sample_for_date").alias("_sdate"),
         F.col("current_weather_condition").alias("weather_condition"),
         "temperature", "humidity", "wind_speed", "wind_direction")
-    j = w.join(flight_points, ["_lat", "_lon", "_h", "_sdate"])
-    out = j.select(
-        "weather_sample_id", "silver_flight_id", "waypoint_sampling_number", "weather_condition",
+    out = w.join(first, keys).select(
+        "weather_sample_id", F.col("_at.silver_flight_id").alias("silver_flight_id"),
+        F.col("_at.waypoint_sampling_number").alias("waypoint_sampling_number"), "weather_condition",
         "temperature", "humidity", "wind_speed", "wind_direction", F.col("_sdate").alias("sample_for_date"),
     )
     return with_audit(out) if audit else out

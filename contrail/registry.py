@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 
 from contrail import schema
 from contrail.plans import gold, quality, silver
-from contrail.sources.fixtures import Airline
+from contrail.session import materialize
+from contrail.sources.fixtures import Airline, bronze_tables
+from contrail.sources.synth import BRONZE_SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: Load time of the tables that queries check or compare.
+LOAD_TIME = "2024-02-03 04:05:06"
 
 
 def query(name: str):
@@ -204,6 +208,20 @@ def q_ml_weather(spark, d):
     return _ml_weather(Airline(spark, d))
 
 
+@query("ml_weather_from_samples")
+def q_ml_weather_from_samples(spark, d):
+    """T12's inputs to T13 to T25."""
+    a = Airline(spark, d)
+    ws = silver.build_weather_summary_from_samples(a.weather_raw, a.waypoints, a.flights, audit=False)
+    return gold.build_ml_weather(ws, a.flights, a.waypoints, audit=False)
+
+
+@query("unpriced_bookings")
+def q_unpriced(spark, d):
+    a = Airline(spark, d)
+    return gold.unpriced_bookings(a.ticket_prices, a.booked_tickets)
+
+
 @query("ml_boarding_data")
 def q_ml_boarding(spark, d):
     return gold.build_ml_boarding_data(Airline(spark, d).flights, audit=False)
@@ -267,14 +285,19 @@ def silver_tables(a: Airline) -> LazyTables:
     })
 
 
-def gold_tables(a: Airline) -> LazyTables:
-    """The ten gold tables built from the fixtures (reference key modes)."""
-    t: LazyTables
+def gold_tables(a: Airline, dims: Callable[[], Mapping] | None = None) -> LazyTables:
+    """The ten gold tables built from the fixtures (reference key modes);
+    facts and aggregates join the dimensions of ``dims()``, by default these."""
+    class Dims:
+        def __getitem__(self, name):
+            return (dims() if dims else built)[name].drop("ingestion_time")
+
+    t = Dims()
 
     def ws():
         return silver.build_weather_summary(a.flight_weather, audit=False)
 
-    t = LazyTables({
+    built = LazyTables({
         "gold_dim_monthly_delays": lambda: _delays(a),
         "gold_dim_monthly_flight_info": lambda: _flight_info(a),
         "gold_dim_monthly_revenue": lambda: _revenue(a, "literal"),
@@ -288,10 +311,10 @@ def gold_tables(a: Airline) -> LazyTables:
             a.flights, a.flights_events, t["gold_dim_ml_routes"], t["gold_dim_ml_weather"],
             t["gold_dim_ml_boarding_data"], audit=False),
     })
-    return t
+    return built
 
 
-def _dims_of(t: LazyTables):
+def _dims_of(t):
     return (t["gold_dim_monthly_delays"], t["gold_dim_monthly_flight_info"], t["gold_dim_monthly_revenue"],
             t["gold_dim_monthly_most_popular"])
 
@@ -323,15 +346,9 @@ def consistency_rules() -> list:
                                "recomputed_revenue", "total_revenue", tol=1e-6)]
 
 
-def date_logic_rules() -> list:
-    return [quality.cross_order("silver_booked_tickets", "flight_id", "silver_flights", "flight_id",
-                                "booking_date", "flight_date"),
-            quality.ordered("silver_ticket_prices", "start_date", "end_date"),
-            quality.ordered("silver_flights", "scheduled_departure", "scheduled_arrival", strict=True)]
-
-
 # name -> (layer, rule factory); layer decides which tables are built.
 DQ_SETS = {
+    "dq_bronze": ("bronze", lambda: quality.select_rules(quality.bronze_rules(BRONZE_SCHEMAS), *quality.ROW_KINDS)),
     "dq_not_null": ("silver", lambda: quality.select_rules(quality.silver_rules(), "not_null")),
     "dq_range": ("silver", lambda: quality.select_rules(quality.silver_rules(), "range")),
     "dq_bounds": ("silver", lambda: quality.select_rules(quality.silver_rules(), "min", "max")),
@@ -346,26 +363,41 @@ DQ_SETS = {
     "dq_dim_completeness": ("gold", quality.completeness_rules),
     "dq_dim_keys": ("gold", lambda: quality.select_rules(quality.gold_rules(), "unique")),
     "dq_aggregate_consistency": ("all", consistency_rules),
-    "dq_date_logic": ("silver", date_logic_rules),
+    "dq_date_logic": ("silver", quality.date_logic_rules),
     "dq_silver_report": ("silver", lambda: [r for r in quality.silver_rules() if r.kind not in ("required", "types")]),
     "dq_gold_report": ("gold", lambda: [r for r in quality.gold_rules() if r.kind not in ("required", "types")]),
 }
 
 
-def _dq_tables(a: Airline, layer: str) -> LazyTables:
+def stored(spark, t: LazyTables, prefixes: tuple[str, ...]) -> LazyTables:
+    """The tables whose name starts so, each written once with a fixed load time when first used."""
+    def load(name: str, build) -> DataFrame:
+        df = build().withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
+        return materialize(spark, df, name) if name.startswith(prefixes) else df
+
+    return LazyTables({n: lambda n=n, f=f: load(n, f) for n, f in t._f.items()})
+
+
+def _dq_tables(spark, a: Airline, layer: str) -> LazyTables:
+    """A layer's tables as a layer run leaves them. Those that take joins or aggregation to
+    build are written once; gold facts and aggregates read the written dimensions."""
+    built = ("silver_boarding_summary", "silver_agg", "silver_flight_weather", "silver_weather_summary")
+    if layer == "bronze":
+        return LazyTables({n: lambda df=df: df.withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
+                           for n, df in bronze_tables(a).items()})
     if layer == "silver":
-        return silver_tables(a)
+        return stored(spark, silver_tables(a), built)
+    g = stored(spark, gold_tables(a, lambda: g), ("gold_",))
     if layer == "gold":
-        return gold_tables(a)
-    s, g, r = silver_tables(a), gold_tables(a), recomputed_tables(a)
-    return LazyTables({**s._f, **g._f, **r._f})
+        return g
+    s, r = stored(spark, silver_tables(a), built), recomputed_tables(a)
+    return LazyTables({**s._f, **{n: lambda n=n: g[n] for n in g}, **r._f})
 
 
 def _register_dq(name: str, layer: str, factory) -> None:
-    # Checks of lazily built tables; layer runs check written ones.
     @query(name)
     def _q(spark, d):
-        return quality.run_checks(spark, _dq_tables(Airline(spark, d), layer), factory())
+        return quality.run_checks(spark, _dq_tables(spark, Airline(spark, d), layer), factory())
 
 
 for _name, (_layer, _factory) in DQ_SETS.items():
@@ -483,7 +515,6 @@ _CONFORMED = {
     "silver_booked_tickets": ("silver_booked_tickets", "booked_tickets", silver.build_silver_booked_tickets),
     "silver_ticket_events": ("silver_ticket_events", "ticket_events", silver.build_silver_ticket_events),
 }
-LOAD_TIME = "2024-02-03 04:05:06"
 
 
 def _loaded(spark, d, name: str) -> DataFrame:

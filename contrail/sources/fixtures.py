@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixture mapping (they must equal the oracle SQL):
-# TPC-H has exactly 25 nations, keys 0..24; route ids are origin*25+destination.
+# route ids are origin*25+destination, the step from one nation's ids to the next's.
 NATIONS = 25
 WAYPOINTS_PER_ROUTE = 3
 DELAY_REASONS = {0: "weather", 1: "technical", 2: "crew", 3: "security"}  # key = orderkey % 5; 4 -> NULL
@@ -67,17 +67,18 @@ def _minutes(n: Column) -> Column:
 
 
 def routes(t: Tables) -> DataFrame:
-    """All ordered (origin, destination) nation pairs: 25 × 24 = 600 routes.
+    """All ordered (origin, destination) pairs of the nations in the table (25 × 24 = 600 routes).
 
     Built as an explode of the destination key range plus an equi-join on the
-    25-row nation dimension (no cartesian product).
+    nation dimension (no cartesian product).
     """
     origin = t.nation.select(F.col("n_nationkey").alias("o"), F.col("n_name").alias("o_name"))
     dest = t.nation.select(F.col("n_nationkey").alias("d"), F.col("n_name").alias("d_name"))
-    pairs = (origin.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(NATIONS - 1))))
-             .where(F.col("o") != F.col("d")))
-    # nation is the fixed 25-row TPC-H dimension, so broadcasting it is bounded.
-    j = pairs.join(F.broadcast(dest), "d")
+    last = t.nation.select(F.max("n_nationkey").alias("last")).scalar()
+    pairs = (origin.withColumn("_last", last)
+             .withColumn("d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last").cast("bigint"))))
+             .where(F.col("o") != F.col("d")).drop("_last"))
+    j = pairs.join(dest, "d")
     o, d = F.col("o"), F.col("d")
     return j.select(
         (o * NATIONS + d).cast("string").alias("routes_id"),
@@ -145,14 +146,15 @@ def legacy_flights(t: Tables) -> DataFrame:
 
 
 def flights_events(t: Tables) -> DataFrame:
-    """Two events (departure, delay report) per order whose status is not P."""
-    o = t.orders.where(F.col("o_orderstatus") != "P").select("o_orderkey", "o_orderdate")
+    """Two events per order: departure (a gate change where the status is P) and delay report."""
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     o = o.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
     k = F.col("o_orderkey")
     return o.select(
         (k * 2 + F.col("k")).cast("string").alias("flight_event_id"),
         k.cast("string").alias("flight_id"),
-        F.when(F.col("k") == 0, "actual_departure").otherwise("delay_reported").alias("event_type"),
+        F.when(F.col("k") == 1, "delay_reported").when(F.col("o_orderstatus") == "P", "gate_changed")
+         .otherwise("actual_departure").alias("event_type"),
         _case(k % 5, DELAY_REASONS).alias("delay_reason"),
         (F.col("o_orderdate") + _hours(k % 24) + _minutes((k * 37) % 181 - 20)).alias("event_time"),
     )

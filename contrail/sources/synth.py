@@ -122,5 +122,5 @@ def seed_layer(spark: SparkSession, layout: Layout, tables: Mapping[str, T.Struc
         except Exception as e:  # noqa: BLE001 - isolation is the feature
             if on_error == "raise":
                 raise
-            results.append({"table": name, "status": "failed", "error": str(e)[:500]})
+            results.append({"table": name, "status": "failed", "error": str(e)})
     return results

@@ -16,7 +16,9 @@ def _lit(v) -> str:
 
 
 def _count(rule) -> str:
-    k, p, c, t = rule.kind, rule.params, rule.columns, rule.table
+    k, p, c, t = rule.kind, rule.params, rule.columns, CTE_OF.get(rule.table, rule.table)
+    if p == ("missing",):
+        return "SELECT NULL"
     if k == "not_null":
         cond = f"{c[0]} IS NULL"
     elif k == "range":
@@ -62,13 +64,30 @@ def rules_sql(rules) -> str:
     return f"SELECT table_name, rule, column_name, violations, violations = 0 AS passed, severity FROM (\n{body}\n)"
 
 
+BRONZE_CTES = [
+    ("bronze_routes_raw", "SELECT *, routes_id AS route_id FROM routes"),
+    ("bronze_flights", "SELECT flight_id, scheduled_arrival AS schedualed_arrival, scheduled_departure AS schedualed_departure FROM flights"),
+    ("bronze_ticket_prices", "SELECT price_id, ticket_price AS price, luggage_fee FROM ticket_prices"),
+    ("bronze_booked_tickets_raw", "SELECT * FROM booked_tickets"),
+    ("bronze_flight_weather_raw_api", "SELECT * FROM weather_raw"),
+    ("bronze_registered_customers", "SELECT * FROM customers"),
+    ("bronze_route_weather_points", "SELECT route_id, point_latitude AS latitude, point_longitude AS longitude FROM waypoints"),
+    ("bronze_boarding_events_raw", "SELECT * FROM boarding_events"),
+    ("bronze_flight_events_raw", "SELECT flight_event_id AS event_id, event_time FROM flights_events"),
+    ("bronze_ticket_events_raw", "SELECT * FROM ticket_events"),
+]
+BRONZE_VIEWS = ("routes", "flights", "waypoints", "ticket_prices", "customers", "flights_events", "boarding_events",
+                "weather_raw", "ticket_events", "booked_tickets")
+#: Bronze tables whose name is also a view's go by another name in SQL.
+CTE_OF = {name.removeprefix("bronze_"): name for name, _ in BRONZE_CTES}
+
 SILVER_CTES = [
     ("silver_routes", "SELECT * FROM routes"), ("silver_flights", "SELECT * FROM flights"),
     ("silver_waypoint_sampling_weather_points", "SELECT * FROM waypoints"),
     ("silver_ticket_prices", "SELECT * FROM ticket_prices"), ("silver_customers", "SELECT * FROM customers"),
     ("silver_flights_events", "SELECT * FROM flights_events"),
     ("silver_boarding_summary", Q.BOARDING_SUMMARY), ("silver_agg_frequent_delay_reasons", Q.DELAY_REASONS),
-    ("silver_flight_weather", Q.FLIGHT_WEATHER_LINK), ("silver_weather_summary", Q.WEATHER_SUMMARY),
+    ("silver_flight_weather", Q.FLIGHT_WEATHER), ("silver_weather_summary", Q.WEATHER_SUMMARY),
     ("silver_agg_cancelation_rate", Q.CANCELATION_RATE), ("silver_ticket_events", "SELECT * FROM ticket_events"),
     ("silver_booked_tickets", "SELECT * FROM booked_tickets"),
 ]
@@ -98,11 +117,19 @@ RECOMPUTE_CTES = [
 ]
 
 
+def _loaded(ctes) -> list:
+    """The layers' tables with their load time, as the queries check them."""
+    return [(n, f"SELECT *, TIMESTAMP '{Q.LOAD_TIME}' AS ingestion_time FROM ({body})"
+             if n.startswith(("silver_", "gold_", "bronze_")) else body) for n, body in ctes]
+
+
 def dq_sql(rules, layer: str) -> str:
+    if layer == "bronze":
+        return with_views(rules_sql(rules), *BRONZE_VIEWS, ctes=_loaded(BRONZE_CTES))
     if layer == "silver":
-        return with_views(rules_sql(rules), *SILVER_VIEWS, ctes=SILVER_CTES)
+        return with_views(rules_sql(rules), *SILVER_VIEWS, ctes=_loaded(SILVER_CTES))
     if layer == "gold":
-        return with_views(rules_sql(rules), *GOLD_VIEWS, ctes=GOLD_CTES)
+        return with_views(rules_sql(rules), *GOLD_VIEWS, ctes=_loaded(GOLD_CTES))
     # both layers plus recomputed detail totals
     ctes = SILVER_CTES + [c for c in GOLD_CTES if c[0] not in dict(SILVER_CTES)] + RECOMPUTE_CTES
-    return with_views(rules_sql(rules), *sorted(set(SILVER_VIEWS) | set(GOLD_VIEWS)), ctes=ctes)
+    return with_views(rules_sql(rules), *sorted(set(SILVER_VIEWS) | set(GOLD_VIEWS)), ctes=_loaded(ctes))

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from oracle.views import with_views as W
 
+#: Fixed load time of the ``*_load_time`` and ``dq_*`` queries.
+LOAD_TIME = "2024-02-03 04:05:06"
+
 
 def _ym(c: str) -> str:
     return f"CAST(year({c}) AS INT) AS year, CAST(month({c}) AS INT) AS month"
@@ -177,6 +180,15 @@ SELECT r.weather_sample_id, f.flight_id AS silver_flight_id, w.way_point_number
  CAST(r.sample_for_date AS DATE) AS sample_for_date
 FROM weather_raw r JOIN waypoints w ON r.latitude = w.point_latitude AND r.longitude = w.point_longitude AND r.height = w.point_height
 JOIN flights f ON f.routes_id = w.route_id AND f.flight_date = CAST(r.sample_for_date AS DATE)"""
+FLIGHT_WEATHER = """
+SELECT weather_sample_id, silver_flight_id, waypoint_sampling_number, weather_condition, temperature, humidity, wind_speed, wind_direction, sample_for_date
+FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, height, sample_for_date, sample_row ORDER BY silver_flight_id, waypoint_sampling_number) AS rn
+  FROM (SELECT r.weather_sample_id, f.flight_id AS silver_flight_id, w.way_point_number AS waypoint_sampling_number,
+    r.current_weather_condition AS weather_condition, r.temperature, r.humidity, r.wind_speed, r.wind_direction,
+    CAST(r.sample_for_date AS DATE) AS sample_for_date, r.latitude, r.longitude, r.height, r.sample_row
+   FROM (SELECT *, row_number() OVER () AS sample_row FROM weather_raw) r
+   JOIN waypoints w ON r.latitude = w.point_latitude AND r.longitude = w.point_longitude AND r.height = w.point_height
+   JOIN flights f ON f.routes_id = w.route_id AND f.flight_date = CAST(r.sample_for_date AS DATE))) WHERE rn = 1"""
 ML_CTES = [("weather_summary", WEATHER_SUMMARY), ("ml_weather", ML_WEATHER), ("ml_routes", ML_ROUTES),
            ("ml_boarding", ML_BOARDING)]
 
@@ -189,7 +201,7 @@ def _silver_gold() -> dict[str, str]:
                        ("silver_ticket_events", "ticket_events")]:
         q[name] = W(f"SELECT * FROM {view}", view)
     q["silver_boarding_summary"] = W(BOARDING_SUMMARY, "boarding_events")
-    q["silver_flight_weather"] = W(FLIGHT_WEATHER_LINK, "weather_raw", "waypoints", "flights")
+    q["silver_flight_weather"] = W(FLIGHT_WEATHER, "weather_raw", "waypoints", "flights")
     q["silver_weather_summary"] = W(WEATHER_SUMMARY, "flight_weather")
     q["silver_delay_reasons"] = W(DELAY_REASONS, "flights_events", "flights")
     q["silver_cancelation_rate"] = W(CANCELATION_RATE, "booked_tickets", "ticket_events")
@@ -230,9 +242,9 @@ ORACLES.update(_silver_gold())
 
 
 def _dq() -> dict[str, str]:
-    from contrail.registry import DQ_SETS  # the rule *specs* are shared data; the SQL is compiled independently
     from oracle.quality import dq_sql
-    return {name: dq_sql(factory(), layer) for name, (layer, factory) in DQ_SETS.items()}
+    from oracle.rules import rule_sets
+    return {name: dq_sql(rules, layer) for name, (layer, rules) in rule_sets().items()}
 
 
 ORACLES.update(_dq())
@@ -270,8 +282,6 @@ SELECT event_id, flight_id, event_type, passenger_id, baggage_weight, event_time
  ORDER BY event_time DESC NULLS LAST, flight_id NULLS LAST, event_type NULLS LAST, passenger_id NULLS LAST, baggage_weight NULLS LAST) AS rn
  FROM boarding_events) WHERE rn = 1""", "boarding_events")
 
-#: Fixed load time of the ``*_load_time`` queries.
-LOAD_TIME = "2024-02-03 04:05:06"
 for _name in ("silver_routes", "silver_flights", "silver_waypoints", "silver_ticket_prices", "silver_customers",
               "silver_flights_events", "silver_booked_tickets", "silver_ticket_events"):
     ORACLES[f"{_name}_load_time"] = f"SELECT *, TIMESTAMP '{LOAD_TIME}' AS ingestion_time FROM ({ORACLES[_name]})"
@@ -281,3 +291,7 @@ ORACLES["orphans"] = W("""SELECT e.flight_event_id, e.flight_id FROM flights_eve
 WHERE f.flight_id IS NULL""", "flights_events", "flights", ctes=[("departed", "SELECT DISTINCT flight_id FROM flights WHERE possible_passenger_amount >= 100")])
 ORACLES["silver_weather_summary_from_samples"] = W(WEATHER_SUMMARY, "weather_raw", "waypoints", "flights",
                                                    ctes=[("flight_weather", FLIGHT_WEATHER_LINK)])
+ORACLES["ml_weather_from_samples"] = W(ML_WEATHER, "weather_raw", "waypoints", "flights", ctes=[
+    ("flight_weather", FLIGHT_WEATHER_LINK), ("weather_summary", WEATHER_SUMMARY)])
+ORACLES["unpriced_bookings"] = W("""SELECT * FROM booked_tickets b WHERE NOT EXISTS
+ (SELECT 1 FROM ticket_prices p WHERE p.silver_flight_id = b.flight_id AND p.ticket_class = b.ticket_class)""", "booked_tickets", "ticket_prices")

@@ -28,10 +28,10 @@ SELECT CAST(o_orderkey-o_orderkey%4 AS VARCHAR) AS flight_id, no.n_name AS origi
  FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation no ON no.n_nationkey=c_nationkey JOIN nation nd ON nd.n_nationkey=(c_nationkey+o_orderkey%3)%25"""),
     "flights_events": ([], """
 SELECT CAST(o_orderkey*2+k AS VARCHAR) AS flight_event_id, CAST(o_orderkey AS VARCHAR) AS flight_id,
- CASE WHEN k=0 THEN 'actual_departure' ELSE 'delay_reported' END AS event_type,
+ CASE WHEN k=1 THEN 'delay_reported' WHEN o_orderstatus='P' THEN 'gate_changed' ELSE 'actual_departure' END AS event_type,
  CASE o_orderkey%5 WHEN 0 THEN 'weather' WHEN 1 THEN 'technical' WHEN 2 THEN 'crew' WHEN 3 THEN 'security' ELSE NULL END AS delay_reason,
  o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey%24 AS INT) + INTERVAL '1' MINUTE * CAST((o_orderkey*37)%181-20 AS INT) AS event_time
- FROM orders CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) x WHERE o_orderstatus<>'P'"""),
+ FROM orders CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) x"""),
     "boarding_events": ([], """
 SELECT CAST(l_orderkey*10+l_linenumber AS VARCHAR) AS event_id, CAST(l_orderkey AS VARCHAR) AS flight_id,
  CASE l_returnflag WHEN 'A' THEN 'passenger_scanned' WHEN 'R' THEN 'bag_loaded' ELSE 'gate_closed' END AS event_type,
