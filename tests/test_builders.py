@@ -137,3 +137,28 @@ def test_uuid_id_mode_gives_distinct_random_ids(spark):
     assert len(out.boarding_data_id) == 36
     hashed = gold.build_ml_boarding_data(fl, audit=False).first()
     assert len(hashed.boarding_data_id) == 64
+
+
+def test_flight_weather_has_a_row_per_sample_however_many_flights_share_it(spark):
+    import datetime as dt
+    from contrail.plans import silver
+    day = dt.date(2024, 1, 1)
+    samples = spark.createDataFrame([(f"s{i}", 1.0, 2.0, 3.0, day, "rain", 5.0, 6.0, 7.0, 8.0) for i in range(4)],
+                                    "weather_sample_id string, latitude double, longitude double, height double, sample_for_date date,"
+                                    " current_weather_condition string, temperature double, humidity double, wind_speed double, wind_direction double")
+    points = spark.createDataFrame([("r", 0, 1.0, 2.0, 3.0)],
+                                   "route_id string, way_point_number int, point_latitude double, point_longitude double, point_height double")
+    flights = spark.createDataFrame([(f"f{i}", "r", day) for i in range(50)], "flight_id string, routes_id string, flight_date date")
+    out = silver.build_flight_weather(samples, points, flights, audit=False).collect()
+    assert sorted((r.weather_sample_id, r.silver_flight_id) for r in out) == [(f"s{i}", "f0") for i in range(4)]
+    each = silver.build_weather_summary_from_samples(samples, points, flights, audit=False)
+    assert each.count() == 50
+
+
+def test_unpriced_bookings_are_reported(spark):
+    from contrail.plans import gold
+    prices = spark.createDataFrame([("f1", "first", False)], "silver_flight_id string, ticket_class string, actual boolean")
+    books = spark.createDataFrame([("b1", "f1", "first"), ("b2", "f1", "economy"), ("b3", None, "first"), ("b4", "f1", None)],
+                                  "booked_ticket_id string, flight_id string, ticket_class string")
+    got = {r.booked_ticket_id for r in gold.unpriced_bookings(prices, books).collect()}
+    assert got == {"b2", "b3", "b4"}

@@ -104,3 +104,31 @@ def test_observed_row_rules_count_during_the_action(spark, tmp_dir):
     observed.write.parquet(os.path.join(tmp_dir, "t"))  # the write computes the metrics
     got = {r.rule: r.violations for r in Q.observed_results(spark, obs, rs).collect()}
     assert got == {"not_null": 1, "min": 2}
+
+
+def test_engine_and_sql_state_the_same_rules():
+    """The SQL side's rules are written apart from the engine's: neither side has one that the other lacks."""
+    from contrail.registry import DQ_SETS
+    from oracle.rules import rule_sets
+    stated = rule_sets()
+    assert set(stated) == set(DQ_SETS)
+    for name, (layer, factory) in DQ_SETS.items():
+        assert stated[name][0] == layer
+        engine = sorted((r.table, r.kind, r.label, r.severity) for r in factory())
+        assert engine == sorted((r.table, r.kind, ",".join(r.columns), r.severity) for r in stated[name][1])
+
+
+def test_load_time_is_required_of_validated_tables():
+    from contrail import schema
+    for rules in (Q.silver_rules(), Q.gold_rules()):
+        named = {r.table for r in rules if r.kind == "required" and "ingestion_time" in r.columns}
+        assert named == {r.table for r in rules if r.kind == "required"} - schema.NOT_VALIDATED
+
+
+def test_cross_order_counts_pairs_and_skips_null_keys(spark):
+    import datetime as dt
+    a = spark.createDataFrame([("k", dt.date(2024, 1, 3))] * 2 + [(None, dt.date(2024, 1, 9))], "k string, d date")
+    b = spark.createDataFrame([("k", dt.date(2024, 1, 1)), ("k", dt.date(2024, 1, 2)), ("k", dt.date(2024, 1, 5)),
+                               (None, dt.date(2024, 1, 1))], "k string, e date")
+    assert _viol(spark, {"a": a, "b": b}, Q.cross_order("a", "k", "b", "k", "d", "e")) == 4
+    assert _viol(spark, {"a": a.limit(0), "b": b}, Q.cross_order("a", "k", "b", "k", "d", "e")) == 0
