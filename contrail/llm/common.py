@@ -9,13 +9,27 @@ from pyspark.sql import functions as F
 #: so a recomputed task gives the same ids. Operators select the columns they need first,
 #: so an input column of any name cannot clash with it.
 ROW = "__llm_row"
+SPLITS = "spark.sql.files.minPartitionNum"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Split files alike for the rest of the session.
+
+    Unless a number is set, a scan is split by the cores alive when it is planned. An executor lost or
+    won between two scans of a table would then give its rows other ids in the second one.
+    """
+    if not spark.conf.get(SPLITS, None):
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set(SPLITS, str(cores))
+
+
 def with_row(df: DataFrame) -> DataFrame:
+    """``df``, a scan of files or of a written table, with the identity of each row."""
+    pin_splits(df.sparkSession)
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
