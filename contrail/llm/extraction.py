@@ -35,12 +35,18 @@ SCOPES = frozenset("table ul ol dl article section div main body nav aside foote
 BOILERPLATE = frozenset("nav aside footer form script style head noscript template iframe button select menu dialog object svg canvas".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 PREFERRED = {"article": 3.0, "main": 2.0}
+HEADLINES = frozenset("h1 h2 h3 h4 h5 h6 th".split())
 #: Words in class and id names that mark what is not the article.
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|side|menu\w*|nav|navbar|navigation|breadcrumbs?|"
-    r"header|masthead|footer|foot|comments?|commentlist|respond|replies|disqus|cookies?|consent|gdpr|notice|notices|alert|popup|modal|"
-    r"overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|widget\w*|pagination|pager|toolbar|skip|tags)"
-    r"(?:$|[\s_-]|\d)", re.I)
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|adsbygoogle|banner|sponsor\w*|promo\w*|sidebar\w*|side|menu\w*|\w*nav|navbar|navigation|"
+    r"breadcrumbs?|masthead|footer|foot|comments?|commentlist|respond|replies|disqus|discussion|cookies?|consent|gdpr|notice|notices|alert|"
+    r"popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|widget\w*|pagination|pager|toolbar|"
+    r"skip|tags)(?:$|[\s_-]|\d)", re.I)
+#: Words that mark a header: of one inside the article the headline belongs to it.
+HEAD = re.compile(r"(?:^|[\s_-])(?:header|heading|headline)(?:$|[\s_-]|\d)", re.I)
+#: Names that tell what a layout has beside it (``with-sidebar``), not what the element is.
+BESIDE = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-][\w-]+", re.I)
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
@@ -64,16 +70,20 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def label(tag: str, attributes: str) -> tuple[str, bool]:
-    """``tag.class`` with digits generalised, and whether the names or role mark boilerplate."""
-    classes, noise = "", False
+def label(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """``tag.class`` with digits generalised, and whether the names or role mark boilerplate, or a header."""
+    classes, noise, head = "", False, False
     if attributes:
         for kind, a, b, c in CLASS.findall(attributes):
             value = a or b or c
             if kind.lower() == "class":
                 classes = ".".join(sorted(set(re.sub(r"\d+", "#", value.lower()).split())))
-            noise = noise or (value.lower() in ROLES if kind.lower() == "role" else bool(NOISE.search(value)))
-    return (f"{tag}.{classes}" if classes else tag), noise
+            if kind.lower() == "role":
+                noise = noise or value.lower() in ROLES
+                continue
+            names = BESIDE.sub("", HUMP.sub("-", value))
+            noise, head = noise or bool(NOISE.search(names)), head or bool(HEAD.search(names))
+    return (f"{tag}.{classes}" if classes else tag), noise, head
 
 
 def blocks(page: str) -> list[Block]:
@@ -140,10 +150,11 @@ def blocks(page: str) -> list[Block]:
                 elif stack[i].tag in SCOPES and stack[i].tag not in SIBLINGS.get(tag, ()):
                     break
         above = stack[-1]
-        name, noise = label(tag, m.group(3) or "")
-        inline = tag in INLINE
-        noise = above.noise or tag in BOILERPLATE or (noise and tag not in ("body", "html", "article", "main"))
-        stack.append(Node(tag, above.path if inline else f"{above.path}/{name}", noise, above.link or tag == "a", above.head or tag == "header"))
+        name, noise, head = label(tag, m.group(3) or "")
+        inline, whole = tag in INLINE, tag in ("body", "html", "article", "main")
+        noise = above.noise or tag in BOILERPLATE or (noise and not whole)
+        head = above.head or tag == "header" or (head and not whole and tag not in HEADLINES)
+        stack.append(Node(tag, above.path if inline else f"{above.path}/{name}", noise, above.link or tag == "a", head))
         if not inline:
             cut()
     cut()
@@ -176,7 +187,17 @@ def best_path(found: list[Block]) -> tuple[str, float]:
     if not total:
         return "", 0.0
     path = min(total, key=lambda p: (-total[p], len(p), p))
-    return path, total[path]
+    return with_headline(found, path), total[path]
+
+
+def with_headline(found: list[Block], path: str) -> str:
+    """The path, or where no headline lies in it that of the nearest container above it, inside the body, that has one."""
+    titles = [b for b in found if not b.nodes[-1].noise and any(n.tag == "h1" for n in b.nodes)]
+    held = {n.path for b in titles for n in b.nodes if n.tag in CONTAINERS and n.tag != "body"}
+    if path in held:
+        return path
+    above = {n.path for b in found if any(n.path == path for n in b.nodes) for n in b.nodes if n.tag in CONTAINERS}
+    return max((p for p in above & held if path.startswith(f"{p}/")), key=len, default=path)
 
 
 def main_text(found: list[Block], path: str) -> str | None:

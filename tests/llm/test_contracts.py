@@ -215,6 +215,24 @@ def test_extraction(spark):
     assert (got[3].text, got[4].text, got[5].text, got[6].text, got[7].text) == ("", "", "plain & simple text", "short\n\ncut &am", "")
 
 
+def test_extraction_of_layouts():
+    def text(page):
+        found = extraction.blocks(page)
+        return extraction.main_text(found, extraction.best_path(found)[0])
+
+    body = "<p>A first paragraph of some length, as articles have.</p><p>And a second one, longer than the first, to fill the body.</p>"
+    want = "Head\n\nA first paragraph of some length, as articles have.\n\nAnd a second one, longer than the first, to fill the body."
+    side = "<div class='sidebar'><p>Most read this week, a long list of things, none of them here.</p></div>"
+    # the layout's name tells what lies beside it
+    assert text(f"<body><div class='content with-sidebar'><h1>Head</h1>{body}</div>{side}</body>") == want
+    # a headline beside the text, in a part named header or not; the byline of a header goes
+    assert text(f"<body><div class=post><div class='entry-header'><h1>Head</h1><span>by X</span></div><div class=body>{body}</div></div>{side}</body>") == want
+    assert text(f"<body><div class=post><h1>Head</h1><div class=body>{body}</div></div>{side}</body>") == want
+    # a site's header and a comment thread stay out
+    assert text(f"<body><div id=siteHeader><h1>The Site</h1></div><div class=post><h1>Head</h1>{body}<div id=userComments>{body}</div></div></body>") == want
+    assert text(f"<body><div class=cookieConsent>{body}</div><article><header><h1>Head</h1><p>by X</p></header>{body}</article></body>") == want
+
+
 def test_extraction_of_the_pages(spark):
     pages = spark.read.parquet(f"{SF001}/pages.parquet")
     for r in extraction.extract(spark, pages).collect():
