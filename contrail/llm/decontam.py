@@ -156,6 +156,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **
     Columns and clean rows stay as they are.
     """
     spans = scan(spark, docs, benchmark, **options).where(F.size("spans") > 0).select(F.col(ROW).alias("__hit"), "n_words", "spans")
+    spans = materialize(spark, spans, "benchmark-hits")  # written: its size decides the join, and few hits move no text
     rows = with_row(docs)
     text = rows["text"].cast("binary")
     cut = F.expr("""aggregate(spans, named_struct('at', 1L, 'kept', cast('' as binary)),
