@@ -24,7 +24,12 @@ from contrail.session import materialize
 ORDER = 5
 #: Rows of the broadcast table of log probabilities (12 bytes each).
 HOT = 300_000
-QUANTILE = 0.995
+#: One in ``FIT`` trusted documents, by hash of the id, is not trained on: limits are quantiles of their perplexities
+#: (trained text scores lower than unseen text of the same kind).
+FIT = 5
+#: Levels that the labels choose from, loosest first; no lower limit at level 0.
+UPPER = (0.995, 0.99, 0.975, 0.95, 0.925, 0.9)
+LOWER = (0.0, 0.005, 0.02)
 #: Languages with fewer trusted documents are held to the threshold over all languages.
 MIN_TRUSTED = 50
 BYTES = 256
@@ -183,33 +188,86 @@ def perplexities(spark: SparkSession, docs: DataFrame, model: dict[int, tuple[Da
         ROW, "n_bytes", (F.col("logp") + F.coalesce("more", F.lit(0.0))).alias("logp"))
 
 
-def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, hot: int = HOT) -> DataFrame:
+def part(doc_id="doc_id"):
+    """0 to ``FIT`` - 1 by hash of the id: 0 is the fit split."""
+    return F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(FIT))
+
+
+def levels_reached(ppl, limits) -> list:
+    """Documents over each upper limit and under each lower one of ``limits`` (in order of UPPER, LOWER).
+
+    Under a lower one count low-quality documents only: it is there for text that repeats itself.
+    """
+    last = len(UPPER)
+    return [F.count_if(ppl > F.get(limits, F.lit(i))) for i in range(last)] + [
+        F.count_if(F.col("low") & (ppl < F.get(limits, F.lit(last + i)))) if level else F.lit(0) for i, level in enumerate(LOWER)]
+
+
+def chosen(limits, shares: list, at: int, levels: tuple[float, ...], cost) -> object:
+    """The limit at the level whose share of bad documents exceeds its share of trusted ones most, of equal ones the loosest."""
+    gains = F.array(*[F.coalesce(shares[at + i], F.lit(0.0)) - F.lit(cost(level)) for i, level in enumerate(levels)])
+    return F.get(limits, F.lit(at) + F.array_position(gains, F.array_max(gains)).cast("int") - 1)
+
+
+def language_limits(spark: SparkSession, fit: DataFrame) -> tuple[DataFrame, float | None, float | None]:
+    """Upper and lower limit by language, ``of, upper, lower``, and over all languages, from ``fit(of, ppl, good, low)``.
+
+    Quantiles of the trusted documents (good), at the levels that gain most on the bad ones.
+    """
+    last, bad = len(UPPER), fit.where("NOT good")
+    at = F.percentile_approx("ppl", [*UPPER, *LOWER], 10000)
+    overall = fit.where("good").agg(at.alias("limits")).first().limits  # one row
+    if overall is None:
+        return spark.createDataFrame([], "of string, upper double, lower double"), None, None
+    every = F.array(*[F.lit(float(x)) for x in overall])
+    counts = bad.agg(F.count("*").alias("n"), F.array(*levels_reached(F.col("ppl"), every)).alias("hit")).first()
+    shares = [F.lit(x / counts.n if counts.n else 0.0) for x in counts.hit]
+
+    def pick(limits, shares):
+        lower = chosen(limits, shares, last, LOWER, lambda q: q)
+        return (chosen(limits, shares, 0, UPPER, lambda q: 1 - q).alias("upper"),
+                F.when(lower > F.get(limits, F.lit(last)), lower).alias("lower"))
+
+    one = spark.range(1).select(*pick(every, shares)).first()
+    own = fit.where("good AND of IS NOT NULL").groupBy("of").agg(F.count("*").alias("docs"), at.alias("limits"))
+    own = materialize(spark, own.where(F.col("docs") >= MIN_TRUSTED), "kn-limits")
+    hit = bad.join(own, "of").groupBy("of").agg(F.count("*").alias("n"), F.array(*levels_reached(F.col("ppl"), F.col("limits"))).alias("hit"))
+    by = [F.get("hit", F.lit(i)) / F.col("n") for i in range(last + len(LOWER))]
+    limits = own.join(hit, "of", "left").select("of", *pick(F.col("limits"), by))
+    return materialize(spark, limits, "kn-limits"), one.upper, one.lower
+
+
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, hot: int = HOT) -> DataFrame:
     """Quality of every row of ``docs(doc_id, text, lang)``, whole texts, learned from ``labels(doc_id, quality, toxic)``.
 
-    Trusted are documents labelled quality 1 and not toxic. Columns ``__llm_row, doc_id, lang, n_bytes,
-    perplexity`` (per byte), ``threshold`` (the quantile of trusted perplexities in the row's language;
-    over all languages for a null or rare one) ``, keep``. Null or empty text has null perplexity and is
-    not kept; without trusted text nothing can be judged: null threshold, every text is kept. Several
-    labels of an id count as trusted if any is.
+    Trusted are documents labelled quality 1 and not toxic, bad those with another quality or toxic. The model is
+    trained on the trusted documents but one in ``FIT``; those and the bad ones choose the limits. Columns ``__llm_row,
+    doc_id, lang, n_bytes, perplexity`` (per byte), ``threshold, floor`` (limits in the row's language, the floor null
+    if the labels ask for none; over all languages for a null or rare one) ``, keep``. Null or empty text has null
+    perplexity and is not kept; without trusted text in the fit split nothing can be judged: null threshold, every
+    text is kept. Several labels of an id count as trusted if any is.
     """
     rows = with_row(docs.select("doc_id", "text", "lang")).select(ROW, "doc_id", F.col("lang").cast("string").alias("lang"),
                                                                 F.col("text").cast("binary").alias("text"))
-    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id").distinct()
-    good = materialize(spark, good, "kn-trusted").hint("merge")  # the same join at every size: trusted ids grow with the corpus
-    ids = materialize(spark, rows.select(ROW, "doc_id", "lang").join(good, "doc_id", "left_semi").select(ROW, F.col("lang").alias("of")), "kn-rows")
-    model = train(spark, rows.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"))
+    trusted = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))
+    judged = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(
+        F.max(trusted).alias("good"), F.max(F.coalesce((F.col("quality") != 1) | (F.col("toxic") != 0), F.lit(False))).alias("bad"),
+        F.max(F.coalesce(F.col("quality") != 1, F.lit(False))).alias("low"))
+    judged = judged.where("good OR bad").select("doc_id", "good", "low", (~F.col("good") | (part() == 0)).alias("fit"))
+    judged = materialize(spark, judged, "kn-trusted").hint("merge")  # the same join at every size: labels grow with the corpus
+    ids = materialize(spark, rows.select(ROW, "doc_id", "lang").join(judged.where("fit"), "doc_id").select(ROW, F.col("lang").alias("of"), "good", "low"), "kn-rows")
+    model = train(spark, rows.select("doc_id", "text").join(judged.where("NOT fit"), "doc_id", "left_semi").select("text"))
     logs = materialize(spark, perplexities(spark, rows, model, hot), "kn-logp")
     own = F.when(F.col("n_bytes") > 0, F.exp(-F.col("logp") / F.col("n_bytes")))
-    trusted = logs.join(ids, ROW).where("n_bytes > 0").select("of", own.alias("ppl"))
-    at = F.percentile_approx("ppl", quantile, 10000)
-    limits = trusted.groupBy("of").agg(F.count("*").alias("docs"), at.alias("limit")).where(F.col("of").isNotNull() & (F.col("docs") >= MIN_TRUSTED))
-    limits = materialize(spark, limits, "kn-limits")
-    overall = trusted.agg(at.alias("overall")).first().overall  # one number
+    fit = materialize(spark, logs.join(ids, ROW).where("n_bytes > 0").select("of", own.alias("ppl"), "good", "low"), "kn-fit")
+    limits, upper, lower = language_limits(spark, fit)
     out = rows.drop("text").join(logs, ROW).withColumn("perplexity", own)
     out = out.join(limits, F.col("lang") == F.col("of"), "left")
-    out = out.withColumn("threshold", F.coalesce(F.col("limit"), F.lit(overall).cast("double")))
-    return out.select(ROW, "doc_id", "lang", "n_bytes", "perplexity", "threshold",
-                      (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("keep"))
+    known = F.col("of").isNotNull()
+    out = out.withColumn("threshold", F.when(known, F.col("upper")).otherwise(F.lit(upper).cast("double")))
+    out = out.withColumn("floor", F.when(known, F.col("lower")).otherwise(F.lit(lower).cast("double")))
+    within = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)) & F.coalesce(F.col("perplexity") >= F.col("floor"), F.lit(True))
+    return out.select(ROW, "doc_id", "lang", "n_bytes", "perplexity", "threshold", "floor", (F.col("perplexity").isNotNull() & within).alias("keep"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -280,6 +280,16 @@ def test_quality_odd(spark, odd, none):
     assert quality.classify(spark, odd, labels.limit(0)).where("keep").count() == sum(bool(t) for _, t, *_ in ODD)
 
 
+def test_quality_limits_follow_the_labels(spark):
+    good = [("x", 100 + i / 10, True, False) for i in range(1000)]
+    bad = [("x", 50.0, False, True)] * 30 + [("x", 195.5, False, False)] * 30  # texts that repeat one word, texts just inside the loosest limit
+    limits, upper, lower = quality.language_limits(spark, spark.createDataFrame(good + bad, "of string, ppl double, good boolean, low boolean"))
+    row = limits.first()
+    assert 190 < row.upper < 195.5 and row.upper == pytest.approx(upper) and 100 < row.lower < 103 and row.lower == pytest.approx(lower)
+    limits, _, lower = quality.language_limits(spark, spark.createDataFrame(good, "of string, ppl double, good boolean, low boolean"))
+    assert limits.first().lower is None and lower is None
+
+
 def test_pipeline(spark, odd, tmp_dir):
     import corpus_pipeline
     odd.write.parquet(f"{tmp_dir}/documents.parquet")
