@@ -30,8 +30,9 @@ FIT = 5
 #: Levels that the labels choose from, loosest first; no lower limit at level 0.
 UPPER = (0.995, 0.99, 0.975, 0.95, 0.925, 0.9)
 LOWER = (0.0, 0.005, 0.02)
-#: Languages with fewer trusted documents are held to the threshold over all languages.
-MIN_TRUSTED = 50
+#: A language's own limits weigh n / (n + SMOOTH) with n trusted documents in the fit split, those over all languages the rest;
+#: likewise its shares of bad documents.
+SMOOTH = 10
 BYTES = 256
 PIECE = 1 << 20
 
@@ -212,7 +213,8 @@ def chosen(limits, shares: list, at: int, levels: tuple[float, ...], cost) -> ob
 def language_limits(spark: SparkSession, fit: DataFrame) -> tuple[DataFrame, float | None, float | None]:
     """Upper and lower limit by language, ``of, upper, lower``, and over all languages, from ``fit(of, ppl, good, low)``.
 
-    Quantiles of the trusted documents (good), at the levels that gain most on the bad ones.
+    Quantiles of the trusted documents (good), those of a language and those of all weighed by ``SMOOTH``, at the
+    levels that gain most on the bad ones.
     """
     last, bad = len(UPPER), fit.where("NOT good")
     at = F.percentile_approx("ppl", [*UPPER, *LOWER], 10000)
@@ -230,9 +232,12 @@ def language_limits(spark: SparkSession, fit: DataFrame) -> tuple[DataFrame, flo
 
     one = spark.range(1).select(*pick(every, shares)).first()
     own = fit.where("good AND of IS NOT NULL").groupBy("of").agg(F.count("*").alias("docs"), at.alias("limits"))
-    own = materialize(spark, own.where(F.col("docs") >= MIN_TRUSTED), "kn-limits")
+    weight = F.col("docs") / (F.col("docs") + F.lit(SMOOTH))
+    own = own.withColumn("limits", F.zip_with("limits", every, lambda a, b: F.exp(weight * F.log(a) + (1 - weight) * F.log(b))))
+    own = materialize(spark, own, "kn-limits")
     hit = bad.join(own, "of").groupBy("of").agg(F.count("*").alias("n"), F.array(*levels_reached(F.col("ppl"), F.col("limits"))).alias("hit"))
-    by = [F.get("hit", F.lit(i)) / F.col("n") for i in range(last + len(LOWER))]
+    n = F.coalesce("n", F.lit(0))
+    by = [(F.coalesce(F.get("hit", F.lit(i)), F.lit(0)) + SMOOTH * share) / (n + SMOOTH) for i, share in enumerate(shares)]
     limits = own.join(hit, "of", "left").select("of", *pick(F.col("limits"), by))
     return materialize(spark, limits, "kn-limits"), one.upper, one.lower
 
@@ -243,7 +248,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, hot: int =
     Trusted are documents labelled quality 1 and not toxic, bad those with another quality or toxic. The model is
     trained on the trusted documents but one in ``FIT``; those and the bad ones choose the limits. Columns ``__llm_row,
     doc_id, lang, n_bytes, perplexity`` (per byte), ``threshold, floor`` (limits in the row's language, the floor null
-    if the labels ask for none; over all languages for a null or rare one) ``, keep``. Null or empty text has null
+    if the labels ask for none; over all languages for a null one or one without trusted text in the fit split) ``, keep``. Null or empty text has null
     perplexity and is not kept; without trusted text in the fit split nothing can be judged: null threshold, every
     text is kept. Several labels of an id count as trusted if any is.
     """

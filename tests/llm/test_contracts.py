@@ -280,6 +280,17 @@ def test_quality_odd(spark, odd, none):
     assert quality.classify(spark, odd, labels.limit(0)).where("keep").count() == sum(bool(t) for _, t, *_ in ODD)
 
 
+def test_quality_recall_on_documents_not_fitted(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    report = quality.part() == 1  # neither trained on nor fitted
+    rows = quality.classify(spark, spark.read.parquet(f"{sf}/documents.parquet"), labels.where(~report)).join(labels.where(report), "doc_id").collect()
+    gone = lambda kind: sum(not r.keep for r in rows if kind(r)) / sum(map(kind, rows))
+    assert gone(lambda r: r.quality == 0) >= 0.95
+    assert gone(lambda r: r.quality == 1 and r.toxic == 1) >= 0.5
+    assert gone(lambda r: r.quality == 1 and r.toxic == 0) <= 0.15
+
+
 def test_quality_limits_follow_the_labels(spark):
     good = [("x", 100 + i / 10, True, False) for i in range(1000)]
     bad = [("x", 50.0, False, True)] * 30 + [("x", 195.5, False, False)] * 30  # texts that repeat one word, texts just inside the loosest limit
@@ -290,6 +301,16 @@ def test_quality_limits_follow_the_labels(spark):
     assert limits.first().lower is None and lower is None
 
 
+def test_quality_limits_of_rare_languages_change_smoothly(spark):
+    def upper(n):
+        rows = [("hot", 100 + i / 10, True, False) for i in range(1000)] + [("rare", 10 + i / n, True, False) for i in range(n)]
+        limits, _, _ = quality.language_limits(spark, spark.createDataFrame(rows, "of string, ppl double, good boolean, low boolean"))
+        return {r.of: r.upper for r in limits.collect()}["rare"]
+
+    one, few, more, many = map(upper, (1, 49, 50, 400))
+    assert 200 > one > few > more > many > 10 and few / more < 1.05
+
+
 def test_pipeline(spark, odd, tmp_dir):
     import corpus_pipeline
     odd.write.parquet(f"{tmp_dir}/documents.parquet")
