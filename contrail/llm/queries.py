@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm import audit, decontam, extraction, jaccard, langid, licenses, mixing, omh, periodic, quality, suffix, warc
+from contrail.llm import audit, decontam, extraction, jaccard, langid, licenses, maxent, mixing, omh, periodic, quality, suffix, warc
 
 QUERIES = {
     "op1_warc": warc.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_jaccard_join": jaccard.query,
     "op10_decontamination": decontam.query,
+    "op11_maxent": maxent.query,
     "op12_periodic_runs": periodic.query,
     "op13_filter_audit": audit.query,
 }
