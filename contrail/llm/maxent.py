@@ -8,8 +8,8 @@ Items are dealt into ``CLASSES`` classes of ``MEMBERS`` (words of like endings s
     P(token | history) = P(class | history) P(item | class, history) P(token | item).
 
 Both softmaxes start from the logarithms of the counts and add the weights of hashed features of the history:
-the last item (bigram), the items two and three back (skips), and the last two words (trigram) for the
-class; the last item and the one two back, each with the class, for the item.
+the last item (bigram), the item two back (skip), and the last two words (trigram) for the class; the last
+item and the one two back, each with the class, for the item.
 
 Training is by distributed gradient updates: in each of ``ROUNDS`` rounds every task walks its share of the
 documents once, from the round's broadcast weights, in batches (AdaGrad), and hands over its change and count
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.blocks import P, SPACE, mix, word_hashes, words
+from contrail.llm.blocks import P, SPACE, mix, words
 from contrail.llm.common import ROW, table, with_row
 from contrail.llm.langid import hot_cut
 from contrail.session import materialize
@@ -95,19 +96,66 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- tokens as arrays
-def hashes_of(tokens: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b" ".join(tokens), np.uint8)
-    end = np.cumsum([len(t) + 1 for t in tokens], dtype=np.int64) - 1
-    return word_hashes(data, end - [len(t) for t in tokens], end) if tokens else np.zeros(0, np.uint64)
-
-
-def bins_of(data: np.ndarray, begin: np.ndarray, end: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Bin of each word by its last four bytes."""
-    code = np.zeros(len(begin), np.uint64)
-    for back in range(1, 5):
-        at = end - back
-        code = code * np.uint64(257) + np.where(at >= begin, data[np.maximum(at, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-    return (mix(code) % np.uint64(bins)).astype(np.int64)
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; zeros follow the last."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ascontiguousarray(np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)))
+
+
+#: The lowest n bytes, n = 0 to 8.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Longer words are digested one by one.
+LONG = 256
+
+
+def numbers(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of each word, and its bin by its last four bytes (or all of a shorter one)."""
+    load, length = eights(data), end - begin
+    first = load[begin] & MASKS[np.minimum(length, 8)]
+    hashed = mix(first * np.uint64(P) + length.astype(np.uint64))
+    on = np.flatnonzero((length > 8) & (length <= LONG))
+    for at in range(8, LONG, 8):
+        on = on[length[on] > at]
+        if not len(on):
+            break
+        hashed[on] = mix(hashed[on] * np.uint64(P) + (load[begin[on] + at] & MASKS[np.minimum(length[on] - at, 8)]))
+    for i in np.flatnonzero(length > LONG).tolist():
+        hashed[i] = int.from_bytes(blake2b(data[begin[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    tail = np.where(length > 4, load[np.maximum(end - 4, 0)] & MASKS[4], first & MASKS[4])
+    return hashed, (mix(tail + (np.minimum(length, 4).astype(np.uint64) << np.uint64(40))) % np.uint64(BINS)).astype(np.intp)
+
+
+def numbers_of(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    end = np.cumsum(length + 1) - 1
+    return numbers(np.frombuffer(b" ".join(tokens), np.uint8), end - length, end)
+
+
+class Frequent:
+    """Values of tokens by hash, in a table of two slots to a token; the few that find both taken are left out."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        self.mask = np.uint64((1 << max(4, (2 * len(hashes)).bit_length())) - 1)
+        self.keys, self.values = np.zeros(int(self.mask) + 1, np.uint64), np.zeros(int(self.mask) + 1)
+        left = np.arange(len(hashes))
+        for which in range(2):
+            slots = self.slots(hashes[left])[which]
+            free = np.flatnonzero(self.keys[slots] == 0)
+            at, first = np.unique(slots[free], return_index=True)
+            placed = left[free[first]]
+            self.keys[at], self.values[at] = hashes[placed], values[placed]
+            left = np.setdiff1d(left, placed, assume_unique=True)
+
+    def slots(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (hashes & self.mask).astype(np.intp), (hashes >> np.uint64(32) & self.mask).astype(np.intp)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are in the table, and their values (0: not there)."""
+        one, two = self.slots(hashes)
+        here = self.keys[one] == hashes
+        at = np.where(here, one, two)
+        here |= self.keys[two] == hashes
+        return here, np.where(here, self.values[at], 0.0)
 
 
 class Items(NamedTuple):
@@ -166,10 +214,10 @@ def stream(parts: list[tuple[int, bytes, bool]], items: Items) -> Stream:
     ends = (upto + ahead)[last]
     hashed, item = np.empty(len(begin) + len(ends), np.uint64), np.empty(len(begin) + len(ends), np.int64)
     of = np.empty(len(hashed), np.int64)
-    own = word_hashes(data, begin, end)
-    at = np.minimum(np.searchsorted(items.hashes, own), max(0, len(items.hashes) - 1))
-    number = WORDS + bins_of(data, begin, end)
+    own, number = numbers(data, begin, end)
+    number += WORDS
     if len(items.hashes):
+        at = np.minimum(np.searchsorted(items.hashes, own), len(items.hashes) - 1)
         number = np.where(items.hashes[at] == own, items.numbers[at], number)
     hashed[place], item[place], of[place] = own, number, np.repeat(doc, n)
     hashed[ends], item[ends], of[ends] = END_HASH, END_ITEM, doc[last]
@@ -182,7 +230,7 @@ def row_of(*parts) -> np.ndarray:
     h = np.zeros(1, np.uint64)
     for p in parts:
         h = mix(h * np.uint64(P) + np.asarray(p).astype(np.uint64) + np.uint64(1))
-    return (h % np.uint64(ROWS)).astype(np.uint16)
+    return (h % np.uint64(ROWS)).astype(np.intp)
 
 
 class Lookup(NamedTuple):
@@ -193,7 +241,7 @@ class Lookup(NamedTuple):
 
 def lookup() -> Lookup:
     every, classes = np.arange(CLASSES * MEMBERS), np.arange(CLASSES)[:, None]
-    return Lookup([row_of(k, every) for k in (1, 2, 3)], [row_of(k, classes, every[None, :]) for k in (5, 6)])
+    return Lookup([row_of(k, every) for k in (1, 2)], [row_of(k, classes, every[None, :]) for k in (5, 6)])
 
 
 class Batch(NamedTuple):
@@ -212,19 +260,18 @@ class History:
 
     def __init__(self):
         self.look = lookup()
-        self.item, self.hash = np.full(3, END_ITEM), np.repeat(END_HASH, 3)
+        self.item, self.hash = np.full(2, END_ITEM), np.repeat(END_HASH, 2)
 
     def features(self, item: np.ndarray, hashed: np.ndarray) -> Batch:
         items, hashes = np.concatenate((self.item, item)), np.concatenate((self.hash, hashed))
         n = len(item)
         self.item, self.hash = items[n:], hashes[n:]
-        one, two, three = items[2:n + 2], items[1:n + 1].copy(), items[:n].copy()
+        one = items[1:n + 1]
         # nothing of the text before: what lies beyond an end is an end
-        two[one == END_ITEM] = END_ITEM
-        three[two == END_ITEM] = END_ITEM
-        pair = mix(hashes[2:n + 2] * np.uint64(P) + np.where(one == END_ITEM, END_HASH, hashes[1:n + 1]))
+        two, far = np.where(one == END_ITEM, END_ITEM, items[:n]), np.where(one == END_ITEM, END_HASH, hashes[:n])
+        pair = mix(hashes[1:n + 1] * np.uint64(P) + far)
         cls, member = item // MEMBERS, item % MEMBERS
-        outer = np.stack([self.look.outer[0][one], self.look.outer[1][two], self.look.outer[2][three], row_of(4, pair)])
+        outer = np.stack([self.look.outer[0][one], self.look.outer[1][two], row_of(4, pair)])
         inner = np.stack([self.look.inner[0][cls, one], self.look.inner[1][cls, two]])
         return Batch(cls, member, outer, inner)
 
@@ -279,21 +326,25 @@ class Scorer:
         out = np.empty(len(b.cls))
         for i in range(0, len(b.cls), PASS):
             s = slice(i, min(len(b.cls), i + PASS))
-            outer, inner = b.outer[:, s].astype(np.intp), b.inner[:, s].astype(np.intp)
-            out[s] = self.outer.pass_on(self.model.class_bias, outer, b.cls[s])[0]
-            out[s] += self.inner.pass_on(self.model.member_bias[b.cls[s]], inner, b.member[s])[0]
+            out[s] = self.outer.pass_on(self.model.class_bias, b.outer[:, s], b.cls[s])[0]
+            out[s] += self.inner.pass_on(self.model.member_bias[b.cls[s]], b.inner[:, s], b.member[s])[0]
         return out / np.log(10)
 
 
+def odd_rows(rows: int, width: int, kind) -> np.ndarray:
+    """An array whose rows don't begin a power of two apart, so that columns are read and written without cache conflicts."""
+    return np.zeros((rows, width + 72), kind)[:, :width]
+
+
 class Updates:
     """Gradient and weights of one softmax, outcome by outcome (``flipped``), with their sums of squares (AdaGrad)."""
 
     def __init__(self, start: np.ndarray):
         self.weights = start.copy()
         self.softmax = Softmax(self.weights)
-        self.flipped = np.ascontiguousarray(start.T)
-        self.squares, self.gradient, self.spare = (np.ones_like(self.flipped) for _ in range(3))
-        self.slope = np.empty((start.shape[1], BATCH))
+        self.squares, self.gradient, self.spare, self.flipped = (odd_rows(start.shape[1], ROWS, np.float32) for _ in range(4))
+        self.squares[:], self.flipped[:] = 1, start.T
+        self.slope = odd_rows(start.shape[1], BATCH, np.float64)
         self.touched = np.zeros(ROWS, np.int64)
 
     def slopes(self, s: slice, bias: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
@@ -340,7 +391,7 @@ class Learner:
         if not self.size:
             return
         cls, member = (np.concatenate([getattr(b, f) for b in self.held]) for f in ("cls", "member"))
-        outer, inner = (np.concatenate([getattr(b, f) for b in self.held], axis=1).astype(np.intp) for f in ("outer", "inner"))
+        outer, inner = (np.concatenate([getattr(b, f) for b in self.held], axis=1) for f in ("outer", "inner"))
         self.held, self.size = [], 0
         for i in range(0, len(cls), PASS):
             s = slice(i, min(len(cls), i + PASS))
@@ -432,9 +483,7 @@ def choose_items(counts: DataFrame, ends: int) -> tuple[Items, np.ndarray, np.nd
                     rest.append(t)
                     n.append(m)
             if rest:
-                data = np.frombuffer(b" ".join(rest), np.uint8)
-                end = np.cumsum([len(t) + 1 for t in rest], dtype=np.int64) - 1
-                at = bins_of(data, end - [len(t) for t in rest], end)
+                at = numbers_of(rest)[1]
                 tokens += np.bincount(at, weights=n, minlength=BINS).astype(np.int64)
                 kinds += np.bincount(at, minlength=BINS)
         used = np.flatnonzero(kinds)
@@ -454,7 +503,7 @@ def choose_items(counts: DataFrame, ends: int) -> tuple[Items, np.ndarray, np.nd
         else:
             mass[WORDS + r.bin] += r.n
             tokens[r.bin], kinds[r.bin] = r.n, r.kinds
-    hashes = hashes_of(frequent)
+    hashes = numbers_of(frequent)[0]
     order = np.argsort(hashes)
     return Items(hashes[order], np.arange(1, len(frequent) + 1)[order], mass), tokens, kinds
 
@@ -475,18 +524,16 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
     model = train(spark, learned, items, rounds)
     cut = hot_cut(counts, hot)
     known = counts.where((F.col("n") >= cut) & (F.col("token") != F.lit(END))).select("token", "value").toArrow().combine_chunks()
-    hashes = hashes_of(known["token"].to_pylist())
-    order = np.argsort(hashes)
-    values = known["value"].to_numpy()[order]
+    hashes, values = numbers_of(known["token"].to_pylist())[0], known["value"].to_numpy()
     shares = np.log10(bin_tokens + bin_kinds + 1.0)
     unit = float(np.log10(total.tokens + total.kinds + 1.0))
     ends = (float(np.log10(total.ends + 1.0)), bool(total.ends))
-    shared = spark.sparkContext.broadcast((model, items, hashes[order], values, shares))
+    shared = spark.sparkContext.broadcast((model, items, hashes, values, shares))
     del known
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, known, hashes, values, shares = shared.value
-        history, scorer = History(), Scorer(weights)
+        history, scorer, frequent = History(), Scorer(weights), Frequent(hashes, values)
         for batch in batches:
             n = batch.num_rows
             tokens, seen, base, own = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
@@ -501,13 +548,11 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
                 at_end = s.item == END_ITEM
                 base += ends[0] * np.bincount(s.doc[at_end], minlength=n)
                 seen += ends[1] * np.bincount(s.doc[at_end], minlength=n)
-                at = np.minimum(np.searchsorted(hashes, s.hash[s.place]), max(0, len(hashes) - 1))
-                hit = hashes[at] == s.hash[s.place] if len(hashes) else np.zeros(len(s.place), bool)
+                hit, value = frequent.find(s.hash[s.place])
                 doc, binned = s.doc[s.place], in_bin[s.place]
-                value = values[at[hit]]
-                base += np.bincount(doc[hit], weights=value, minlength=n)
+                base += np.bincount(doc, weights=value, minlength=n)
                 seen += np.bincount(doc[hit], minlength=n)
-                own += np.bincount(doc[hit & binned], weights=value[binned[hit]], minlength=n)
+                own += np.bincount(doc, weights=value * binned, minlength=n)
                 cold = np.flatnonzero(~hit)
                 for d, a, b, x in zip(doc[cold].tolist(), s.begin[cold].tolist(), s.end[cold].tolist(), binned[cold].tolist()):
                     left[d].append((s.data[a:b], x))
@@ -520,8 +565,7 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
     partly = materialize(spark, rows.mapInArrow(
         walk, f"{ROW} long, doc_id {ident}, held_out boolean, n_tokens long, seen long, base double, own double, tokens array<binary>, binned array<boolean>"), "lm-docs")
     cold = partly.select(ROW, F.explode(F.arrays_zip("tokens", "binned")).alias("t")).select(ROW, F.col("t.tokens").alias("token"), F.col("t.binned").alias("binned"))
-    tail = counts.where(F.col("n") < cut).select("token", "value")
-    more = cold.join(tail, "token").groupBy(ROW).agg(F.count("*").alias("more_seen"), F.sum("value").alias("more_base"),
+    more = cold.join(counts.select("token", "value"), "token").groupBy(ROW).agg(F.count("*").alias("more_seen"), F.sum("value").alias("more_base"),
                                                      F.sum(F.when(F.col("binned"), F.col("value")).otherwise(0.0)).alias("more_own"))
     zero = F.lit(0.0)
     return partly.drop("tokens", "binned").join(more, ROW, "left").select(

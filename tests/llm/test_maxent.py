@@ -74,7 +74,7 @@ def model_of(text, times=1):
     """Items and a model that one learner made of a text's tokens, walked ``times`` times."""
     c = Counter(text.split())
     top = sorted(c, key=lambda t: t[::-1])[:maxent.WORDS - 1]
-    h = maxent.hashes_of(top)
+    h = maxent.numbers_of(top)[0]
     mass = np.zeros(maxent.CLASSES * maxent.MEMBERS, np.int64)
     mass[0], mass[1:len(top) + 1], mass[maxent.WORDS:] = 1, [c[t] for t in top], 1
     order = np.argsort(h)
@@ -93,12 +93,12 @@ def test_probabilities_sum_to_one_after_every_history():
     scorer = maxent.Scorer(model)
     rng = np.random.default_rng(3)
     for _ in range(5):
-        before = rng.choice(every, 3)
-        hashed = rng.integers(0, 1 << 63, 3).astype(np.uint64)
+        before = rng.choice(every, 2)
+        hashed = rng.integers(0, 1 << 63, 2).astype(np.uint64)
         got = []
         for i in every:
             b = maxent.History().features(np.append(before, i), np.append(hashed, np.uint64(1)))
-            got.append(scorer.log_probabilities(b.part(slice(3, 4)))[0])
+            got.append(scorer.log_probabilities(b.part(slice(2, 3)))[0])
         assert abs(sum(10.0 ** x for x in got) - 1) < 1e-4
 
 
@@ -120,7 +120,7 @@ def test_learns_order_and_skips():
 @pytest.mark.parametrize("size", [1, 7, 50, 1 << 20])
 def test_pieces_are_one_stream(size):
     texts = [b"a bb ccc", b"", b" \t", b"dd" * 40 + b" e", b"one two\nthree four five", b"tail "]
-    items = maxent.Items(maxent.hashes_of([b"bb"]), np.array([5]), np.ones(maxent.CLASSES * maxent.MEMBERS, np.int64))
+    items = maxent.Items(maxent.numbers_of([b"bb"])[0], np.array([5]), np.ones(maxent.CLASSES * maxent.MEMBERS, np.int64))
     whole = [maxent.stream(p, items) for p in maxent.pieces(texts, 1 << 20)]
     cut = [maxent.stream(p, items) for p in maxent.pieces(texts, size)]
     for f in ("hash", "item", "doc"):
@@ -141,3 +141,23 @@ def test_changes_are_averaged_by_count():
     got = maxent.add_changes(pd.DataFrame([change([64, 66], [3, 1], 1.0), change([64], [1], 5.0)], columns=["part", "which", "block", "rows", "counts", "steps"])).iloc[0]
     assert np.frombuffer(got["rows"], np.uint16).tolist() == [64, 66] and np.frombuffer(got["counts"], np.int64).tolist() == [4, 1]
     assert np.frombuffer(got["steps"], np.float16).reshape(2, wide)[:, 0].tolist() == [2.0, 1.0]
+
+
+def test_frequent_tokens_are_found_and_no_others():
+    rng = np.random.default_rng(1)
+    hashes = np.unique(rng.integers(1, 1 << 63, 5000).astype(np.uint64))
+    rng.shuffle(hashes)
+    table = maxent.Frequent(hashes[:2500], np.arange(1.0, 2501))
+    hit, value = table.find(hashes)
+    assert not hit[2500:].any() and not value[2500:].any() and hit[:2500].mean() > 0.9
+    assert np.array_equal(value[:2500][hit[:2500]], np.arange(1.0, 2501)[hit[:2500]])
+    assert not maxent.Frequent(hashes[:0], np.zeros(0)).find(hashes)[0].any()
+
+
+def test_hashes_of_words_of_all_lengths():
+    words = [bytes([97 + i % 26]) * n for n in (1, 3, 4, 5, 8, 9, 16, 17, 255, 256, 257, 9000) for i in range(20)]
+    alone = [maxent.numbers_of([w]) for w in words]
+    together = maxent.numbers_of(words)
+    assert len(set(together[0].tolist())) == len(set(words)) and np.array_equal(together[0], np.concatenate([a for a, _ in alone]))
+    assert np.array_equal(together[1], np.concatenate([b for _, b in alone])) and together[1].max() < maxent.BINS
+    assert maxent.numbers_of([b"station"])[1] == maxent.numbers_of([b"relation"])[1]
