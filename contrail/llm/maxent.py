@@ -41,8 +41,8 @@ from contrail.llm.common import ROW, table, with_row
 from contrail.llm.langid import hot_cut
 from contrail.session import materialize
 
-CLASSES, MEMBERS = 32, 32
-BINS = 256
+CLASSES, MEMBERS = 16, 32
+BINS = 128
 WORDS = CLASSES * MEMBERS - BINS
 #: Hashed weight rows of each of the two softmaxes.
 ROWS = 1 << 13
@@ -51,11 +51,11 @@ RATE = 0.3
 #: Weights stay within this, so that sums of them need no scaling before exp().
 LIMIT = 8.0
 #: Tokens of one gradient update, and of one pass through the softmaxes.
-BATCH, PASS = 1 << 15, 1 << 10
+BATCH, PASS = 1 << 16, 1 << 10
 #: Bytes of text that a task turns into arrays at once.
 PIECE = 1 << 17
 #: Bound of the broadcast table of frequent tokens.
-HOT = 1 << 18
+HOT = 1 << 19
 #: A task hands over its token counts when it holds this many.
 FLUSH = 200_000
 #: Weight rows that travel as one row, and changes that one task adds up.
