@@ -406,21 +406,20 @@ for _name, (_layer, _factory) in DQ_SETS.items():
 
 # ---------------------------------------------------------------- streaming
 def _run_stream(spark: SparkSession, payload: DataFrame, schema_, ts_cols, ts_type="timestamp",
-                quarantine=False, dedup_keys=None, name="stream", batches=1) -> tuple[DataFrame, DataFrame | None]:
+                quarantine=False, name="stream") -> tuple[DataFrame, DataFrame | None]:
     """Land ``payload`` as message files, stream them through the ingest with
-    an ``available_now`` trigger, and read the sinks back. With ``batches``
-    the messages arrive in as many micro-batches, each spanning all times."""
+    an ``available_now`` trigger, and read the sinks back."""
     from contrail.session import scratch_path
     from contrail.streaming import ingest
 
     base = scratch_path(spark, name)
-    (payload.repartition(batches) if batches > 1 else payload).write.text(f"{base}/in")
-    src = ingest.stream_source(spark, "text", path=f"{base}/in", per_trigger=1 if batches > 1 else None)
+    payload.write.text(f"{base}/in")
+    src = ingest.stream_source(spark, "text", path=f"{base}/in")
     qs = ingest.ingest_json_topic(spark, src, schema_, ts_cols, f"{base}/out", f"{base}/chk",
                                   trigger="available_now", ts_type=ts_type,
-                                  quarantine=f"{base}/bad" if quarantine else None, dedup_keys=dedup_keys)
+                                  quarantine=f"{base}/bad" if quarantine else None)
     ingest.run_to_completion(qs)
-    out = spark.read.parquet(f"{base}/out").drop(ingest.BATCH)
+    out = spark.read.parquet(f"{base}/out")
     bad = spark.read.parquet(f"{base}/bad") if quarantine else None
     return out, bad
 
@@ -452,13 +451,17 @@ def q_stream_quarantine(spark, d):
 def q_stream_dedup(spark, d):
     """Repeated deliveries dropped, over four micro-batches that each span the
     whole month, so most rows of the later ones are days late: every distinct
-    message is kept once. In these tables ``user_id`` is not a per-event id
-    (two distinct events can share a user and a second), so a repeat is
-    recognised by the whole message."""
-    from contrail.streaming.ingest import USER_EVENT_SCHEMA
-    out, _ = _run_stream(spark, Airline(spark, d).users_json_repeated, USER_EVENT_SCHEMA, ["event_ts"],
-                         dedup_keys=["user_id", "event_ts", "name", "country"], name="dedup", batches=4)
-    return out
+    message is kept once. A repeat is recognised by the whole message: two
+    distinct events can share a user and a second."""
+    from contrail.session import scratch_path
+    from contrail.sources.layout import Layout, read_table
+    from contrail.streaming import ingest
+    base = scratch_path(spark, "dedup")
+    Airline(spark, d).users_json_repeated.repartition(4).write.text(f"{base}/in")
+    layout = Layout(warehouse=f"{base}/lake")
+    ingest.run_to_completion(ingest.ingest_user_events(
+        spark, layout, source=ingest.stream_source(spark, "text", path=f"{base}/in", per_trigger=1), trigger="available_now", dedup=True))
+    return read_table(spark, layout, "bronze", "events_raw")
 
 
 # ---------------------------------------------------------------- generic operators

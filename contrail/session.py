@@ -43,18 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
     it is unset we create one, but only in local mode (tests); on a cluster a
     machine-local folder would be invisible to other executors.
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        sc = spark.sparkContext
-        base = sc.getCheckpointDir()
-        if not base:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-            base = tempfile.mkdtemp(prefix="contrail-")
-            spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+        held = sc.getCheckpointDir()  # a folder of its own, below the one that was set
+        if held:
+            return held
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+        base = tempfile.mkdtemp(prefix="contrail-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "silver", "gold")
+#: Folder columns that a deduplicating stream adds (event day and micro-batch): no part of a table.
+HELPERS = ("_event_date", "_batch")
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,8 @@ def read_table(spark: SparkSession, layout: Layout, layer: str, name: str, by: s
     """A1/A2/A3: scan by path, or by identifier through the catalog."""
     if by == "table" or layout.catalog:
         return spark.read.table(layout.ident(layer, name))
-    return spark.read.format(layout.fmt).load(layout.path(layer, name))
+    df = spark.read.format(layout.fmt).load(layout.path(layer, name))
+    return df.drop(*HELPERS)
 
 
 def write_table(df: DataFrame, layout: Layout, layer: str, name: str, mode: str = "overwrite", by: str = "path",
@@ -74,8 +77,11 @@ def write_table(df: DataFrame, layout: Layout, layer: str, name: str, mode: str
 
 
 def drop_table(spark: SparkSession, layout: Layout, layer: str, name: str) -> None:
-    """B5."""
+    """B5: the table's entry in the catalog and, without a V2 catalog, its files (through the Hadoop file system, so at any URI)."""
     spark.sql(f"DROP TABLE IF EXISTS {layout.ident(layer, name)}")
+    if not layout.catalog:
+        path = spark._jvm.org.apache.hadoop.fs.Path(layout.path(layer, name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_layer(spark: SparkSession, layout: Layout, layer: str) -> None:

@@ -12,9 +12,11 @@ watermark.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +36,12 @@ FLIGHT_EVENT_SCHEMA = T.StructType([
 
 # Micro-batches every 30 s.
 DEFAULT_TRIGGER = "30 seconds"
-#: Partition column of a deduplicated target: the micro-batch that wrote a row.
-BATCH = "_batch"
+#: Folders of a deduplicated target: the event day, and the micro-batch that wrote a row. Not columns of the table.
+DAY, BATCH = "_event_date", "_batch"
+FRESH = "_fresh"
+#: Events come up to 48 hours late.
+DEFAULT_DELAY = "48 hours"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_source(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
@@ -114,34 +120,82 @@ def split_bad_records(parsed_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def _with_setting(spark: SparkSession, key: str, value: str, start):
+    """``start()`` with a session setting that only the query started there sees."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        return start()
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+def held_keys(spark: SparkSession, target: str, days: Sequence[str], keys: Sequence[str], but: int) -> DataFrame | None:
+    """Keys that the target holds of the given event days, batch ``but`` left out; None if it has none of these days.
+
+    Only the folders of these days are listed and read.
+    """
+    found = []
+    for day in days:
+        try:
+            found.append(spark.read.option("basePath", target).parquet(f"{target}/{DAY}={day}"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.unionByName, found).where(F.col(BATCH) != but).select(*keys) if found else None
+
+
 def ingest_distinct(df: DataFrame, target: str, checkpoint: str, keys: Sequence[str], event_time: str,
-                    trigger: str = DEFAULT_TRIGGER) -> StreamingQuery:
-    """Append the messages of ``df`` whose key the target does not hold yet, however late they come.
-
-    Each micro-batch drops its own repeats, then those already in the target
-    within the batch's range of event times, and overwrites its own folder
-    ``_batch=<id>``: a replayed batch replaces itself, so every distinct key
-    is kept exactly once and no state grows in memory. Rows with a NULL key
-    or event time cannot be told apart and are all kept.
+                    trigger: str = DEFAULT_TRIGGER, delay: str = DEFAULT_DELAY) -> StreamingQuery:
+    """Append the messages of ``df`` whose key was not seen before, however late they come.
+
+    Keys of the last ``delay`` of event time are kept in the state store (RocksDB, so not in the heap), which
+    ages them out; repeats of these never touch the target. A message later than the watermark is not dropped:
+    it is looked up in the target, in the folder of its event day alone. ``keys`` must hold ``event_time``: a
+    repeat carries the time of the first delivery.
+
+    Every batch is written once in the checkpoint folder (the state must not be run twice), then to folders
+    ``_event_date=<day>/_batch=<id>`` that a replayed batch overwrites: every key is kept exactly once. Rows
+    with a NULL key or event time cannot be told apart and are all kept.
     """
+    if event_time not in keys:
+        raise ValueError(f"the key must hold the event time {event_time}: {list(keys)}")
     spark = df.sparkSession
     # an empty first folder, so that the target can be read from the first batch on
-    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{target}/{BATCH}=-1")
-    names = list(dict.fromkeys([*keys, event_time]))
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{target}/{DAY}=__HIVE_DEFAULT_PARTITION__/{BATCH}=-1")
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    fresh = df.withWatermark(event_time, delay).where(whole).dropDuplicatesWithinWatermark(list(keys))
+    both = fresh.withColumn(FRESH, F.lit(True)).unionByName(df.withColumn(FRESH, F.lit(False)))
+    running: list[StreamingQuery] = []
+
+    def horizon(batch_id: int) -> str | None:
+        """The watermark below which this batch's rows were late; None if unknown, as in the first batch after a start."""
+        last = running[0].lastProgress if running else None
+        known = last and last["batchId"] == batch_id - 1 and last.get("eventTime", {}).get("watermark")
+        return known or None
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        keyed = batch.where(whole).dropDuplicates(list(keys))
-        held = batch.sparkSession.read.parquet(target).where(F.col(BATCH) != batch_id)
-        span = batch.where(whole).agg(F.min(event_time).alias("low"), F.max(event_time).alias("high")).first()
-        if span.low is not None:
-            held = held.where(F.col(event_time).between(F.lit(span.low), F.lit(span.high)))
-        fresh = keyed.join(held.select(*keys), list(keys), "left_anti").select(*batch.columns)
-        fresh.unionByName(batch.where(~whole)).write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
-
-    w = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+        here, staged = batch.sparkSession, f"{checkpoint.rstrip('/')}/staged/{batch_id % 2}"
+        batch.write.mode("overwrite").parquet(staged)
+        rows = here.read.schema(batch.schema).parquet(staged)
+        first, every = rows.where(FRESH).drop(FRESH), rows.where(~F.col(FRESH)).drop(FRESH)
+        # what is neither new to the state nor late is a repeat
+        late, limit = every.where(whole), horizon(batch_id)
+        if limit:
+            late = late.where(F.col(event_time) <= F.lit(limit).cast("timestamp"))
+        late = late.join(first.select(*keys), list(keys), "left_anti").dropDuplicates(list(keys)).select(*df.columns)
+        days = [r.day for r in late.select(F.to_date(event_time).cast("string").alias("day")).distinct().collect()]
+        held = held_keys(here, target, days, keys, batch_id) if days else None
+        if held is not None:
+            late = late.join(held, list(keys), "left_anti").select(*df.columns)
+        out = first.unionByName(every.where(~whole))
+        out = (out.unionByName(late) if days else out).withColumns({DAY: F.to_date(event_time), BATCH: F.lit(batch_id)})
+        out.write.partitionBy(DAY, BATCH).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+
+    w = both.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
-    return w.start()
+    running.append(_with_setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE, w.start))
+    return running[0]
 
 
 def ingest_stream(df: DataFrame, target: str, checkpoint: str, trigger: str = DEFAULT_TRIGGER,
@@ -183,6 +237,20 @@ def ingest_json_topic(spark: SparkSession, source: DataFrame, schema: T.StructTy
     return queries
 
 
+def stop_cleanly(query: StreamingQuery, timeout: float = 600.0) -> None:
+    """Stop a long-running query between two micro-batches: the batch that runs is finished first, so a restart begins
+    with new offsets. A query whose batches follow each other without a pause is stopped after ``timeout`` seconds."""
+    until = time.monotonic() + timeout
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
+    query.stop()
+
+
+def progress_rows(query: StreamingQuery) -> list[tuple[int, int, int]]:
+    """(batch, rows read, milliseconds taken) of the query's recent micro-batches that had data: how far it lags."""
+    return [(p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution", 0)) for p in query.recentProgress if p["numInputRows"]]
+
+
 def run_to_completion(queries: Sequence[StreamingQuery]) -> None:
     """Wait for ``available_now`` queries to finish, however long they take; re-raise any failure."""
     for q in queries:
@@ -199,12 +267,13 @@ def ingest_user_events(spark: SparkSession, layout, source: DataFrame | None = N
     Source defaults to Kafka (``KAFKA_BOOTSTRAP`` / ``KAFKA_TOPIC``); the sink
     and its checkpoint live under the layout's bronze folder, so a restart on
     any machine resumes from the same offsets. ``quarantine`` splits bad
-    messages to ``events_raw_quarantine``; ``dedup`` drops repeats of
-    (user_id, event_ts) and keeps every other message, however late.
+    messages to ``events_raw_quarantine``; ``dedup`` drops repeats of a
+    whole message and keeps every other one, however late: two messages may
+    share a user and a second.
     """
     src = source if source is not None else stream_source(spark, "kafka")
     target = layout.path("bronze", "events_raw")
     return ingest_json_topic(
         spark, src, USER_EVENT_SCHEMA, ["event_ts"], target, layout.path("bronze", "_checkpoints/events_raw"),
         trigger=trigger, quarantine=layout.path("bronze", "events_raw_quarantine") if quarantine else None,
-        dedup_keys=["user_id", "event_ts"] if dedup else None)
+        dedup_keys=USER_EVENT_SCHEMA.names if dedup else None)
