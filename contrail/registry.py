@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from contrail import schema
 from contrail.plans import gold, quality, silver
+from contrail.schema import BRONZE_SCHEMAS
 from contrail.session import materialize
 from contrail.sources.fixtures import Airline, bronze_tables
-from contrail.sources.synth import BRONZE_SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -570,3 +570,46 @@ def q_orphans(spark, d):
     from contrail.operators.joins import orphans
     a = Airline(spark, d)
     return orphans(a.flights_events, a.flights.where("possible_passenger_amount >= 100"), "flight_id").select("flight_event_id", "flight_id")
+
+
+# ---------------------------------------------------------------- layer runs
+def _outcomes(run, spark, layout, **options) -> DataFrame:
+    return run(spark, layout, validate=False, on_failure="report", **options)["_outcomes"]
+
+
+def _new_layout(spark):
+    from contrail.session import scratch_path
+    from contrail.sources.layout import Layout
+    return Layout(warehouse=scratch_path(spark, "lake"))
+
+
+@query("run_silver_layer")
+def q_run_silver(spark, d):
+    """R1: bronze to silver, every table as soon as its inputs are written; rows and status of each."""
+    from contrail.plans import runs
+    return _outcomes(runs.run_silver, spark, _new_layout(spark), bronze=bronze_tables(Airline(spark, d)))
+
+
+@query("run_gold_monthly_layer")
+def q_run_gold_monthly(spark, d):
+    """R3: four monthly dimensions at once, then report and aggregates from the stored ones."""
+    from contrail.plans import runs
+    return _outcomes(runs.run_gold_monthly, spark, _new_layout(spark), s=silver_tables(Airline(spark, d)))
+
+
+@query("run_gold_ml_layer")
+def q_run_gold_ml(spark, d):
+    """R2: three dimensions at once, then the training fact."""
+    from contrail.plans import runs
+    return _outcomes(runs.run_gold_ml, spark, _new_layout(spark), s=silver_tables(Airline(spark, d)))
+
+
+@query("run_gold_ml_failure")
+def q_run_gold_ml_failure(spark, d):
+    """B8: the silver weather lacks a column, so the weather dimension fails and the fact that needs it is
+    skipped; the other two dimensions are written."""
+    from contrail.plans import runs
+    s = {n: t for n, t in silver_tables(Airline(spark, d)).items()
+         if n in ("silver_routes", "silver_flights", "silver_flights_events", "silver_weather_summary", "silver_waypoint_sampling_weather_points")}
+    s["silver_weather_summary"] = s["silver_weather_summary"].drop("average_temperature")
+    return _outcomes(runs.run_gold_ml, spark, _new_layout(spark), s=s).select("table_name", "rows_written", "status", F.col("error").isNotNull().alias("has_error"))

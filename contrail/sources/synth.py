@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.schema import BRONZE_SCHEMAS
 from contrail.sources.layout import Layout, drop_table, write_table
 
 
@@ -65,45 +66,6 @@ def synth_table(spark: SparkSession, schema: T.StructType, n: int = 10, seed: in
     return synth_columns(ids, schema, seed, "id", anchor)
 
 
-S, I, D, F_, B, DT, TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.FloatType(), T.BooleanType(), \
-    T.DateType(), T.TimestampType()
-DEC = T.DecimalType(12, 2)
-
-
-def _schema(*fields) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in fields])
-
-
-# The ten bronze tables of the data model (ERD types; decimals 12,2).
-BRONZE_SCHEMAS: dict[str, T.StructType] = {
-    "routes_raw": _schema(("route_id", S), ("airport_origin", S), ("airport_destination", S),
-                          ("latitude_origin", D), ("longitude_origin", D), ("latitude_destination", D),
-                          ("longitude_destination", D), ("distance_km", F_)),
-    "flights": _schema(("flight_id", S), ("route_id", S), ("max_passenger_capacity", I),
-                       ("max_lagguge_weight_capacity", I), ("schedualed_arrival", TS), ("schedualed_departure", TS)),
-    "ticket_prices": _schema(("price_id", S), ("flight_id", S), ("class", S), ("price", DEC), ("luggage_fee", DEC),
-                             ("start_date", DT), ("end_date", DT), ("actual", B)),
-    "booked_tickets_raw": _schema(("booked_ticket_id", S), ("passenger_passport_id", S), ("passenger_first_name", S),
-                                  ("passenger_last_name", S), ("passenger_nationality", S), ("passenger_email", S),
-                                  ("order_method", S), ("date_of_birth", DT), ("booking_date", DT),
-                                  ("ticket_price", F_), ("class", S), ("luggage_class", S)),
-    "flight_weather_raw_api": _schema(("weather_sample_id", S), ("latitude", D), ("longitude", D), ("height", D),
-                                      ("temperature", D), ("humidity", D), ("wind_speed", D), ("wind_direction", D),
-                                      ("current_weather_condition", S), ("sample_for_date", TS)),
-    "registered_customers": _schema(("customer_passport_id", S), ("customer_first_name", S),
-                                    ("customer_last_name", S), ("passenger_nationality", S), ("passenger_email", S),
-                                    ("customer_date_of_birth", DT), ("customer_membership_tier", S)),
-    "route_weather_points": _schema(("route_id", S), ("way_point_number", I), ("latitude", D), ("longitude", D),
-                                    ("height", D)),
-    "boarding_events_raw": _schema(("event_id", S), ("flight_id", S), ("event_type", S), ("passenger_id", S),
-                                   ("baggage_weight", T.DecimalType(10, 2)), ("event_time", TS),
-                                   ("ingestion_time", TS)),
-    "flight_events_raw": _schema(("event_id", S), ("flight_id", S), ("event_type", S), ("delay_reason", S),
-                                 ("event_time", TS)),
-    "ticket_events_raw": _schema(("event_id", S), ("booked_ticket_id", S), ("event_type", S), ("event_time", TS)),
-}
-
-
 def seed_layer(spark: SparkSession, layout: Layout, tables: Mapping[str, T.StructType] | None = None,
                n: int = 10, seed: int = 0, layer: str = "bronze", on_error: str = "collect") -> list[dict]:
     """Drop and recreate each table with synthetic rows (B5 + A6 + B2/B3).

@@ -295,3 +295,27 @@ ORACLES["ml_weather_from_samples"] = W(ML_WEATHER, "weather_raw", "waypoints", "
     ("flight_weather", FLIGHT_WEATHER_LINK), ("weather_summary", WEATHER_SUMMARY)])
 ORACLES["unpriced_bookings"] = W("""SELECT * FROM booked_tickets b WHERE NOT EXISTS
  (SELECT 1 FROM ticket_prices p WHERE p.silver_flight_id = b.flight_id AND p.ticket_class = b.ticket_class)""", "booked_tickets", "ticket_prices")
+
+
+def _written(tables: dict[str, str], **other: str) -> str:
+    """Rows and status of the tables of a layer run, from each table's own SQL; ``other``: tables not written, with their status."""
+    parts = [f"SELECT '{t}' AS table_name, count(*) AS rows_written, 'written' AS status FROM ({ORACLES[q]})" for t, q in tables.items()]
+    return " UNION ALL ".join(parts + [f"SELECT '{t}', NULL, '{status}'" for t, status in other.items()])
+
+
+_SILVER_RUN = {
+    "silver_routes": "silver_routes", "silver_flights": "silver_flights", "silver_waypoint_sampling_weather_points": "silver_waypoints",
+    "silver_ticket_prices": "silver_ticket_prices", "silver_customers": "silver_customers", "silver_flights_events": "silver_flights_events",
+    "silver_booked_tickets": "silver_booked_tickets", "silver_ticket_events": "silver_ticket_events", "silver_boarding_summary": "silver_boarding_summary",
+    "silver_flight_weather": "silver_flight_weather", "silver_weather_summary": "silver_weather_summary_from_samples",
+    "silver_agg_frequent_delay_reasons": "silver_delay_reasons", "silver_agg_cancelation_rate": "silver_cancelation_rate"}
+ORACLES["run_silver_layer"] = f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({_written(_SILVER_RUN)})"
+ORACLES["run_gold_monthly_layer"] = "SELECT *, CAST(NULL AS VARCHAR) AS error FROM (" + _written({
+    "gold_dim_monthly_delays": "monthly_delays", "gold_dim_monthly_flight_info": "monthly_flight_info", "gold_dim_monthly_revenue": "monthly_revenue_literal",
+    "gold_dim_monthly_most_popular": "monthly_most_popular_literal", "gold_fact_monthly_performance_report": "monthly_performance_report",
+    "gold_monthly_aggregates": "monthly_aggregates"}) + ")"
+ORACLES["run_gold_ml_layer"] = "SELECT *, CAST(NULL AS VARCHAR) AS error FROM (" + _written({
+    "gold_dim_ml_routes": "ml_routes", "gold_dim_ml_weather": "ml_weather", "gold_dim_ml_boarding_data": "ml_boarding_data",
+    "gold_fact_ml_training": "ml_training"}) + ")"
+ORACLES["run_gold_ml_failure"] = "SELECT *, status <> 'written' AS has_error FROM (" + _written(
+    {"gold_dim_ml_routes": "ml_routes", "gold_dim_ml_boarding_data": "ml_boarding_data"}, gold_dim_ml_weather="failed", gold_fact_ml_training="skipped") + ")"

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from contrail.plans import runs
 from contrail.sources.fixtures import Airline, bronze_tables
 from contrail.sources.layout import Layout, read_table, write_table
-from contrail.sources.synth import BRONZE_SCHEMAS, seed_layer, synth_table
+from contrail.schema import BRONZE_SCHEMAS
+from contrail.sources.synth import seed_layer, synth_table
 
 from .conftest import SF001
 
