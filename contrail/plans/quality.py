@@ -7,10 +7,9 @@ severity)``:
 - every row-level rule of one table (not-null, range, bound, enum, order,
   derived) becomes one ``count_if`` inside ONE aggregation per table — one
   scan instead of one Spark job per rule;
-- key uniqueness is one partially-aggregated GROUPING SETS pass per table
-  (all of a table's keys at once);
-- foreign keys are one union + group-by per key (no join: a hot or NULL key
-  costs one partially-aggregated row per task);
+- all key uniqueness and foreign keys are ONE pass: every table is scanned
+  once, keys are tagged by domain and role and grouped in one shuffle (no
+  join: a hot or NULL key costs one partially-aggregated row per task);
 - schema rules (required columns, types) read metadata only.
 
 NULL semantics: a NULL never violates a row-level rule except ``not_null``;
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema
-from contrail.operators.joins import orphan_count
 
 ROW_KINDS = {"not_null", "range", "min", "max", "enum", "order", "derived"}
 RESULT_SCHEMA = T.StructType([
@@ -165,28 +163,81 @@ def _row_level(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
                           "violations = 0 AS passed", "severity")
 
 
-def _uniques(spark: SparkSession, df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    """Every uniqueness rule of one table in ONE pass: a GROUPING SETS
-    aggregate counts each key's groups (partial aggregation map-side), then
-    duplicated groups are counted per grouping set. NULL keys group as one,
-    as in a plain group-by."""
-    if len(rules) == 1:
-        r = rules[0]
-        dup = df.groupBy(*r.columns).count().where(F.col("count") > 1)
-        return _from_count(dup.agg(F.count(F.lit(1)).alias("violations")), r)
-    cols = list(dict.fromkeys(c for r in rules for c in r.columns))
-    # grouping_id(): bit (len-1-i) is set when cols[i] is aggregated away
-    gid = {i: sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in r.columns)
-           for i, r in enumerate(rules)}
-    g = (df.groupingSets([list(r.columns) for r in rules], *cols)
-         .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")))
-    dups = g.where(F.col("__n") > 1).groupBy("__gid").agg(F.count(F.lit(1)).alias("__dups"))
-    spec = spark.createDataFrame([(gid[i], r.table, r.kind, r.label, r.severity) for i, r in enumerate(rules)],
-                                 "__gid bigint, table_name string, rule string, column_name string, severity string")
-    v = F.coalesce(F.col("__dups"), F.lit(0)).cast("bigint")
-    return (spec.join(F.broadcast(dups), "__gid", "left")  # one row per key rule: bounded
-            .select("table_name", "rule", "column_name", v.alias("violations"), (v == 0).alias("passed"),
-                    "severity"))
+def _domains(rules: Sequence[Rule]) -> dict[tuple[str, tuple[str, ...]], tuple[int, int]]:
+    """(domain, role) of every key that uniqueness and foreign-key rules name, a key being (table, columns).
+
+    A foreign key and the key that it refers to are of one domain; roles number the keys of a domain.
+    """
+    up: dict = {}
+
+    def root(k):
+        while up.setdefault(k, k) != k:
+            k = up[k]
+        return k
+
+    for r in rules:
+        key = root((r.table, r.columns))
+        if r.kind == "fk":
+            up[root((r.params[0], (r.params[1],)))] = key
+    numbers: dict = {}
+    out, sizes = {}, {}
+    for k in list(up):
+        d = numbers.setdefault(root(k), len(numbers))
+        out[k] = (d, sizes.get(d, 0))
+        sizes[d] = sizes.get(d, 0) + 1
+    return out
+
+
+def _key(df: DataFrame, columns: Sequence[str], kind: str) -> Column:
+    """A key as a string: NULL only for a single NULL column; each column of a compound key is told apart by its length."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast(kind).cast("string")
+    text = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
+def _key_pass(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """All uniqueness and foreign-key rules in ONE shuffle.
+
+    Every table is scanned once and gives a row (domain, key, role) for each of its keys; grouped by domain
+    and key, the counts of the roles tell duplicates (a role with more than one row) and orphans (a key that
+    the parent's role lacks) together. Partial aggregation turns a hot or NULL key into one row per task, and
+    there is no join. NULL keys are one group for uniqueness; a NULL foreign key is an orphan.
+    """
+    place = _domains(rules)
+    types_of = {k: dict(tables[k[0]].dtypes)[k[1][0]] for k in place if len(k[1]) == 1}
+    kinds: dict[int, str] = {}  # keys of unlike types are compared as the first that is not text
+    for k, (d, _) in place.items():
+        kind = types_of.get(k, "string")
+        if kinds.setdefault(d, kind) == "string":
+            kinds[d] = kind
+    by_table: dict[str, list] = {}
+    for (table, columns), (d, role) in place.items():
+        by_table.setdefault(table, []).append((columns, d, role))
+    parts = []
+    for table, keys in by_table.items():
+        df = tables[table]
+        rows = [F.struct(F.lit(d).alias("domain"), F.lit(role).alias("role"), _key(df, columns, kinds[d]).alias("key")) for columns, d, role in keys]
+        # one key: no row generator
+        parts.append(df.select(F.inline(F.array(*rows))) if len(rows) > 1 else df.select(rows[0].alias("r")).select("r.*"))
+    roles = 1 + max(role for _, role in place.values())
+    counts = reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(
+        *[F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(roles)])
+
+    def found(r: Rule) -> Column:
+        d, role = place[r.table, r.columns]
+        here = F.col("domain") == d
+        if r.kind == "unique":
+            return F.count_if(here & (F.col(f"n{role}") > 1))
+        _, parent = place[r.params[0], (r.params[1],)]
+        lost = here & (F.col("key").isNull() | (F.col(f"n{parent}") == 0))
+        return F.coalesce(F.sum(F.when(lost, F.col(f"n{role}"))), F.lit(0))
+
+    total = counts.agg(*[found(r).alias(f"_r{i}") for i, r in enumerate(rules)])
+    args = ", ".join(f"{_sql_str(r.table)}, {_sql_str(r.kind)}, {_sql_str(r.label)}, CAST(_r{i} AS BIGINT), {_sql_str(r.severity)}"
+                     for i, r in enumerate(rules))
+    out = total.selectExpr(f"stack({len(rules)}, {args}) AS (table_name, rule, column_name, violations, severity)")
+    return out.selectExpr("table_name", "rule", "column_name", "violations", "violations = 0 AS passed", "severity")
 
 
 def _type_name(dt: T.DataType) -> str:
@@ -203,6 +254,18 @@ def _scans(rule: Rule) -> list[str]:
     return [rule.table]
 
 
+def table_uses(rules: Sequence[Rule]) -> dict[str, int]:
+    """How often ``run_checks`` scans each table: once for its row-level rules, once for all its keys, once per other rule."""
+    passes = set()
+    for i, r in enumerate(rules):
+        kind = "row" if r.kind in ROW_KINDS else "key" if r.kind in ("unique", "fk") else i
+        passes |= {(t, kind) for t in _scans(r)}
+    uses: dict[str, int] = {}
+    for t, _ in passes:
+        uses[t] = uses.get(t, 0) + 1
+    return uses
+
+
 def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule],
                stage=None) -> DataFrame:
     """Evaluate ``rules`` against ``tables``; one result row per rule.
@@ -213,12 +276,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
     Spark job will read (e.g. ``session.materialize``), so an expensive
     table plan is computed once rather than once per rule group.
     """
-    row_tables = {r.table for r in rules if r.kind in ROW_KINDS}
-    uses: dict[str, int] = {t: 1 for t in row_tables}
-    for r in rules:
-        if r.kind not in ROW_KINDS:
-            for t in _scans(r):
-                uses[t] = uses.get(t, 0) + 1
+    uses = table_uses(rules)
     staged: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame | None:
@@ -232,7 +290,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
     parts: list[DataFrame] = []
     meta: list[tuple] = []
     row_rules: dict[str, list[Rule]] = {}
-    key_rules: dict[str, list[Rule]] = {}
+    key_rules: list[Rule] = []
     for r in rules:
         df = tables.get(r.table) if r.kind in ("required", "types") else table(r.table)
         cols = set(df.columns) if df is not None else set()
@@ -259,13 +317,13 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
         if r.kind in ROW_KINDS:
             row_rules.setdefault(r.table, []).append(r)
         elif r.kind == "unique":
-            key_rules.setdefault(r.table, []).append(r)
+            key_rules.append(r)
         elif r.kind == "fk":
             parent = table(r.params[0])
-            if parent is None:
+            if parent is None or r.params[1] not in parent.columns:
                 meta.append(_meta(r, None))
                 continue
-            parts.append(_from_count(orphan_count(df.select(r.columns[0]), parent, r.columns[0], r.params[1]), r))
+            key_rules.append(r)
         elif r.kind == "consistent":
             keys, other, other_col, tol = r.params
             o = table(other)
@@ -295,8 +353,9 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             raise ValueError(f"unknown rule kind {r.kind!r}")
     for name, rs in row_rules.items():
         parts.append(_row_level(table(name), name, rs))
-    for name, rs in key_rules.items():
-        parts.append(_uniques(spark, table(name), name, rs))
+    if key_rules:
+        named = {t for r in key_rules for t in _scans(r)}
+        parts.append(_key_pass(spark, {t: table(t) for t in named}, key_rules))
     if meta or not parts:
         parts.append(spark.createDataFrame(meta, RESULT_SCHEMA))
     # every part has the result columns in the same order: positional union

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema
-from contrail.plans import gold, quality, silver
+from contrail.plans import gold, quality, runs, silver
 from contrail.schema import BRONZE_SCHEMAS
 from contrail.session import materialize
 from contrail.sources.fixtures import Airline, bronze_tables
@@ -369,35 +369,62 @@ DQ_SETS = {
 }
 
 
-def stored(spark, t: LazyTables, prefixes: tuple[str, ...]) -> LazyTables:
-    """The tables whose name starts so, each written once with a fixed load time when first used."""
-    def load(name: str, build) -> DataFrame:
-        df = build().withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
-        return materialize(spark, df, name) if name.startswith(prefixes) else df
+#: Tables that take joins or aggregation to build, by the start of their names.
+BUILT = ("silver_boarding_summary", "silver_agg", "silver_flight_weather", "silver_weather_summary", "gold_")
+#: What gold facts and aggregates read.
+FACT_DIMS = {"gold_fact_monthly_performance_report": runs.MONTHLY[:4], "gold_monthly_aggregates": runs.MONTHLY[:4],
+             "gold_fact_ml_training": runs.ML[:3]}
 
-    return LazyTables({n: lambda n=n, f=f: load(n, f) for n, f in t._f.items()})
 
+def _dq_tables(spark, a: Airline, layer: str, rules) -> Mapping:
+    """A layer's tables as a layer run leaves them, with a fixed load time.
+
+    A built table that more than one pass or table reads is written once, all such tables at the same time
+    where they don't need each other; one that is read once is checked as it is built, with its columns pruned.
+    """
+    from contrail.plans.graph import WRITTEN, LayerRunError, Step, run_graph
 
-def _dq_tables(spark, a: Airline, layer: str) -> LazyTables:
-    """A layer's tables as a layer run leaves them. Those that take joins or aggregation to
-    build are written once; gold facts and aggregates read the written dimensions."""
-    built = ("silver_boarding_summary", "silver_agg", "silver_flight_weather", "silver_weather_summary")
     if layer == "bronze":
         return LazyTables({n: lambda df=df: df.withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
                            for n, df in bronze_tables(a).items()})
-    if layer == "silver":
-        return stored(spark, silver_tables(a), built)
-    g = stored(spark, gold_tables(a, lambda: g), ("gold_",))
-    if layer == "gold":
-        return g
-    s, r = stored(spark, silver_tables(a), built), recomputed_tables(a)
-    return LazyTables({**s._f, **{n: lambda n=n: g[n] for n in g}, **r._f})
+    at_hand: dict[str, DataFrame] = {}
+    sources: dict[str, Callable[[], DataFrame]] = {}
+    if layer in ("silver", "all"):
+        sources.update(silver_tables(a)._f)
+    if layer in ("gold", "all"):
+        sources.update(gold_tables(a, lambda: tables)._f)
+    if layer == "all":
+        sources.update(recomputed_tables(a)._f)
+
+    def load(name: str) -> DataFrame:
+        return at_hand[name] if name in at_hand else sources[name]().withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
+
+    tables = LazyTables({n: lambda n=n: load(n) for n in sources})
+    uses = quality.table_uses(rules)
+    for fact, dims in FACT_DIMS.items():
+        if fact in uses:
+            uses.update({n: uses.get(n, 0) + 1 for n in dims})
+    shared = [n for n, times in uses.items() if times > 1 and n in sources and n.startswith(BUILT)]
+
+    def write(name: str):
+        def run(written):
+            at_hand.update(written)
+            return materialize(spark, load(name), name)
+        return run
+
+    done = run_graph(spark, [Step(n, write(n), tuple(d for d in FACT_DIMS.get(n, ()) if d in shared)) for n in shared])
+    if any(o.status != WRITTEN for o in done.values()):
+        raise LayerRunError(done)
+    at_hand.update({n: o.table for n, o in done.items()})
+    tables._built.clear()
+    return tables
 
 
 def _register_dq(name: str, layer: str, factory) -> None:
     @query(name)
     def _q(spark, d):
-        return quality.run_checks(spark, _dq_tables(spark, Airline(spark, d), layer), factory())
+        rules = factory()
+        return quality.run_checks(spark, _dq_tables(spark, Airline(spark, d), layer, rules), rules)
 
 
 for _name, (_layer, _factory) in DQ_SETS.items():
@@ -586,21 +613,18 @@ def _new_layout(spark):
 @query("run_silver_layer")
 def q_run_silver(spark, d):
     """R1: bronze to silver, every table as soon as its inputs are written; rows and status of each."""
-    from contrail.plans import runs
     return _outcomes(runs.run_silver, spark, _new_layout(spark), bronze=bronze_tables(Airline(spark, d)))
 
 
 @query("run_gold_monthly_layer")
 def q_run_gold_monthly(spark, d):
     """R3: four monthly dimensions at once, then report and aggregates from the stored ones."""
-    from contrail.plans import runs
     return _outcomes(runs.run_gold_monthly, spark, _new_layout(spark), s=silver_tables(Airline(spark, d)))
 
 
 @query("run_gold_ml_layer")
 def q_run_gold_ml(spark, d):
     """R2: three dimensions at once, then the training fact."""
-    from contrail.plans import runs
     return _outcomes(runs.run_gold_ml, spark, _new_layout(spark), s=silver_tables(Airline(spark, d)))
 
 
@@ -608,7 +632,6 @@ def q_run_gold_ml(spark, d):
 def q_run_gold_ml_failure(spark, d):
     """B8: the silver weather lacks a column, so the weather dimension fails and the fact that needs it is
     skipped; the other two dimensions are written."""
-    from contrail.plans import runs
     s = {n: t for n, t in silver_tables(Airline(spark, d)).items()
          if n in ("silver_routes", "silver_flights", "silver_flights_events", "silver_weather_summary", "silver_waypoint_sampling_weather_points")}
     s["silver_weather_summary"] = s["silver_weather_summary"].drop("average_temperature")

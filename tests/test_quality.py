@@ -132,3 +132,27 @@ def test_cross_order_counts_pairs_and_skips_null_keys(spark):
                                (None, dt.date(2024, 1, 1))], "k string, e date")
     assert _viol(spark, {"a": a, "b": b}, Q.cross_order("a", "k", "b", "k", "d", "e")) == 4
     assert _viol(spark, {"a": a.limit(0), "b": b}, Q.cross_order("a", "k", "b", "k", "d", "e")) == 0
+
+
+def test_key_rules_of_several_tables_share_one_shuffle(spark):
+    """Duplicates, orphans and completeness of two domains, with NULL, hot and unlike-typed keys, from one exchange by key."""
+    flights = spark.createDataFrame([("f1", "r1"), ("f2", "r1"), ("f2", "r9"), (None, "r2"), (None, None)], "flight_id string, route string")
+    routes = spark.createDataFrame([(1, "r1"), (2, "r2"), (2, "r2"), (None, None)], "no int, route string")
+    events = spark.createDataFrame([("f1",)] * 50 + [("f7",)] * 3 + [(None,)], "flight_id string")
+    stops = spark.createDataFrame([("1", "a", "b"), ("01", "a", "b"), ("3", "a", None), ("3", "a", None), (None, "ab", "")], "no string, x string, y string")
+    t = {"f": flights, "r": routes, "e": events, "s": stops}
+    rules = [Q.unique("f", "flight_id"), Q.unique("r", "route"), Q.unique("r", "no"), Q.unique("s", "x", "y"), Q.foreign_key("f", "route", "r"),
+             Q.foreign_key("e", "flight_id", "f"), Q.foreign_key("s", "no", "r"), Q.foreign_key("r", "route", "f"), Q.foreign_key("e", "flight_id", "f", "gone"),
+             Q.foreign_key("e", "flight_id", "none")]
+    res = Q.run_checks(spark, t, rules)
+    got = {(r.table_name, r.rule, r.column_name): r.violations for r in res.collect() if r.violations is not None}
+    assert got == {("f", "unique", "flight_id"): 2, ("r", "unique", "route"): 1, ("r", "unique", "no"): 1, ("s", "unique", "x,y"): 2,
+                   ("f", "fk", "route"): 2, ("e", "fk", "flight_id"): 4, ("s", "fk", "no"): 3, ("r", "fk", "route"): 1}
+    assert res.where("violations is null").count() == 2
+    plan = Q.run_checks(spark, t, rules[:8])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_tables_are_counted_by_passes():
+    rules = Q.not_null("a", "x", "y") + [Q.unique("a", "x"), Q.unique("a", "y"), Q.foreign_key("b", "x", "a"), Q.consistent("a", ("k",), "v", "c", "v")]
+    assert Q.table_uses(rules) == {"a": 3, "b": 1, "c": 1}
