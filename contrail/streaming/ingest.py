@@ -16,7 +16,6 @@ import time
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +40,9 @@ DAY, BATCH = "_event_date", "_batch"
 FRESH = "_fresh"
 #: Events come up to 48 hours late.
 DEFAULT_DELAY = "48 hours"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State outside the heap; a batch saves its changes, not the whole state.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def stream_source(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
@@ -120,29 +121,30 @@ def split_bad_records(parsed_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def _with_setting(spark: SparkSession, key: str, value: str, start):
-    """``start()`` with a session setting that only the query started there sees."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _with_settings(spark: SparkSession, settings: dict[str, str], start):
+    """``start()`` with session settings that only the query started there sees."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return start()
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def held_keys(spark: SparkSession, target: str, days: Sequence[str], keys: Sequence[str], but: int) -> DataFrame | None:
-    """Keys that the target holds of the given event days, batch ``but`` left out; None if it has none of these days.
+def held_keys(spark: SparkSession, target: str, days: Sequence[str], schema: T.StructType, but: int) -> DataFrame | None:
+    """Rows that the target holds of the given event days, batch ``but`` left out; None if it has none of these days.
 
     Only the folders of these days are listed and read.
     """
-    found = []
-    for day in days:
-        try:
-            found.append(spark.read.option("basePath", target).parquet(f"{target}/{DAY}={day}"))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return reduce(DataFrame.unionByName, found).where(F.col(BATCH) != but).select(*keys) if found else None
+    files = spark._jvm.org.apache.hadoop.fs
+    root = files.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [p for p in (f"{target}/{DAY}={day}" for day in days) if root.exists(files.Path(p))]
+    if not there:
+        return None
+    typed = T.StructType([*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(typed).option("basePath", target).parquet(*there).where(F.col(BATCH) != but)
 
 
 def ingest_distinct(df: DataFrame, target: str, checkpoint: str, keys: Sequence[str], event_time: str,
@@ -185,16 +187,17 @@ def ingest_distinct(df: DataFrame, target: str, checkpoint: str, keys: Sequence[
             late = late.where(F.col(event_time) <= F.lit(limit).cast("timestamp"))
         late = late.join(first.select(*keys), list(keys), "left_anti").dropDuplicates(list(keys)).select(*df.columns)
         days = [r.day for r in late.select(F.to_date(event_time).cast("string").alias("day")).distinct().collect()]
-        held = held_keys(here, target, days, keys, batch_id) if days else None
+        held = held_keys(here, target, days, df.schema, batch_id) if days else None
         if held is not None:
-            late = late.join(held, list(keys), "left_anti").select(*df.columns)
+            late = late.join(held.select(*keys), list(keys), "left_anti").select(*df.columns)
         out = first.unionByName(every.where(~whole))
         out = (out.unionByName(late) if days else out).withColumns({DAY: F.to_date(event_time), BATCH: F.lit(batch_id)})
-        out.write.partitionBy(DAY, BATCH).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+        # few files to a day, a hot day split
+        out.hint("rebalance", F.col(DAY)).write.partitionBy(DAY, BATCH).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
 
     w = both.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
-    running.append(_with_setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE, w.start))
+    running.append(_with_settings(spark, STATE_STORE, w.start))
     return running[0]
 
 

@@ -105,7 +105,7 @@ def test_state_recognises_repeats_and_only_late_rows_read_the_target(spark, tmp_
     src, out, chk = (os.path.join(tmp_dir, x) for x in ("in", "out", "chk"))
     looked = []
     plain = ingest.held_keys
-    monkeypatch.setattr(ingest, "held_keys", lambda s, t, days, keys, but: looked.append((but, sorted(days))) or plain(s, t, days, keys, but))
+    monkeypatch.setattr(ingest, "held_keys", lambda s, t, days, schema, but: looked.append((but, sorted(days))) or plain(s, t, days, schema, but))
     days = [f"2024-01-{d:02d}T12:00:00Z" for d in range(1, 31)]
     first = [_msg(t, f"u{i}") for i, t in enumerate(days[:10])]
     second = [_msg(t, f"u{i}") for i, t in enumerate(days[8:20], 8)] + first[8:]  # repeats of the last two days
