@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail import schema
 from contrail.functions.columns import minutes_between, month_of, safe_ratio, surrogate_key, year_of
+from contrail.operators.asof import asof_join
 from contrail.operators.joins import align_periods, attach_scalar
 from contrail.operators.ranking import most_frequent_many, top_n_per_group
 from contrail.operators.shaping import with_audit
@@ -121,8 +122,37 @@ def _priced_bookings_by_flight(prices: DataFrame, bookings: DataFrame) -> DataFr
     return p.join(b, ["flight_id", "ticket_class"])
 
 
-def unpriced_bookings(ticket_prices: DataFrame, booked_tickets: DataFrame) -> DataFrame:
-    """The bookings that ``key="flight"`` cannot price: no price of their flight and class, or no flight or class."""
+def price_at_booking(prices: DataFrame, bookings: DataFrame) -> DataFrame:
+    """``bookings`` with the price in force for their flight and class on the booking date: ``price_id, ticket_price,
+    luggage_fee, start_date`` (NULL: none).
+
+    A price is in force from its start date to its end date (both included; no end: open) or to the day before the
+    next price of its flight and class starts, if that is earlier: a new price replaces the one before. Of prices
+    that start on the same day the lowest (price id, price, fee, end) counts. Days that no price covers are gaps.
+    """
+    own = ["price_id", "ticket_price", "luggage_fee", "end_date"]
+    p = (prices.groupBy(F.col("silver_flight_id").alias("flight_id"), "ticket_class", "start_date")
+         .agg(F.min(F.struct(*own)).alias("p")).select("flight_id", "ticket_class", "start_date", "p.*"))
+    j = asof_join(bookings, p, ["flight_id", "ticket_class"], "booking_date", "start_date", "__price")
+    price = F.col("__price")
+    valid = price["end_date"].isNull() | (F.col("booking_date") <= price["end_date"])
+    return j.select(*bookings.columns, *[F.when(valid, price[c]).alias(c) for c in ["price_id", "ticket_price", "luggage_fee", "start_date"]])
+
+
+def _priced_bookings_on_date(prices: DataFrame, bookings: DataFrame) -> DataFrame:
+    """Each booking at the price in force on its booking date, counted per flight, class, date and passenger first."""
+    b = (bookings.where(F.col("flight_id").isNotNull())
+         .groupBy("flight_id", "ticket_class", "booking_date", "customer_passport_id").agg(F.count(F.lit(1)).alias("_n")))
+    return price_at_booking(prices, b).where(F.col("start_date").isNotNull())
+
+
+def unpriced_bookings(ticket_prices: DataFrame, booked_tickets: DataFrame, on_date: bool = False) -> DataFrame:
+    """The bookings that ``key="flight"`` cannot price: no price of their flight and class, or no flight or class.
+
+    ``on_date``: those that ``key="valid"`` cannot price, the gaps of ``price_at_booking`` included.
+    """
+    if on_date:
+        return price_at_booking(ticket_prices, booked_tickets).where(F.col("start_date").isNull()).select(*booked_tickets.columns)
     known = F.col("flight_id").isNotNull() & F.col("ticket_class").isNotNull()
     priced = ticket_prices.select(F.col("silver_flight_id").alias("flight_id"), "ticket_class").where(known).distinct()
     open_ = booked_tickets.where(known).join(priced, ["flight_id", "ticket_class"], "left_anti")
@@ -134,6 +164,10 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
                           audit: bool = True) -> DataFrame:
     """Monthly revenue by month of the price start date.
 
+    ``key``: ``"literal"`` joins as the reference does, ``"flight"`` takes the
+    latest price of the booking's flight and class, ``"valid"`` the one in force
+    on the booking date (``price_at_booking``).
+
     total = Σ(price + fee) per booking (a NULL fee drops that term, as the
     reference's ``sum(a + b)``), average price = Σprice / #priced bookings,
     top revenue class (ties alphabetical), cancelation rate of the month.
@@ -149,6 +183,8 @@ def build_monthly_revenue(ticket_prices: DataFrame, booked_tickets: DataFrame, c
         j = _priced_bookings_literal(ticket_prices, booked_tickets)
     elif key == "flight":
         j = _priced_bookings_by_flight(ticket_prices, booked_tickets)
+    elif key == "valid":
+        j = _priced_bookings_on_date(ticket_prices, booked_tickets)
     else:
         raise ValueError(f"unknown key mode {key!r}")
     n = F.col("_n")

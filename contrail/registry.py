@@ -168,6 +168,26 @@ def q_revenue_by_flight(spark, d):
     return _revenue(Airline(spark, d), "flight")
 
 
+@query("monthly_revenue_valid_price")
+def q_revenue_valid(spark, d):
+    """T20 with every booking at the price in force on its booking date."""
+    return _revenue(Airline(spark, d), "valid")
+
+
+@query("price_at_booking")
+def q_price_at_booking(spark, d):
+    """Every booking with the price in force for its flight and class on the booking date, if any."""
+    a = Airline(spark, d)
+    return gold.price_at_booking(a.ticket_prices, a.booked_tickets).select(
+        "booked_ticket_id", "flight_id", "ticket_class", "booking_date", "price_id", "ticket_price", "luggage_fee", "start_date")
+
+
+@query("unpriced_bookings_on_date")
+def q_unpriced_on_date(spark, d):
+    a = Airline(spark, d)
+    return gold.unpriced_bookings(a.ticket_prices, a.booked_tickets, on_date=True)
+
+
 @query("monthly_most_popular_literal")
 def q_popular_literal(spark, d):
     return _popular(Airline(spark, d), "literal", "literal")

@@ -296,6 +296,22 @@ ORACLES["ml_weather_from_samples"] = W(ML_WEATHER, "weather_raw", "waypoints", "
 ORACLES["unpriced_bookings"] = W("""SELECT * FROM booked_tickets b WHERE NOT EXISTS
  (SELECT 1 FROM ticket_prices p WHERE p.silver_flight_id = b.flight_id AND p.ticket_class = b.ticket_class)""", "booked_tickets", "ticket_prices")
 
+# a price is in force to its end, or to the day before the next one of its flight and class starts
+IN_FORCE = """SELECT silver_flight_id, ticket_class, price_id, ticket_price, luggage_fee, start_date,
+ least(coalesce(end_date, DATE '9999-12-31'), coalesce(lead(start_date) OVER (PARTITION BY silver_flight_id, ticket_class ORDER BY start_date) - INTERVAL 1 DAY,
+   DATE '9999-12-31')) AS last_day
+FROM (SELECT *, row_number() OVER (PARTITION BY silver_flight_id, ticket_class, start_date ORDER BY price_id NULLS FIRST, ticket_price NULLS FIRST,
+   luggage_fee NULLS FIRST, end_date NULLS FIRST) AS rn FROM ticket_prices WHERE start_date IS NOT NULL) WHERE rn = 1"""
+AT_BOOKING = """SELECT b.*, p.price_id, p.ticket_price, p.luggage_fee, p.start_date FROM booked_tickets b LEFT JOIN in_force p
+ ON p.silver_flight_id = b.flight_id AND p.ticket_class = b.ticket_class AND b.booking_date BETWEEN p.start_date AND p.last_day"""
+ORACLES["price_at_booking"] = W(f"""SELECT booked_ticket_id, flight_id, ticket_class, booking_date, price_id, ticket_price, luggage_fee, start_date
+FROM ({AT_BOOKING})""", "booked_tickets", "ticket_prices", ctes=[("in_force", IN_FORCE)])
+ORACLES["unpriced_bookings_on_date"] = W(f"SELECT b.* EXCLUDE (price_id, ticket_price, luggage_fee, start_date) FROM ({AT_BOOKING}) b WHERE start_date IS NULL",
+                                         "booked_tickets", "ticket_prices", ctes=[("in_force", IN_FORCE)])
+ORACLES["monthly_revenue_valid_price"] = W(dim_revenue("distinct"), "ticket_prices", "booked_tickets", "ticket_events", ctes=[
+    ("cancelation_rate", CANCELATION_RATE), ("in_force", IN_FORCE),
+    ("priced", f"SELECT {_ym('start_date')}, ticket_class, ticket_price, luggage_fee, customer_passport_id FROM ({AT_BOOKING}) WHERE start_date IS NOT NULL")])
+
 
 def _written(tables: dict[str, str], **other: str) -> str:
     """Rows and status of the tables of a layer run, from each table's own SQL; ``other``: tables not written, with their status."""
