@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Row identity inside one operator: its value follows from the scan (file split and offset),
-#: so a recomputed task gives the same ids. Operators select the columns they need first,
-#: so an input column of any name cannot clash with it.
+#: so a recomputed task gives the same ids. Operators that read a few columns select them first;
+#: those that return whole documents put columns of clashing names aside (``own_names``).
 ROW = "__llm_row"
 SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -33,6 +36,26 @@ def with_row(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def own_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators ``(spark, docs, ...)`` that return the columns of ``docs``: input columns that begin with two
+    underscores, as the operators' own do, go by other names while it runs."""
+    @wraps(operator)
+    def run(spark: SparkSession, docs: DataFrame, *args, **options) -> DataFrame:
+        taken = {c.lower() for c in docs.columns}
+        aside = {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                safe = f"aside_{len(aside)}"
+                while safe in taken:
+                    safe += "_"
+                taken.add(safe)
+                aside[c] = safe
+        if not aside:
+            return operator(spark, docs, *args, **options)
+        return operator(spark, docs.withColumnsRenamed(aside), *args, **options).withColumnsRenamed({safe: c for c, safe in aside.items()})
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ROW, carry, table, with_row
+from contrail.llm.common import ROW, carry, own_names, table, with_row
 from contrail.session import materialize
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -150,6 +150,7 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int
     return grouped.withColumn("spans", joined)
 
 
+@own_names
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the hit spans: their bytes go, ``n_chars`` is counted anew, a document left without words goes.
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import blocks as B
-from contrail.llm.common import ROW, table, with_row
+from contrail.llm.common import ROW, own_names, table, with_row
 from contrail.session import materialize
 
 SHINGLE = 5
@@ -385,6 +385,7 @@ def classes(spark: SparkSession, docs: DataFrame, columns: list | None = None, n
     return rows, out
 
 
+@own_names
 def distinct_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """One document of each component of ``docs``, in its own columns."""
     _, found = classes(spark, docs, **options)

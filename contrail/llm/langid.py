@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ROW, table, with_row
+from contrail.llm.common import ROW, own_names, table, with_row
 from contrail.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -159,7 +159,7 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
                     idx, n = np.array(at).T
                     total = n @ values[idx]
                 cold = {w: n for w, n in counted.items() if w not in place}
-                letters.append(bool(at) or has_letter(text))
+                letters.append(has_letter(text))  # a known token may be a letterless number sign
                 sums.append(total.tolist())
                 rest.append(list(cold))
                 times.append(list(cold.values()))
@@ -187,6 +187,7 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
     )
 
 
+@own_names
 def identified_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose language cannot be told (``und``)."""
     rejected = identify(spark, docs).where(F.col("lang_pred") == UNKNOWN).select(F.col(ROW).alias("__rejected"))

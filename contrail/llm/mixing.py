@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ROW, with_row
+from contrail.llm.common import ROW, own_names, with_row
 from contrail.session import materialize
 
 #: Words are runs of bytes other than ASCII white space.
@@ -102,8 +102,9 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, max_repeat: int =
     )
 
 
+@own_names
 def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document of ``docs`` as often as it is taken, with its copy number as ``mix_copy`` (last column)."""
+    """The mix itself: each document of ``docs`` as often as it is taken, with its copy number as ``mix_copy`` (last column, in place of an input column of that name)."""
     taken = mix(spark, docs, **options).where("copies > 0").select(F.col(ROW).alias("__taken"), "copies")
     rows = with_row(docs)
     joined = rows.join(taken, rows[ROW] == taken["__taken"])

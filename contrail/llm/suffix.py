@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import blocks as B
-from contrail.llm.common import ROW, carry, table
+from contrail.llm.common import ROW, carry, own_names, table
 
 MIN_BYTES = 50
 GRAM = 24
@@ -383,6 +383,7 @@ def repeat_groups(spark: SparkSession, docs: DataFrame, min_bytes: int = MIN_BYT
         groups, "length long, sample binary, occurrences array<struct<block:int,context:int,offset:int,doc_id:long>>")
 
 
+@own_names
 def deduplicated_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """``docs`` without repeated bytes; a document of which nothing is left goes, others keep their columns (``n_chars`` anew where cut).
 
