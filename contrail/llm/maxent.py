@@ -19,12 +19,11 @@ the counts, of every token, are joined and never held whole: a bounded table of
 the scan, all others are joined on the token. Texts are walked as one stream of tokens in pieces of a bounded
 size, cut between words, so a text of any length is scored whole.
 
-Frequent tokens are recognised by a 64-bit hash, all others by their bytes.
+Tokens are told apart by a 64-bit hash of their bytes (of 10**8 kinds, some pair is alike with a chance of 1 in 4,000).
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from typing import NamedTuple
@@ -55,13 +54,11 @@ BATCH, PASS = 1 << 16, 1 << 10
 #: Bytes of text that a task turns into arrays at once.
 PIECE = 1 << 17
 #: Bound of the broadcast table of frequent tokens.
-HOT = 1 << 19
-#: A task hands over its token counts when it holds this many.
-FLUSH = 200_000
+HOT = 1 << 18
+#: Token counts that a task holds before it puts them together, and hands over what stays distinct.
+FLUSH = 1 << 20
 #: Weight rows that travel as one row, and changes that one task adds up.
 TOGETHER, FAN_IN = 64, 256
-#: The end of a text, as a token: no word has white space.
-END = b"\n"
 END_ITEM = 0
 
 
@@ -74,27 +71,6 @@ def lowered(text: bytes | None) -> bytes:
     return (text or b"").lower()  # of bytes: A-Z alone
 
 
-def token_counts(texts: DataFrame) -> DataFrame:
-    """(token binary, n) over the column ``text`` (binary), ends included."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
-            held.clear()
-            return got
-
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(lowered(text.as_py()).split())  # bytes split at the six ASCII white spaces
-                held[END] += 1
-                if len(held) > FLUSH:
-                    yield out()
-        yield out()
-
-    return texts.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
-
-
 # ---------------------------------------------------------------- tokens as arrays
 def eights(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on, as one number; zeros follow the last."""
@@ -125,6 +101,12 @@ def numbers(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return hashed, (mix(tail + (np.minimum(length, 4).astype(np.uint64) << np.uint64(40))) % np.uint64(BINS)).astype(np.intp)
 
 
+def tails(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The last eight bytes of each word, the last one highest: words of like endings are near each other."""
+    load, short = eights(data), np.maximum(8 - (end - begin), 0).astype(np.uint64)
+    return load[np.maximum(end - 8, begin)] << (short * np.uint64(8))
+
+
 def numbers_of(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     length = np.fromiter(map(len, tokens), np.int64, len(tokens))
     end = np.cumsum(length + 1) - 1
@@ -176,7 +158,9 @@ class Stream(NamedTuple):
     data: bytes
 
 
+#: The end of a text, as a token.
 END_HASH = mix(np.array([0x5EED], np.uint64))
+END = int(END_HASH.view(np.int64)[0])
 
 
 def pieces(texts: list[bytes], size: int) -> Iterator[list[tuple[int, bytes, bool]]]:
@@ -224,6 +208,57 @@ def stream(parts: list[tuple[int, bytes, bool]], items: Items) -> Stream:
     return Stream(hashed, item, of, place, begin, end, joined)
 
 
+# ---------------------------------------------------------------- counts
+class Counted(NamedTuple):
+    """Distinct tokens: hash, bin, last bytes (``tail``, by which words sort from their ends) and count of each."""
+    token: np.ndarray
+    bin: np.ndarray
+    tail: np.ndarray
+    n: np.ndarray
+
+
+def squeezed(held: list[Counted]) -> Counted:
+    """One row per token."""
+    token, bins, tail, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(token, kind="stable")
+    token = token[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(token)), bool), token[1:] != token[:-1])))
+    at = order[first]
+    return Counted(token[first], bins[at], tail[at], np.add.reduceat(n[order], first) if len(first) else n)
+
+
+def token_counts(texts: DataFrame) -> DataFrame:
+    """(token, bin, tail, n) over the column ``text`` (binary), ends included (token ``END``); a token is a 64-bit hash."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Counted] = []
+        rows = 0
+
+        def out(c: Counted) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c.token.view(np.int64)), pa.array(c.bin.astype(np.int32)), pa.array(c.tail.view(np.int64)), pa.array(c.n)],
+                                              ["token", "bin", "tail", "n"])
+
+        for batch in batches:
+            ends = np.array([batch.num_rows], np.int64)
+            held.append(Counted(END_HASH, np.full(1, -1, np.int64), np.zeros(1, np.uint64), ends))
+            for part in pieces([lowered(t.as_py()) for t in batch.column(0)], PIECE):
+                data = np.frombuffer(b"\n".join(p for _, p, _ in part), np.uint8)
+                begin, end = words(data)
+                token, bins = numbers(data, begin, end)
+                held.append(squeezed([Counted(token, bins, tails(data, begin, end), np.ones(len(token), np.int64))]))
+                rows += len(held[-1].n)
+                if rows > FLUSH:
+                    held = [squeezed(held)]
+                    rows = len(held[0].n)
+                    if rows > FLUSH // 2:  # mostly distinct tokens
+                        yield out(held[0])
+                        held, rows = [], 0
+        if held:
+            yield out(squeezed(held))
+
+    found = texts.select("text").mapInArrow(count, "token long, bin int, tail long, n long")
+    return found.groupBy("token").agg(F.max("bin").alias("bin"), F.max("tail").alias("tail"), F.sum("n").alias("n"))
+
+
 # ---------------------------------------------------------------- features and the two softmaxes
 def row_of(*parts) -> np.ndarray:
     """Weight row of a feature: hash of its kind and values."""
@@ -468,44 +503,22 @@ def train(spark: SparkSession, texts: DataFrame, items: Items, rounds: int = ROU
 # ---------------------------------------------------------------- counts, items, scores
 def choose_items(counts: DataFrame, ends: int) -> tuple[Items, np.ndarray, np.ndarray]:
     """The items, and for each bin the tokens and the kinds of tokens in it."""
-    frequent = [bytes(r.token) for r in counts.where(F.col("token") != F.lit(END)).orderBy(F.desc("n"), "token").limit(WORDS - 1).collect()]
-    frequent.sort(key=lambda t: t[::-1])  # words of like endings share a class
-    taken = counts.sparkSession.sparkContext.broadcast(set(frequent))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, kinds, own = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64), []
-        for batch in batches:
-            rest, n = [], []
-            for t, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if t in taken.value:
-                    own.append((t, m))
-                elif t != END:
-                    rest.append(t)
-                    n.append(m)
-            if rest:
-                at = numbers_of(rest)[1]
-                tokens += np.bincount(at, weights=n, minlength=BINS).astype(np.int64)
-                kinds += np.bincount(at, minlength=BINS)
-        used = np.flatnonzero(kinds)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None] * len(used) + [t for t, _ in own], pa.binary()), pa.array([*used.tolist(), *[-1] * len(own)], pa.int32()),
-             pa.array([*tokens[used].tolist(), *[m for _, m in own]], pa.int64()), pa.array([*kinds[used].tolist(), *[1] * len(own)], pa.int64())],
-            ["token", "bin", "n", "kinds"])
-
-    found = counts.select("token", "n").mapInArrow(gather, "token binary, bin int, n long, kinds long").groupBy("token", "bin").agg(
-        F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect()  # one row per item at most
-    number = {t: i for i, t in enumerate(frequent, END_ITEM + 1)}
+    plain = counts.where(F.col("token") != END)
+    frequent = plain.orderBy(F.desc("n"), "token").limit(WORDS - 1).toArrow()
+    token, tail = (frequent[c].to_numpy().view(np.uint64) for c in ("token", "tail"))
+    bins, n = frequent["bin"].to_numpy(), frequent["n"].to_numpy()
     mass, tokens, kinds = np.zeros(CLASSES * MEMBERS, np.int64), np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
-    mass[END_ITEM], mass[WORDS:] = ends + 1, 1  # unseen tokens need a bin of some mass
-    for r in found:
-        if r.token is not None:
-            mass[number[bytes(r.token)]] = r.n
-        else:
-            mass[WORDS + r.bin] += r.n
-            tokens[r.bin], kinds[r.bin] = r.n, r.kinds
-    hashes = numbers_of(frequent)[0]
-    order = np.argsort(hashes)
-    return Items(hashes[order], np.arange(1, len(frequent) + 1)[order], mass), tokens, kinds
+    for r in plain.groupBy("bin").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():  # BINS rows at most
+        tokens[r.bin], kinds[r.bin] = r.n, r.kinds
+    np.subtract.at(tokens, bins, n)
+    np.subtract.at(kinds, bins, 1)
+    order = np.lexsort((token, tail))  # words of like endings share a class
+    mass[END_ITEM], mass[WORDS:] = ends + 1, tokens + 1  # unseen tokens need a bin of some mass
+    mass[1:len(n) + 1] = n[order]
+    number = np.empty(len(n), np.int64)
+    number[order] = np.arange(1, len(n) + 1)
+    rank = np.argsort(token)
+    return Items(token[rank], number[rank], mass), tokens, kinds
 
 
 def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
@@ -519,12 +532,12 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
     learned = rows.where(F.col("doc_id").isNotNull() & ~F.col("held_out"))
     counts = materialize(spark, token_counts(learned).withColumn("value", F.log10(F.col("n") + 1)), "lm-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds"),
-                       F.coalesce(F.max(F.when(F.col("token") == F.lit(END), F.col("n"))), F.lit(0)).alias("ends")).first()
+                       F.coalesce(F.max(F.when(F.col("token") == END, F.col("n"))), F.lit(0)).alias("ends")).first()
     items, bin_tokens, bin_kinds = choose_items(counts, total.ends)
     model = train(spark, learned, items, rounds)
     cut = hot_cut(counts, hot)
-    known = counts.where((F.col("n") >= cut) & (F.col("token") != F.lit(END))).select("token", "value").toArrow().combine_chunks()
-    hashes, values = numbers_of(known["token"].to_pylist())[0], known["value"].to_numpy()
+    known = counts.where((F.col("n") >= cut) & (F.col("token") != END)).select("token", "value").toArrow()
+    hashes, values = known["token"].to_numpy().view(np.uint64), known["value"].to_numpy()
     shares = np.log10(bin_tokens + bin_kinds + 1.0)
     unit = float(np.log10(total.tokens + total.kinds + 1.0))
     ends = (float(np.log10(total.ends + 1.0)), bool(total.ends))
@@ -537,7 +550,7 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
         for batch in batches:
             n = batch.num_rows
             tokens, seen, base, own = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-            left: list[list[tuple[bytes, bool]]] = [[] for _ in range(n)]
+            left: list[tuple[np.ndarray, ...]] = []
             for part in pieces([lowered(t.as_py()) for t in batch.column(3)], PIECE):
                 s = stream(part, known)
                 logs = scorer.log_probabilities(history.features(s.item, s.hash))
@@ -553,17 +566,18 @@ def score(spark: SparkSession, docs: DataFrame, hot: int = HOT, rounds: int = RO
                 base += np.bincount(doc, weights=value, minlength=n)
                 seen += np.bincount(doc[hit], minlength=n)
                 own += np.bincount(doc, weights=value * binned, minlength=n)
-                cold = np.flatnonzero(~hit)
-                for d, a, b, x in zip(doc[cold].tolist(), s.begin[cold].tolist(), s.end[cold].tolist(), binned[cold].tolist()):
-                    left[d].append((s.data[a:b], x))
+                left.append((doc[~hit], s.hash[s.place][~hit], binned[~hit]))
+            # documents come in order, so each one's tokens lie together
+            doc, cold, binned = (np.concatenate(x) for x in zip(*left)) if left else (np.zeros(0, t) for t in (np.int64, np.uint64, bool))
+            upto = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(upto, pa.array(x)) for x in (cold.view(np.int64), binned)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(tokens), pa.array(seen), pa.array(base), pa.array(own),
-                 pa.array([[t for t, _ in x] for x in left], pa.list_(pa.binary())), pa.array([[b for _, b in x] for x in left], pa.list_(pa.bool_()))],
+                [*batch.columns[:3], pa.array(tokens), pa.array(seen), pa.array(base), pa.array(own), *lists],
                 [ROW, "doc_id", "held_out", "n_tokens", "seen", "base", "own", "tokens", "binned"])
 
     ident = rows.schema["doc_id"].dataType.simpleString()
     partly = materialize(spark, rows.mapInArrow(
-        walk, f"{ROW} long, doc_id {ident}, held_out boolean, n_tokens long, seen long, base double, own double, tokens array<binary>, binned array<boolean>"), "lm-docs")
+        walk, f"{ROW} long, doc_id {ident}, held_out boolean, n_tokens long, seen long, base double, own double, tokens array<long>, binned array<boolean>"), "lm-docs")
     cold = partly.select(ROW, F.explode(F.arrays_zip("tokens", "binned")).alias("t")).select(ROW, F.col("t.tokens").alias("token"), F.col("t.binned").alias("binned"))
     more = cold.join(counts.select("token", "value"), "token").groupBy(ROW).agg(F.count("*").alias("more_seen"), F.sum("value").alias("more_base"),
                                                      F.sum(F.when(F.col("binned"), F.col("value")).otherwise(0.0)).alias("more_own"))
