@@ -72,7 +72,12 @@ def build_monthly_delays(flights: DataFrame, flights_events: DataFrame, delay_re
                      F.col("_reason").alias("delay_reason"), "total_occurences"))
     else:
         r = delay_reasons.select(*PERIOD, "delay_reason", "total_occurences")
-    top = top_n_per_group(r, PERIOD, [F.col("total_occurences").desc(), F.col("delay_reason").asc()], 1)
+    return delays_of(stats, r, id_mode, audit)
+
+
+def delays_of(stats: DataFrame, reasons: DataFrame, id_mode: str = "hash", audit: bool = True) -> DataFrame:
+    """Monthly delays from one row of statistics per month and occurrences per month and reason."""
+    top = top_n_per_group(reasons, PERIOD, [F.col("total_occurences").desc(), F.col("delay_reason").asc()], 1)
     top = top.select(*PERIOD, F.col("delay_reason").alias("most_frequent_delay"))
     out = stats.join(F.broadcast(top), PERIOD, "left")  # month grain: bounded
     out = out.withColumn("delays_id", _key(id_mode, "delays", "year", "month"))
@@ -80,6 +85,16 @@ def build_monthly_delays(flights: DataFrame, flights_events: DataFrame, delay_re
                          "year", "month"], audit)
 
 
+def delay_rows(flights: DataFrame, flights_events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows behind monthly delays: whole seconds of delay per departure, and an event id per delay reason, by month."""
+    month = {"year": year_of("flight_date"), "month": month_of("flight_date")}
+    j = _departures(flights.select("flight_id", "flight_date", "scheduled_departure"), flights_events).withColumns(month)
+    seconds = (F.col("event_time") - F.col("scheduled_departure")).cast("long")
+    reasons = flights_events.where(F.col("delay_reason").isNotNull()).select("flight_id", "flight_event_id", "delay_reason")
+    reasons = reasons.join(flights.select("flight_id", "flight_date"), "flight_id").withColumns(month)
+    return j.select(*PERIOD, seconds.alias("seconds")), reasons.select(*PERIOD, "delay_reason", "flight_event_id")
+
+
 def build_monthly_flight_info(flights: DataFrame, boarding_summary: DataFrame, id_mode: str = "hash",
                               audit: bool = True) -> DataFrame:
     """Flights with a boarding summary, per month of the flight date."""
@@ -242,6 +257,12 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     destination, method) grain and all three rankings come from one
     grouping-sets pass over that small frame, so the join runs once.
     """
+    return popular_of(booked_routes(booked_tickets, flights, routes, key, method), id_mode, audit)
+
+
+def booked_routes(booked_tickets: DataFrame, flights: DataFrame, routes: DataFrame, key: str = "literal",
+                  method: str = "literal") -> DataFrame:
+    """Bookings (``_w``) per booking month, origin, destination and order method."""
     bkey = "booked_ticket_id" if key == "literal" else "flight_id"
     m = F.lit(schema.ORDER_METHOD_LITERAL) if method == "literal" else F.col("order_method")
     b = booked_tickets.select(F.col(bkey).alias("_fid"), year_of("booking_date").alias("year"),
@@ -255,7 +276,11 @@ def build_monthly_most_popular(booked_tickets: DataFrame, flights: DataFrame, ro
     f = flights.select(F.col("flight_id").alias("_fid"), "routes_id")
     r = routes.select("routes_id", "airport_origin", "airport_destination")
     j = b.join(f, "_fid").join(r, "routes_id")
-    counts = j.groupBy(*PERIOD, "airport_origin", "airport_destination", "method").agg(F.sum("_w").alias("_w"))
+    return j.groupBy(*PERIOD, "airport_origin", "airport_destination", "method").agg(F.sum("_w").alias("_w"))
+
+
+def popular_of(counts: DataFrame, id_mode: str = "hash", audit: bool = True) -> DataFrame:
+    """Most popular origin, destination and method per month of ``booked_routes`` counts."""
     out = most_frequent_many(counts, PERIOD, {"airport_origin": "most_popular_origin",
                                               "airport_destination": "most_popular_destination",
                                               "method": "most_popular_order_method"}, weight="_w")

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema
-from contrail.plans import gold, quality, runs, silver
+from contrail.plans import gold, partials, quality, runs, silver
 from contrail.schema import BRONZE_SCHEMAS
 from contrail.session import materialize
 from contrail.sources.fixtures import Airline, bronze_tables
+from contrail.sources.layout import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -198,6 +199,32 @@ def q_popular(spark, d):
     return _popular(Airline(spark, d), "flight", "column")
 
 
+def _loads(df: DataFrame, key: str, day: str) -> dict[str, DataFrame]:
+    """The whole table as three loads: by its date, but for a tenth of the rows and those without a date, which arrive last."""
+    late = F.col(day).isNull() | (F.pmod(F.xxhash64(key), F.lit(10)) == 0)
+    return {"base": df.where(~late & (F.year(day) < 1998)), "next": df.where(~late & (F.year(day) >= 1998)), "late": df.where(late)}
+
+
+@query("monthly_delays_by_loads")
+def q_delays_by_loads(spark, d):
+    """T16, T18 from partials: events in three loads, one of them run twice; read back from the mart."""
+    a, layout = Airline(spark, d), _new_layout(spark)
+    loads = _loads(a.flights_events, "flight_event_id", "event_time")
+    for name in ("base", "late", "next", "late"):
+        partials.add_delays(spark, layout, name, loads[name], a.flights, audit=False)
+    return read_table(spark, layout, "gold", "gold_dim_monthly_delays")
+
+
+@query("monthly_most_popular_by_loads")
+def q_popular_by_loads(spark, d):
+    """T21, F9 from label counts: bookings in three loads, one of them run twice; read back from the mart."""
+    a, layout = Airline(spark, d), _new_layout(spark)
+    loads = _loads(a.booked_tickets, "booked_ticket_id", "booking_date")
+    for name in ("base", "late", "next", "late"):
+        partials.add_bookings(spark, layout, name, loads[name], a.flights, a.routes, audit=False)
+    return read_table(spark, layout, "gold", "gold_dim_monthly_most_popular")
+
+
 def _dims(a: Airline):
     return _delays(a), _flight_info(a), _revenue(a, "literal"), _popular(a, "literal", "literal")
 

@@ -76,6 +76,31 @@ def write_table(df: DataFrame, layout: Layout, layer: str, name: str, mode: str
         w.save(layout.path(layer, name))
 
 
+def table_exists(spark: SparkSession, layout: Layout, layer: str, name: str) -> bool:
+    """Whether the table is in the catalog or, without a V2 catalog, its folder holds partitions or files."""
+    if layout.catalog:
+        return spark.catalog.tableExists(layout.ident(layer, name))
+    path = spark._jvm.org.apache.hadoop.fs.Path(layout.path(layer, name))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(path) and any(s.getPath().getName()[0] not in "_." for s in system.listStatus(path))
+
+
+def replace_partitions(df: DataFrame, layout: Layout, layer: str, name: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions that ``df`` has rows of; a table that is not there is created.
+
+    No rows write nothing. Without a V2 catalog the partitions are swapped when the job commits, so ``df``
+    may come from the same table; the output committer must support dynamic partition overwrite.
+    """
+    if layout.catalog:
+        if table_exists(df.sparkSession, layout, layer, name):
+            df.writeTo(layout.ident(layer, name)).overwritePartitions()
+        else:
+            write_table(df, layout, layer, name, partition_by=partition_by)
+        return
+    (df.write.format(layout.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).save(layout.path(layer, name)))
+
+
 def drop_table(spark: SparkSession, layout: Layout, layer: str, name: str) -> None:
     """B5: the table's entry in the catalog and, without a V2 catalog, its files (through the Hadoop file system, so at any URI)."""
     spark.sql(f"DROP TABLE IF EXISTS {layout.ident(layer, name)}")

@@ -213,6 +213,7 @@ SELECT flight_id, origin, destination, flight_date, departure_time FROM
 
     q["monthly_delays"] = W(DIM_DELAYS, "flights", "flights_events", ctes=[("delay_reasons", DELAY_REASONS)])
     q["monthly_delays_event_path"] = q["monthly_delays"]
+    q["monthly_delays_by_loads"] = q["monthly_delays"]
     q["monthly_flight_info"] = W(DIM_FLIGHT_INFO, "flights", "boarding_events",
                                  ctes=[("boarding_summary", BOARDING_SUMMARY)])
     q["monthly_revenue_literal"] = W(dim_revenue("literal"), "ticket_prices", "booked_tickets", "ticket_events",
@@ -223,6 +224,7 @@ SELECT flight_id, origin, destination, flight_date, departure_time FROM
                               ("monthly_most_popular", "flight", "column")]:
         body, src = dim_popular(key, method)
         q[name] = W(body, "booked_tickets", "flights", "routes", ctes=[("booked_route", src)])
+    q["monthly_most_popular_by_loads"] = q["monthly_most_popular"]
     q["monthly_performance_report"] = W(REPORT, *_DIM_VIEWS, ctes=_dims_ctes())
     q["monthly_aggregates"] = W(AGGREGATES, *_DIM_VIEWS, ctes=_dims_ctes())
     q["ml_routes"] = W(ML_ROUTES, "routes", "flights")
