@@ -85,14 +85,20 @@ def delays_of(stats: DataFrame, reasons: DataFrame, id_mode: str = "hash", audit
                          "year", "month"], audit)
 
 
-def delay_rows(flights: DataFrame, flights_events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows behind monthly delays: whole seconds of delay per departure, and an event id per delay reason, by month."""
-    month = {"year": year_of("flight_date"), "month": month_of("flight_date")}
-    j = _departures(flights.select("flight_id", "flight_date", "scheduled_departure"), flights_events).withColumns(month)
+def delay_rows(flights: DataFrame, flights_events: DataFrame) -> DataFrame:
+    """The rows behind monthly delays, from one join: per departure its whole seconds of delay (``delay_reason`` NULL),
+    per event with a reason the reason and the event's id."""
+    e = flights_events.select("flight_event_id", "flight_id", "event_type", "event_time", "delay_reason")
+    e = e.where((F.col("event_type") == schema.DEPARTURE_EVENT) | F.col("delay_reason").isNotNull())
+    j = flights.select("flight_id", "flight_date", "scheduled_departure").join(e, "flight_id")
     seconds = (F.col("event_time") - F.col("scheduled_departure")).cast("long")
-    reasons = flights_events.where(F.col("delay_reason").isNotNull()).select("flight_id", "flight_event_id", "delay_reason")
-    reasons = reasons.join(flights.select("flight_id", "flight_date"), "flight_id").withColumns(month)
-    return j.select(*PERIOD, seconds.alias("seconds")), reasons.select(*PERIOD, "delay_reason", "flight_event_id")
+    none = F.lit(None)
+    kinds = F.array(
+        F.when(F.col("event_type") == schema.DEPARTURE_EVENT, F.struct(
+            none.cast("string").alias("delay_reason"), seconds.alias("seconds"), none.cast("string").alias("event"))),
+        F.when(F.col("delay_reason").isNotNull(), F.struct(
+            F.col("delay_reason"), none.cast("long").alias("seconds"), F.col("flight_event_id").cast("string").alias("event"))))
+    return j.select(year_of("flight_date").alias("year"), month_of("flight_date").alias("month"), F.inline(F.array_compact(kinds)))
 
 
 def build_monthly_flight_info(flights: DataFrame, boarding_summary: DataFrame, id_mode: str = "hash",

@@ -46,10 +46,10 @@ class State:
         return partials.groupBy(*PERIOD, *self.labels).agg(*[MERGE[how](m).alias(m) for m, (how, _) in self.measures.items()])
 
 
-DELAYS = State("state_monthly_delays", (), {"delays": ("count", "seconds"), "seconds": ("sum", "seconds"), "least": ("min", "seconds"),
-                                            "most": ("max", "seconds")})
-REASONS = State("state_delay_reasons", ("delay_reason",), {"total_occurences": ("count", "flight_event_id"),
-                                                           "silver_flight_event": ("min", "flight_event_id")})
+#: Departures have no reason and count seconds, reasons count events: both in one row per month and label.
+DELAYS = State("state_monthly_delays", ("delay_reason",), {
+    "delays": ("count", "seconds"), "seconds": ("sum", "seconds"), "least": ("min", "seconds"), "most": ("max", "seconds"),
+    "total_occurences": ("count", "event")})
 ROUTES = State("state_booked_routes", ("airport_origin", "airport_destination", "method"), {"bookings": ("sum", "bookings")})
 
 
@@ -84,10 +84,11 @@ def refresh(layout: Layout, name: str, mart: DataFrame) -> None:
 
 def delays_mart(spark: SparkSession, layout: Layout, months: list | None = None, audit: bool = True) -> DataFrame:
     """T18 of the months given (all: None) from the stored partials."""
-    stats = DELAYS.merge(read_state(spark, layout, DELAYS, months)).select(
+    merged = DELAYS.merge(read_state(spark, layout, DELAYS, months))
+    stats = merged.where(F.col("delay_reason").isNull()).select(
         *PERIOD, (F.try_divide("seconds", "delays") / 60.0).alias("average_delay"),
         (F.col("least") / 60.0).alias("minimal_delay"), (F.col("most") / 60.0).alias("maximal_delay"))
-    return gold.delays_of(stats, REASONS.merge(read_state(spark, layout, REASONS, months)), audit=audit)
+    return gold.delays_of(stats, merged.where(F.col("delay_reason").isNotNull()), audit=audit)
 
 
 def add_delays(spark: SparkSession, layout: Layout, load: str, flights_events: DataFrame, flights: DataFrame, audit: bool = True) -> list:
@@ -95,10 +96,9 @@ def add_delays(spark: SparkSession, layout: Layout, load: str, flights_events: D
 
     ``flights`` holds the flights of the load's events at least; events of unknown flights are left out, as in the full build.
     """
-    departures, reasons = gold.delay_rows(flights, flights_events)
-    months = set(add_load(spark, layout, DELAYS, departures, load)) | set(add_load(spark, layout, REASONS, reasons, load))
+    months = add_load(spark, layout, DELAYS, gold.delay_rows(flights, flights_events), load)
     if months:
-        refresh(layout, "gold_dim_monthly_delays", delays_mart(spark, layout, list(months), audit))
+        refresh(layout, "gold_dim_monthly_delays", delays_mart(spark, layout, months, audit))
     return sorted(months, key=str)
 
 

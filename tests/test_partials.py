@@ -50,8 +50,8 @@ def test_delays_equal_a_full_rebuild_after_every_load(spark, layout):
     for load, rows in (("a", events(1, 300)), ("b", events(2, 40, 300)), ("empty", []), ("late", events(3, 5, 340))):
         seen += rows
         df = spark.createDataFrame(rows, EVENT)
-        partials.add_delays(spark, layout, load, df, f, audit=False)
-        partials.add_delays(spark, layout, load, df, f, audit=False)  # the load runs again: nothing counts twice
+        for _ in range(2 if load in ("b", "late") else 1):  # the load runs again: nothing counts twice
+            partials.add_delays(spark, layout, load, df, f, audit=False)
         want = full(f, spark.createDataFrame(seen, EVENT))
         assert as_rows(read_table(spark, layout, "gold", "gold_dim_monthly_delays")) == as_rows(want)
 
@@ -79,8 +79,7 @@ def test_a_load_reads_and_writes_its_months_alone(spark, layout):
     pruned = partials.read_state(spark, layout, partials.DELAYS, months)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [coalesce" in plan
-    read = {tuple(p for p in name.split("/") if "=" in p)[:2] for name in pruned.inputFiles()}
-    assert {r.month for r in pruned.select("month").distinct().collect()} == {1, None} and read
+    assert {(r.year, r.month) for r in pruned.select("year", "month").distinct().collect()} == {(2023, 1), (None, None)}
 
 
 def test_most_popular_equals_a_full_rebuild(spark, layout):
@@ -90,7 +89,7 @@ def test_most_popular_equals_a_full_rebuild(spark, layout):
         rows = [(f"b{n}-{i}", f"f{r.choice([0, 0, *range(45)])}", r.choice([None, *(dt.date(2023, m, 3) for m in range(1, 13))]),
                  r.choice(["online", "desk", None])) for i in range(size)]
         seen += rows
-        for _ in range(2):
+        for _ in range(2 if n == 1 else 1):
             partials.add_bookings(spark, layout, str(n), spark.createDataFrame(rows, BOOKING), f, routes, audit=False)
         want = gold.build_monthly_most_popular(spark.createDataFrame(seen, BOOKING), f, routes, key="flight", method="column", audit=False)
         assert as_rows(read_table(spark, layout, "gold", "gold_dim_monthly_most_popular")) == as_rows(want)
