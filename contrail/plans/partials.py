@@ -67,10 +67,15 @@ def read_state(spark: SparkSession, layout: Layout, state: State, months: list |
     return stored if months is None else stored.where(in_months(months))
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """A month's rows in one task; a fixed number of tasks, since the cost is files to open, which sizes don't tell AQE."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *PERIOD)
+
+
 def add_load(spark: SparkSession, layout: Layout, state: State, rows: DataFrame, load: str) -> list[tuple[int | None, int | None]]:
     """Store the load's partials in place of what it stored before; returns the months it has now."""
     partials = state.take(rows).withColumn("load", F.lit(f"load-{load}"))  # never read back as a number or date
-    replace_partitions(partials.repartition(*PERIOD), layout, "gold", state.name, [*PERIOD, "load"])
+    replace_partitions(_by_month(partials), layout, "gold", state.name, [*PERIOD, "load"])
     stored = read_state(spark, layout, state)
     if stored is None:
         return []
@@ -79,7 +84,7 @@ def add_load(spark: SparkSession, layout: Layout, state: State, rows: DataFrame,
 
 def refresh(layout: Layout, name: str, mart: DataFrame) -> None:
     """Overwrite the mart's months that ``mart`` has; the others stay as they are."""
-    replace_partitions(mart.repartition(*PERIOD), layout, "gold", name, PERIOD)
+    replace_partitions(_by_month(mart), layout, "gold", name, PERIOD)
 
 
 def delays_mart(spark: SparkSession, layout: Layout, months: list | None = None, audit: bool = True) -> DataFrame:
