@@ -6,7 +6,7 @@ write. None of them collects to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import schema
@@ -96,15 +96,18 @@ def build_boarding_summary(boarding_events: DataFrame, audit: bool = True) -> Da
     return with_audit(out) if audit else out
 
 
-def _flight_points(waypoints: DataFrame, flights: DataFrame) -> DataFrame:
-    """The (flight, place, date) bridge: a row per flight and waypoint of its route."""
-    wp = waypoints.select(
+def _route_points(waypoints: DataFrame) -> DataFrame:
+    return waypoints.select(
         F.col("route_id").alias("_route"), F.col("way_point_number").alias("waypoint_sampling_number"),
         F.col("point_latitude").alias("_lat"), F.col("point_longitude").alias("_lon"),
         F.col("point_height").alias("_h"))
-    fl = flights.select(F.col("flight_id").alias("silver_flight_id"), F.col("routes_id").alias("_route"),
-                        F.col("flight_date").alias("_sdate"))
-    return fl.join(wp, "_route")
+
+
+def _flight_days(flights: DataFrame) -> DataFrame:
+    """Flights by their route and date; a flight without either has no place."""
+    return flights.select(
+        F.col("flight_id").alias("silver_flight_id"), F.col("routes_id").alias("_route"),
+        F.col("flight_date").alias("_sdate")).where("_route is not null and _sdate is not null")
 
 
 def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights: DataFrame,
@@ -113,15 +116,17 @@ def build_flight_weather(weather_raw: DataFrame, waypoints: DataFrame, flights:
 
     A sample belongs to the flights whose route has a waypoint at its exact
     (lat, lon, height) on its date. Many flights can share such a place and
-    day, so the bridge of flights and waypoints is reduced to its smallest
-    (flight, waypoint number) per place and day before the samples join it,
-    and the output grows with the samples, not with samples x flights. Every
-    flight's own averages come from ``build_weather_summary_from_samples``,
-    which uses the whole bridge.
+    day, so flights are reduced to the smallest per route and day, and these
+    with their waypoints to the smallest (flight, waypoint number) per place
+    and day, before the samples join them: the output grows with the samples,
+    not with samples x flights. Every flight's own averages come from
+    ``build_weather_summary_from_samples``, which uses all of them.
     """
     keys = ["_lat", "_lon", "_h", "_sdate"]
-    first = _flight_points(waypoints, flights).groupBy(*keys).agg(
-        F.min(F.struct("silver_flight_id", "waypoint_sampling_number")).alias("_at"))
+    # in a struct a NULL id counts, as the smallest
+    least = _flight_days(flights).groupBy("_route", "_sdate").agg(F.min(F.struct("silver_flight_id")).alias("_flight"))
+    first = (least.join(_route_points(waypoints), "_route").groupBy(*keys)
+             .agg(F.min(F.struct("_flight.silver_flight_id", "waypoint_sampling_number")).alias("_at")))
     w = weather_raw.select(
         "weather_sample_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
         F.col("height").alias("_h"), F.to_date("sample_for_date").alias("_sdate"),
@@ -149,27 +154,35 @@ def build_weather_summary(flight_weather: DataFrame, audit: bool = True) -> Data
     """
     fw = flight_weather.withColumnRenamed("silver_flight_id", "flight_id")
     by_cond = fw.groupBy("flight_id", "weather_condition").agg(*_weather_sums())
-    return _rolled_weather(by_cond, audit)
+    return _rolled_weather(by_cond, ["flight_id"], audit)
 
 
 def build_weather_summary_from_samples(weather_raw: DataFrame, waypoints: DataFrame, flights: DataFrame,
                                        audit: bool = True) -> DataFrame:
     """The weather summary without the sample x flight product.
 
-    Samples are summed per (place, date, condition) first, so each flight and
-    waypoint joins a few rows however many samples or flights share the place
-    and date; the sums then roll up as in ``build_weather_summary``.
+    A flight's weather follows from its route and date. Samples are summed per
+    (place, date, condition), these sums per (route, date, condition), and a
+    flight meets its day once, as a finished row. Only flights stored under
+    several routes or dates add up the sums of theirs.
     """
     at = weather_raw.select(
         F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("height").alias("_h"),
         F.to_date("sample_for_date").alias("_sdate"), F.col("current_weather_condition").alias("weather_condition"),
         *_WEATHER_MEASURES)
-    keys = ["_lat", "_lon", "_h", "_sdate"]
-    sums = at.groupBy(*keys, "weather_condition").agg(*_weather_sums())
-    joined = sums.join(_flight_points(waypoints, flights), keys).withColumnRenamed("silver_flight_id", "flight_id")
+    keys, day = ["_lat", "_lon", "_h", "_sdate"], ["_route", "_sdate"]
     totals = ["n", *(f"{k}_{m}" for m in _WEATHER_MEASURES for k in ("s", "n"))]
-    by_cond = joined.groupBy("flight_id", "weather_condition").agg(*[F.sum(c).alias(c) for c in totals])
-    return _rolled_weather(by_cond, audit)
+    sums = at.groupBy(*keys, "weather_condition").agg(*_weather_sums())
+    flown = _flight_days(flights).withColumnRenamed("silver_flight_id", "flight_id")
+    points = flown.select(*day).distinct().join(_route_points(waypoints), "_route")
+    by_cond = sums.join(points, keys).groupBy(*day, "weather_condition").agg(*[F.sum(c).alias(c) for c in totals])
+    stays = flown.groupBy("flight_id", *day).agg(F.count(F.lit(1)).alias("_times"))
+    stays = stays.withColumn("_days", F.count(F.lit(1)).over(Window.partitionBy("flight_id")))
+    once = stays.where("_days = 1").join(_rolled_weather(by_cond, day, audit=False), day).drop("_times", "_days", *day)
+    more = (stays.where("_days > 1").join(by_cond, day).groupBy("flight_id", "weather_condition")
+            .agg(*[F.sum(F.col(c) * F.col("_times")).alias(c) for c in totals]))
+    out = once.unionByName(_rolled_weather(more, ["flight_id"], audit=False))
+    return with_audit(out) if audit else out
 
 
 def _weather_sums() -> list:
@@ -179,9 +192,9 @@ def _weather_sums() -> list:
     return partial
 
 
-def _rolled_weather(by_cond: DataFrame, audit: bool) -> DataFrame:
+def _rolled_weather(by_cond: DataFrame, keys: list[str], audit: bool) -> DataFrame:
     cond = F.col("weather_condition")
-    rolled = by_cond.groupBy("flight_id").agg(
+    rolled = by_cond.groupBy(*keys).agg(
         *[F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")).alias(out) for m, out in _WEATHER_MEASURES.items()],
         F.min(F.when(cond.isNotNull(), F.struct((-F.col("n")).alias("k"), cond.alias("c"))))["c"]
          .alias("majority_weather_condition"),

@@ -247,7 +247,7 @@ def weather_raw(t: Tables) -> DataFrame:
     f = o.join(c, "o_custkey").select(
         "l_orderkey", (n * NATIONS + (n + 1 + k % 24) % NATIONS).cast("string").alias("routes_id"),
         F.col("o_orderdate").cast("date").alias("flight_date"))
-    w = t.view("waypoints")
+    w = F.broadcast(t.view("waypoints"))  # three per pair of the 25 nations, whatever the size of the data
     j = (li.join(f, "l_orderkey")
          .join(w, (F.col("route_id") == F.col("routes_id")) & (F.col("way_point_number") == F.col("l_linenumber") % 3)))
     return j.select(

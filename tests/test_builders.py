@@ -155,6 +155,24 @@ def test_flight_weather_has_a_row_per_sample_however_many_flights_share_it(spark
     assert each.count() == 50
 
 
+def test_weather_summary_of_flights_stored_twice_or_under_several_days(spark):
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    samples = spark.createDataFrame(
+        [(1.0, d1, "rain", 10.0), (1.0, d1, "rain", 20.0), (1.0, d1, "fog", 30.0), (1.0, d2, "fog", 40.0), (1.0, d2, "fog", None), (1.0, d2, None, 60.0)],
+        "latitude double, sample_for_date date, current_weather_condition string, temperature double").selectExpr(
+        "*", "2D longitude", "3D height", "50D humidity", "1D wind_speed", "90D wind_direction")
+    points = spark.createDataFrame([("r", 0, 1.0, 2.0, 3.0), ("r", 1, 1.0, 2.0, 3.0), ("far", 0, 9.0, 2.0, 3.0)],
+                                   "route_id string, way_point_number int, point_latitude double, point_longitude double, point_height double")
+    flights = spark.createDataFrame([("one", "r", d1), ("twice", "r", d1), ("twice", "r", d1), ("days", "r", d1), ("days", "r", d2), ("days", "r", d2),
+                                     (None, "r", d1), (None, "r", d2), ("lost", "far", d1), ("part", "far", d1), ("part", "r", d2), ("none", None, d1), ("never", "r", None)],
+                                    "flight_id string, routes_id string, flight_date date")
+    out = silver.build_weather_summary_from_samples(samples, points, flights, audit=False).collect()
+    got = {r.flight_id: (r.average_temperature, r.majority_weather_condition) for r in out}
+    assert len(out) == 5 and got == {"one": (20.0, "rain"), "twice": (20.0, "rain"), "days": ((60.0 + 2 * 100.0) / 7, "fog"),
+                                     None: (32.0, "fog"), "part": (50.0, "fog")}
+
+
 def test_unpriced_bookings_are_reported(spark):
     from contrail.plans import gold
     prices = spark.createDataFrame([("f1", "first", False)], "silver_flight_id string, ticket_class string, actual boolean")

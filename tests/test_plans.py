@@ -47,3 +47,23 @@ def test_most_popular_reads_the_join_once(spark):
     p = plan(E.queries()["monthly_most_popular"](spark, SF001))
     assert "Expand" in p  # one grouping-sets pass ranks all three labels
     assert p.count("FileScan parquet") <= 5
+
+
+def _join_columns(df) -> list[set[str]]:
+    """Columns that every join of the optimized plan puts out."""
+    found, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Join":
+            out = node.output()
+            found.append({out.apply(i).name() for i in range(out.size())})
+        below = node.children()
+        todo += [below.apply(i) for i in range(below.size())]
+    return found
+
+
+@pytest.mark.parametrize("name", ["silver_weather_summary_from_samples", "silver_flight_weather"])
+def test_flights_meet_no_waypoints_one_by_one(spark, name):
+    joins = _join_columns(E.queries()[name](spark, SF001))
+    bridge = [c for c in joins if c & {"_lat", "point_latitude"} and c & {"flight_id", "silver_flight_id", "o_orderkey"}]
+    assert joins and not bridge  # flights are reduced to their routes and dates first
