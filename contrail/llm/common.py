@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,27 @@ ROW = "__llm_row"
 SPLITS = "spark.sql.files.minPartitionNum"
 
 
+#: Arrow batches of whole texts: unless set smaller, rows and bytes that a task hands to Python at once.
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand texts to Python in small batches: a batch lies in memory several times over, on both
+    sides, and no heap setting bounds it."""
+    before = {k: spark.conf.get(k, None) for k in BATCHES}
+    for k, most in BATCHES.items():
+        digits = str(before[k] or "").lower().removesuffix("b")
+        if not (digits.isdigit() and 0 < int(digits) < most):
+            spark.conf.set(k, str(most))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,13 +14,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ROW, own_names, table, with_row
+from contrail.llm.common import ROW, own_names, small_batches, table, with_row
 from contrail.session import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -55,11 +56,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held: dict[str | None, Counter] = {}
 
         def out() -> pa.RecordBatch:
-            flat = [(w, lang, n) for lang, c in held.items() for w, n in c.items()]
+            columns = [(chain.from_iterable(held.values()), pa.string()),
+                       (chain.from_iterable(repeat(lang, len(c)) for lang, c in held.items()), pa.string()),
+                       (chain.from_iterable(c.values() for c in held.values()), pa.int64())]
+            batch = pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in columns], ["word", "lang", "n"])
             held.clear()
-            ws, langs, ns = zip(*flat) if flat else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(langs, pa.string()), pa.array(ns, pa.int64())],
-                                              ["word", "lang", "n"])
+            return batch
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -135,7 +137,8 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
     """
     rows = with_row(docs.select("doc_id", "text", "lang")).select(
         ROW, "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    counts = materialize(spark, word_counts(docs), "lang-counts")
+    with small_batches(spark):
+        counts = materialize(spark, word_counts(docs), "lang-counts")
     langs = sorted(r.lang for r in counts.where("lang is not null").select("lang").distinct().collect())
     if not langs:
         return rows.select(ROW, "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
@@ -169,9 +172,10 @@ def identify(spark: SparkSession, docs: DataFrame, hot_cells: int = HOT_CELLS) -
                 [ROW, "doc_id", "held_out", "letters", "sums", "words", "times"])
 
     ident = rows.schema["doc_id"].dataType.simpleString()
-    partly = materialize(spark, rows.mapInArrow(
-        add_up, f"{ROW} long, doc_id {ident}, held_out boolean, letters boolean, sums array<double>, words array<string>, times array<long>"),
-        "lang-docs")
+    with small_batches(spark):
+        partly = materialize(spark, rows.mapInArrow(
+            add_up, f"{ROW} long, doc_id {ident}, held_out boolean, letters boolean, sums array<double>, words array<string>, times array<long>"),
+            "lang-docs")
     cold = partly.select(ROW, F.explode(F.arrays_zip("words", "times")).alias("w")).select(ROW, F.col("w.words").alias("word"), F.col("w.times").alias("n"))
     tail = scores.where(F.col("n") < cut).select("word", "score")
     cold = cold.join(tail, "word").groupBy(ROW).agg(F.array(*[F.sum(F.col("score")[i] * F.col("n")) for i in range(len(langs))]).alias("more"))
