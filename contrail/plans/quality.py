@@ -196,13 +196,21 @@ def _key(df: DataFrame, columns: Sequence[str], kind: str) -> Column:
     return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
 
 
-def _key_pass(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+#: Row-level rules whose outcomes one number holds, a bit each.
+RULES_PER_MASK = 62
+
+
+def _key_pass(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule],
+              riders: Sequence[Rule] = ()) -> DataFrame:
     """All uniqueness and foreign-key rules in ONE shuffle.
 
     Every table is scanned once and gives a row (domain, key, role) for each of its keys; grouped by domain
     and key, the counts of the roles tell duplicates (a role with more than one row) and orphans (a key that
     the parent's role lacks) together. Partial aggregation turns a hot or NULL key into one row per task, and
     there is no join. NULL keys are one group for uniqueness; a NULL foreign key is an orphan.
+    ``riders`` are row-level rules of the same tables, which need no scan of their own: a row that breaks some
+    gives one more row, whose key is the set of these rules, in a domain of the table. Keys and rows without
+    fault are left out before the rules are summed.
     """
     place = _domains(rules)
     types_of = {k: dict(tables[k[0]].dtypes)[k[1][0]] for k in place if len(k[1]) == 1}
@@ -214,26 +222,56 @@ def _key_pass(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Seque
     by_table: dict[str, list] = {}
     for (table, columns), (d, role) in place.items():
         by_table.setdefault(table, []).append((columns, d, role))
+    clean = 1 + max(d for d, _ in place.values())  # domains from here on are sets of broken rules
+    masks: dict[str, list[tuple[int, list[Rule]]]] = {}
+    bit: dict[int, tuple[int, int]] = {}
+    free = clean
+    for table in by_table:
+        mine = [i for i, r in enumerate(riders) if r.table == table]
+        for at in range(0, len(mine), RULES_PER_MASK):
+            some = mine[at:at + RULES_PER_MASK]
+            bit.update({i: (free, 1 << b) for b, i in enumerate(some)})
+            masks.setdefault(table, []).append((free, [riders[i] for i in some]))
+            free += 1
     parts = []
     for table, keys in by_table.items():
         df = tables[table]
         rows = [F.struct(F.lit(d).alias("domain"), F.lit(role).alias("role"), _key(df, columns, kinds[d]).alias("key")) for columns, d, role in keys]
+        for d, held in masks.get(table, ()):
+            broken = reduce(Column.__add__, [F.when(violation(r), F.lit(1 << b)).otherwise(F.lit(0)).cast("long") for b, r in enumerate(held)])
+            rows.append(F.struct(F.lit(d).alias("domain"), F.lit(0).alias("role"), F.nullif(broken, F.lit(0)).cast("string").alias("key")))
         # one key: no row generator
-        parts.append(df.select(F.inline(F.array(*rows))) if len(rows) > 1 else df.select(rows[0].alias("r")).select("r.*"))
+        part = df.select(F.inline(F.array(*rows))) if len(rows) > 1 else df.select(rows[0].alias("r")).select("r.*")
+        parts.append(part.where((F.col("domain") < clean) | F.col("key").isNotNull()) if table in masks else part)
     roles = 1 + max(role for _, role in place.values())
     counts = reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(
         *[F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(roles)])
 
+    def case(r: Rule) -> tuple[int, ...]:
+        """The role whose rows a rule looks at, for a foreign key also the parent's: alike in all domains."""
+        role = place[r.table, r.columns][1]
+        return (role,) if r.kind == "unique" else (role, place[r.params[0], (r.params[1],)][1])
+
+    faults = {c: (F.col(f"n{c[0]}") > 1) if len(c) == 1 else
+              (F.col(f"n{c[0]}") > 0) & (F.col("key").isNull() | (F.col(f"n{c[1]}") == 0)) for c in sorted(set(map(case, rules)))}
+    name = {c: "_".join(["f", *map(str, c)]) for c in faults}
+    faulty = counts.where(reduce(Column.__or__, faults.values(), F.col("domain") >= clean)).select(
+        "domain", F.when(F.col("domain") >= clean, F.col("key").cast("long")).alias("broken"), F.col("n0").alias("n"),
+        *[F.when(bad, F.lit(1) if len(c) == 1 else F.col(f"n{c[0]}")).alias(name[c]) for c, bad in faults.items()])
+    if riders:  # their many sums meet a row per domain and set
+        faulty = faulty.groupBy("domain", "broken").agg(*[F.sum(c).alias(c) for c in ("n", *name.values())])
+
     def found(r: Rule) -> Column:
-        d, role = place[r.table, r.columns]
-        here = F.col("domain") == d
-        if r.kind == "unique":
-            return F.count_if(here & (F.col(f"n{role}") > 1))
-        _, parent = place[r.params[0], (r.params[1],)]
-        lost = here & (F.col("key").isNull() | (F.col(f"n{parent}") == 0))
-        return F.coalesce(F.sum(F.when(lost, F.col(f"n{role}"))), F.lit(0))
-
-    total = counts.agg(*[found(r).alias(f"_r{i}") for i, r in enumerate(rules)])
+        d, _ = place[r.table, r.columns]
+        return F.coalesce(F.sum(F.when(F.col("domain") == d, F.col(name[case(r)]))), F.lit(0))
+
+    def ridden(i: int) -> Column:
+        d, b = bit[i]
+        here = (F.col("domain") == d) & (F.col("broken").bitwiseAND(F.lit(b)) != 0)
+        return F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0))
+
+    total = faulty.agg(*[c.alias(f"_r{i}") for i, c in enumerate([*map(found, rules), *map(ridden, range(len(riders)))])])
+    rules = [*rules, *riders]
     args = ", ".join(f"{_sql_str(r.table)}, {_sql_str(r.kind)}, {_sql_str(r.label)}, CAST(_r{i} AS BIGINT), {_sql_str(r.severity)}"
                      for i, r in enumerate(rules))
     out = total.selectExpr(f"stack({len(rules)}, {args}) AS (table_name, rule, column_name, violations, severity)")
@@ -254,12 +292,16 @@ def _scans(rule: Rule) -> list[str]:
     return [rule.table]
 
 
-def table_uses(rules: Sequence[Rule]) -> dict[str, int]:
-    """How often ``run_checks`` scans each table: once for its row-level rules, once for all its keys, once per other rule."""
+def table_uses(rules: Sequence[Rule], one_pass: bool = False) -> dict[str, int]:
+    """How often ``run_checks`` scans each table: once for its row-level rules, once for all its keys, once per other rule.
+
+    With ``one_pass`` the row-level rules of a table that has keys to check take no scan of their own."""
     passes = set()
     for i, r in enumerate(rules):
         kind = "row" if r.kind in ROW_KINDS else "key" if r.kind in ("unique", "fk") else i
         passes |= {(t, kind) for t in _scans(r)}
+    if one_pass:
+        passes -= {(t, "row") for t, kind in passes if kind == "key"}
     uses: dict[str, int] = {}
     for t, _ in passes:
         uses[t] = uses.get(t, 0) + 1
@@ -267,16 +309,19 @@ def table_uses(rules: Sequence[Rule]) -> dict[str, int]:
 
 
 def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequence[Rule],
-               stage=None) -> DataFrame:
+               stage=None, one_pass: bool = False) -> DataFrame:
     """Evaluate ``rules`` against ``tables``; one result row per rule.
 
     A rule on a table that is absent, or on columns the table lacks, yields
     ``violations = NULL, passed = NULL`` (the ``required`` rule reports why).
     ``stage(name, df) -> df`` is applied to every table that more than one
     Spark job will read (e.g. ``session.materialize``), so an expensive
-    table plan is computed once rather than once per rule group.
+    table plan is computed once rather than once per rule group. With
+    ``one_pass`` the row-level rules of tables with keys to check are counted
+    by the pass over the keys, so a table that no other rule reads is computed
+    once without being stored; stored tables are scanned faster apart.
     """
-    uses = table_uses(rules)
+    uses = table_uses(rules, one_pass)
     staged: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame | None:
@@ -351,11 +396,14 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], rules: Sequ
             parts.append(_from_count(bad.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("violations")), r))
         else:
             raise ValueError(f"unknown rule kind {r.kind!r}")
+    named = {t for r in key_rules for t in _scans(r)}
+    riding = named & set(row_rules) if one_pass else set()
     for name, rs in row_rules.items():
-        parts.append(_row_level(table(name), name, rs))
+        if name not in riding:
+            parts.append(_row_level(table(name), name, rs))
     if key_rules:
-        named = {t for r in key_rules for t in _scans(r)}
-        parts.append(_key_pass(spark, {t: table(t) for t in named}, key_rules))
+        riders = [r for name, rs in row_rules.items() if name in riding for r in rs]
+        parts.append(_key_pass(spark, {t: table(t) for t in named}, key_rules, riders))
     if meta or not parts:
         parts.append(spark.createDataFrame(meta, RESULT_SCHEMA))
     # every part has the result columns in the same order: positional union

@@ -427,7 +427,8 @@ def _dq_tables(spark, a: Airline, layer: str, rules) -> Mapping:
     """A layer's tables as a layer run leaves them, with a fixed load time.
 
     A built table that more than one pass or table reads is written once, all such tables at the same time
-    where they don't need each other; one that is read once is checked as it is built, with its columns pruned.
+    where they don't need each other; one that is read once, for all its rows and keys together, is checked as
+    it is built, with its columns pruned.
     """
     from contrail.plans.graph import WRITTEN, LayerRunError, Step, run_graph
 
@@ -447,7 +448,7 @@ def _dq_tables(spark, a: Airline, layer: str, rules) -> Mapping:
         return at_hand[name] if name in at_hand else sources[name]().withColumn("ingestion_time", F.lit(LOAD_TIME).cast("timestamp"))
 
     tables = LazyTables({n: lambda n=n: load(n) for n in sources})
-    uses = quality.table_uses(rules)
+    uses = quality.table_uses(rules, one_pass=True)
     for fact, dims in FACT_DIMS.items():
         if fact in uses:
             uses.update({n: uses.get(n, 0) + 1 for n in dims})
@@ -471,7 +472,7 @@ def _register_dq(name: str, layer: str, factory) -> None:
     @query(name)
     def _q(spark, d):
         rules = factory()
-        return quality.run_checks(spark, _dq_tables(spark, Airline(spark, d), layer, rules), rules)
+        return quality.run_checks(spark, _dq_tables(spark, Airline(spark, d), layer, rules), rules, one_pass=True)
 
 
 for _name, (_layer, _factory) in DQ_SETS.items():

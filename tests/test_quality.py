@@ -156,3 +156,34 @@ def test_key_rules_of_several_tables_share_one_shuffle(spark):
 def test_tables_are_counted_by_passes():
     rules = Q.not_null("a", "x", "y") + [Q.unique("a", "x"), Q.unique("a", "y"), Q.foreign_key("b", "x", "a"), Q.consistent("a", ("k",), "v", "c", "v")]
     assert Q.table_uses(rules) == {"a": 3, "b": 1, "c": 1}
+
+
+def test_row_rules_ride_on_the_pass_over_keys(spark):
+    """One pass gives what separate passes give: NULL and hot keys, rows that break several rules, more rules than one number holds."""
+    t = spark.createDataFrame([("a", 1.0, 5), ("a", None, -1), (None, 200.0, None), (None, -3.0, 2), ("z", 7.0, 70), ("z", 7.0, 70)],
+                              "k string, v double, n int")
+    hot = spark.range(3000).selectExpr("cast(null as string) k", "cast(id % 2 as double) v", "cast(id as int) n")
+    u = spark.createDataFrame([("a",), ("b",)], "k string")
+    empty = u.where("k = 'none'")
+    rules = [Q.unique("t", "k"), Q.foreign_key("t", "k", "u"), Q.unique("u", "k"), Q.unique("e", "k"), *Q.not_null("e", "k"),
+             *Q.not_null("t", "k", "v", "n"), *Q.not_null("u", "k"), Q.in_range("t", "v", 0, 100), Q.ordered("t", "v", "n"),
+             *[Q.at_most("t", "n", i) for i in range(70)], *Q.not_null("alone", "k")]
+    tables = {"t": t.unionByName(hot), "u": u, "e": empty, "alone": u}
+    apart = sorted(Q.run_checks(spark, tables, rules).collect())
+    together = Q.run_checks(spark, tables, rules, one_pass=True)
+    assert sorted(together.collect()) == apart
+    got = {(r.table_name, r.rule, r.column_name): r.violations for r in apart if r.rule != "max"}
+    assert (got["t", "not_null", "k"], got["t", "not_null", "v"], got["t", "range", "v"], got["t", "fk", "k"]) == (3002, 1, 2, 3004)
+    assert Q.table_uses(rules)["t"] == 2 and Q.table_uses(rules, one_pass=True) == {"t": 1, "u": 1, "e": 1, "alone": 1}
+
+
+def test_the_silver_report_stores_no_table(spark, monkeypatch):
+    """Every built table is read once, as it is built."""
+    from contrail import registry
+    from tests.conftest import SF001
+
+    def stored(*args):
+        raise AssertionError(f"stored {args[-1]}")
+
+    monkeypatch.setattr(registry, "materialize", stored)
+    registry.REGISTRY["dq_silver_report"](spark, SF001)
