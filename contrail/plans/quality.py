@@ -10,6 +10,7 @@ severity)``:
 - all key uniqueness and foreign keys are ONE pass: every table is scanned
   once, keys are tagged by domain and role and grouped in one shuffle (no
   join: a hot or NULL key costs one partially-aggregated row per task);
+  with ``one_pass`` the row-level rules of these tables ride on it;
 - schema rules (required columns, types) read metadata only.
 
 NULL semantics: a NULL never violates a row-level rule except ``not_null``;
