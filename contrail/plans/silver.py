@@ -173,15 +173,18 @@ def build_weather_summary_from_samples(weather_raw: DataFrame, waypoints: DataFr
     keys, day = ["_lat", "_lon", "_h", "_sdate"], ["_route", "_sdate"]
     totals = ["n", *(f"{k}_{m}" for m in _WEATHER_MEASURES for k in ("s", "n"))]
     sums = at.groupBy(*keys, "weather_condition").agg(*_weather_sums())
-    flown = _flight_days(flights).withColumnRenamed("silver_flight_id", "flight_id")
+    flown = _flight_days(flights)
     points = flown.select(*day).distinct().join(_route_points(waypoints), "_route")
     by_cond = sums.join(points, keys).groupBy(*day, "weather_condition").agg(*[F.sum(c).alias(c) for c in totals])
-    stays = flown.groupBy("flight_id", *day).agg(F.count(F.lit(1)).alias("_times"))
-    stays = stays.withColumn("_days", F.count(F.lit(1)).over(Window.partitionBy("flight_id")))
-    once = stays.where("_days = 1").join(_rolled_weather(by_cond, day, audit=False), day).drop("_times", "_days", *day)
-    more = (stays.where("_days > 1").join(by_cond, day).groupBy("flight_id", "weather_condition")
+    stays = flown.groupBy("silver_flight_id", *day).agg(F.count(F.lit(1)).alias("_times"))
+    stays = stays.withColumn("_days", F.count(F.lit(1)).over(Window.partitionBy("silver_flight_id")))
+    # _times > 0 always holds: as both parts read the same columns, they share the shuffles of the flights
+    once = (stays.where("_days = 1 and _times > 0").join(_rolled_weather(by_cond, day, audit=False), day)
+            .drop("_times", "_days", *day))
+    more = (stays.where("_days > 1").join(by_cond, day).groupBy("silver_flight_id", "weather_condition")
             .agg(*[F.sum(F.col(c) * F.col("_times")).alias(c) for c in totals]))
-    out = once.unionByName(_rolled_weather(more, ["flight_id"], audit=False))
+    out = (once.unionByName(_rolled_weather(more, ["silver_flight_id"], audit=False))
+           .withColumnRenamed("silver_flight_id", "flight_id"))
     return with_audit(out) if audit else out
 
 

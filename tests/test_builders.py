@@ -180,3 +180,18 @@ def test_unpriced_bookings_are_reported(spark):
                                   "booked_ticket_id string, flight_id string, ticket_class string")
     got = {r.booked_ticket_id for r in gold.unpriced_bookings(prices, books).collect()}
     assert got == {"b2", "b3", "b4"}
+
+
+def test_weather_summary_shuffles_stored_flights_once(spark, tmp_dir):
+    import re
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    points = spark.createDataFrame([("r", 0, 1.0, 2.0, 3.0)], "route_id string, way_point_number int, point_latitude double, point_longitude double, point_height double")
+    samples = spark.createDataFrame([(1.0, d1, 10.0), (1.0, d2, 40.0)], "latitude double, sample_for_date date, temperature double").selectExpr(
+        "*", "2D longitude", "3D height", "50D humidity", "1D wind_speed", "90D wind_direction", "'fog' current_weather_condition")
+    spark.createDataFrame([("one", "r", d1), ("days", "r", d1), ("days", "r", d2), ("days", "r", d2)],
+                          "flight_id string, routes_id string, flight_date date").write.parquet(f"{tmp_dir}/flights")
+    df = silver.build_weather_summary_from_samples(samples, points, spark.read.parquet(f"{tmp_dir}/flights"), audit=False)
+    assert {r.flight_id: r.average_temperature for r in df.collect()} == {"one": 10.0, "days": 30.0}
+    ran = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # flights under one day and flights under several take their days from the same shuffle
+    assert re.search(r"ReusedExchange \[.*\], Exchange hashpartitioning\(\w*flight_id#\d+, \d+\)", ran)
