@@ -660,8 +660,15 @@ def _new_layout(spark):
 
 @query("run_silver_layer")
 def q_run_silver(spark, d):
-    """R1: bronze to silver, every table as soon as its inputs are written; rows and status of each."""
-    return _outcomes(runs.run_silver, spark, _new_layout(spark), bronze=bronze_tables(Airline(spark, d)))
+    """R1: bronze to silver, every table as soon as its inputs are written; rows and status of each.
+
+    Two silver tables read the weather samples, so these are joined once and stored as bronze.
+    """
+    from contrail.sources.layout import write_table
+    layout, b, name = _new_layout(spark), bronze_tables(Airline(spark, d)), "flight_weather_raw_api"
+    write_table(b[name], layout, "bronze", name)
+    b[name] = read_table(spark, layout, "bronze", name)
+    return _outcomes(runs.run_silver, spark, layout, bronze=b)
 
 
 @query("run_gold_monthly_layer")

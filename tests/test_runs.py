@@ -83,3 +83,15 @@ def test_clean_flights_job(spark, tmp_dir):
     out = run_clean_flights(spark, layout)
     assert out.count() == out.select("flight_id").distinct().count() > 0
     assert out.where("origin = destination").count() == 0
+
+
+def test_silver_run_joins_the_weather_samples_once(spark, monkeypatch):
+    from contrail import registry
+    given = {}
+    monkeypatch.setattr(runs, "run_silver", lambda spark, layout, bronze, **kw: given.update(bronze) or {"_outcomes": None})
+    registry.REGISTRY["run_silver_layer"](spark, SF001)
+    stored, joined = given["flight_weather_raw_api"], bronze_tables(Airline(spark, SF001))["flight_weather_raw_api"]
+    assert "Join" not in stored._jdf.queryExecution().optimizedPlan().toString()  # two tables read it
+    assert dict(stored.dtypes) == dict(joined.dtypes)
+    cols = [c for c in joined.columns if c != "ingestion_time"]
+    assert stored.count() == joined.count() and stored.select(cols).exceptAll(joined.select(cols)).isEmpty()
